@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tripmill.operators.filters import null_critical
@@ -41,19 +41,22 @@ def all_batch_counts(bronze: DataFrame) -> DataFrame:
     )
 
 
-def _passed():
+def _passed() -> Column:
     # More than one row in ten is too many; exactly one in ten is not.
     return (F.col("row_count") > 0) & (F.col("null_critical_count") * 10 <= F.col("row_count"))
 
 
-def validate_batch(bronze: DataFrame, batch_id: str) -> int:
-    """Row count of the batch; raises ``BatchRejected`` if it is empty or lacks critical fields."""
-    found = batch_counts(bronze, batch_id).first()
-    if found.row_count == 0:
-        raise BatchRejected(f"batch {batch_id} has no rows")
-    if not found.passed:
+def require_passed(counts: Row) -> None:
+    """Raise ``BatchRejected`` unless the batch of this ``batch_counts`` row may go on."""
+    if counts.row_count == 0:
+        raise BatchRejected(f"batch {counts.batch_id} has no rows")
+    if not counts.passed:
         raise BatchRejected(
-            f"batch {batch_id}: {found.null_critical_count} of {found.row_count} rows "
+            f"batch {counts.batch_id}: {counts.null_critical_count} of {counts.row_count} rows "
             "lack pickup time or total"
         )
-    return found.row_count
+
+
+def validate_batch(bronze: DataFrame, batch_id: str) -> None:
+    """Raise ``BatchRejected`` if the batch is empty or lacks too many critical fields."""
+    require_passed(batch_counts(bronze, batch_id).first())

@@ -1,8 +1,8 @@
 """Data-quality checks.
 
 A check yields a count of failures. Row checks (not null, expression) of a table share one
-aggregation over it, duplicate and allowed-value checks one each, so a table is scanned at most
-three times for any number of checks, each time with only the columns it needs.
+aggregation over it, allowed-value checks another, and each duplicate check groups its own column:
+a few scans per table for any number of checks, each of only the columns it needs.
 """
 
 from __future__ import annotations
@@ -43,60 +43,59 @@ def _violates(check: Check) -> Column:
 
 
 
-def row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """``(check_name, failing)`` of not-null and expression checks: one pass, one row each."""
-    named = {f"c{i}": check for i, check in enumerate(checks)}
-    totals = df.agg(*[F.count_if(_violates(c)).alias(n) for n, c in named.items()])
+def _unpivoted(totals: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row per check from the one row of counts ``c0, c1, ...``."""
     pairs = [
-        F.struct(F.lit(c.name).alias("check_name"), F.col(n).alias("failing"))
-        for n, c in named.items()
+        F.struct(F.lit(c.name).alias("check_name"), F.col(f"c{i}").alias("failing"))
+        for i, c in enumerate(checks)
     ]
     return totals.select(F.inline(F.array(*pairs)))
 
 
-def _values(df: DataFrame, checks: Sequence[Check], wanted) -> DataFrame:
-    """``(check_name, value)`` for the values of the checked columns that ``wanted`` picks."""
-    pairs = [
-        F.struct(
-            F.lit(c.name).alias("check_name"),
-            F.when(wanted(c), F.col(c.column).cast("string")).alias("value"),
-        )
-        for c in checks
-    ]
-    return df.select(F.inline(F.array(*pairs))).where("value IS NOT NULL")
-
-
-def _per_check(found: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Row counts of ``found`` per check, 0 for checks without a row."""
-    names = [F.lit(c.name) for c in checks]
-    zero = found.sparkSession.range(1).select(
-        F.explode(F.array(*names)).alias("check_name"), F.lit(0).alias("one")
-    )
-    both = found.select("check_name", F.lit(1).alias("one")).unionByName(zero)
-    return both.groupBy("check_name").agg(F.sum("one").alias("failing"))
+def row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """``(check_name, failing)`` of not-null and expression checks: one pass, one row each."""
+    totals = df.agg(*[F.count_if(_violates(c)).alias(f"c{i}") for i, c in enumerate(checks)])
+    return _unpivoted(totals, checks)
 
 
-def duplicates(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """``(check_name, value, n)``: values that occur more than once; NULL is no value."""
-    values = _values(df, checks, lambda c: F.lit(True))
-    counted = values.groupBy("check_name", "value").agg(F.count("*").alias("n"))
-    return counted.where("n > 1")
+def duplicates(df: DataFrame, column: str) -> DataFrame:
+    """``(value, n)``: values that occur more than once; NULL is no value."""
+    known = df.select(F.col(column).alias("value")).dropna()
+    return known.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
 
 
 def unexpected_values(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """``(check_name, value, n)``: distinct values outside the allowed list; NULL is allowed."""
-    values = _values(df, checks, lambda c: ~F.col(c.column).isin(*c.values))
+    pairs = [
+        F.struct(
+            F.lit(c.name).alias("check_name"),
+            F.when(~F.col(c.column).isin(*c.values), F.col(c.column).cast("string")).alias("value"),
+        )
+        for c in checks
+    ]
+    values = df.select(F.inline(F.array(*pairs))).where("value IS NOT NULL")
     return values.groupBy("check_name", "value").agg(F.count("*").alias("n"))
 
 
 def unique_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """``(check_name, failing)``: number of values that occur more than once."""
-    return _per_check(duplicates(df, checks), checks)
+    return reduce(
+        DataFrame.unionByName,
+        [
+            duplicates(df, c.column)
+            .agg(F.count("*").alias("failing"))
+            .select(F.lit(c.name).alias("check_name"), "failing")
+            for c in checks
+        ],
+    )
 
 
 def accepted_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """``(check_name, failing)``: number of distinct values outside the list."""
-    return _per_check(unexpected_values(df, checks), checks)
+    found = unexpected_values(df, checks).agg(
+        *[F.count_if(F.col("check_name") == c.name).alias(f"c{i}") for i, c in enumerate(checks)]
+    )
+    return _unpivoted(found, checks)
 
 
 def check_table(df: DataFrame, checks: Iterable[Check]) -> DataFrame:

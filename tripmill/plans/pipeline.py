@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from tripmill.operators import runlog
 from tripmill.operators.conform import new_batch_id
-from tripmill.operators.gates import validate_batch
+from tripmill.operators.gates import batch_counts, require_passed
 from tripmill.operators.runlog import RunLog
 from tripmill.plans import gold
 from tripmill.plans.bronze import ingest
@@ -128,9 +128,10 @@ def run_pipeline(
             stop_at_short_page,
         )
         warehouse.append(landed, BRONZE_TRIPS)
-        rows = warehouse.bronze(batch_id).count()
+        found = batch_counts(warehouse.bronze(), batch_id).first()
+        rows = found.row_count
         log.mark_ingested(run_id, rows)
-        validate_batch(warehouse.bronze(), batch_id)
+        require_passed(found)
         build_silver(warehouse, run_id)
         build_gold(warehouse, run_id, clock())
         report = warehouse.publish(check_warehouse(warehouse, severities), "metadata.checks", run_id)

@@ -39,15 +39,26 @@ def pages_to_last(
 ) -> DataFrame:
     """Pages up to and including the first that is short, empty or absent; at most ``max_pages``.
 
-    The end is the lowest page number that follows a full page (or is 0) and is not full itself,
-    found with one anti join over page numbers.
+    The end is the lowest page number that is 0 or follows a full page, and is not full itself.
     """
     if max_pages is not None:
         pages = pages.where(F.col("page") < max_pages)
-    full = pages.where(F.json_array_length("body") >= page_size).select("page")
-    first = pages.sparkSession.range(1).select(F.col("id").alias("page"))
-    candidates = full.select((F.col("page") + 1).alias("page")).unionByName(first)
-    end = candidates.join(full, "page", "left_anti").agg(F.min("page"))
+    mark = "struct<page: bigint, follows: boolean, full: boolean>"
+    is_full = F.struct("page", F.lit(False), F.lit(True)).cast(mark)
+    follows = F.struct(F.col("page") + 1, F.lit(True), F.lit(False)).cast(mark)
+    marks = pages.where(F.json_array_length("body") >= page_size).select(
+        F.inline(F.array(is_full, follows))
+    )
+    start = pages.sparkSession.range(1).select(
+        F.col("id").alias("page"), F.lit(True).alias("follows"), F.lit(False).alias("full")
+    )
+    end = (
+        marks.unionByName(start)
+        .groupBy("page")
+        .agg(F.max("follows").alias("follows"), F.max("full").alias("full"))
+        .where("follows AND NOT full")
+        .agg(F.min("page"))
+    )
     return pages.where(F.col("page") <= end.scalar())
 
 

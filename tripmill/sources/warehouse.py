@@ -75,7 +75,8 @@ class Warehouse:
             raise ValueError(f"batch id {batch_id!r} may hold letters, digits, '_', '.' and '-' only")
         columns = ", ".join(c for c in self.read(BRONZE_TRIPS).columns if c != "batch_id")
         # The partition is named in the statement: no other one is touched in any overwrite mode.
-        self.spark.sql(
+        # In the rows' own session, which a streaming micro-batch has.
+        df.sparkSession.sql(
             f"INSERT OVERWRITE TABLE {self.name(BRONZE_TRIPS)} "
             f"PARTITION (batch_id = '{batch_id}') SELECT {columns} FROM {{rows}}",
             rows=df,

@@ -17,21 +17,23 @@ def ingest_new_pages(
     landing_dir: str,
     run_id: int,
     source_url: str,
+    stream: str = "landed_pages",
     checkpoint_dir: str | None = None,
     page_size: int = PAGE_SIZE,
 ) -> StreamingQuery:
     """Start ingest of the pages that no earlier call has taken; it ends when they are in.
 
-    Each micro-batch is one bronze batch, named by run and micro-batch. A micro-batch tried again
-    after a failure replaces its own partition, so its rows are there once. Page numbers must not
-    repeat within a run: ids are made of them.
+    Each micro-batch is one bronze batch, named by ``stream`` and micro-batch number. A micro-batch
+    tried again after a failure replaces its own partition, so its rows are there once. Page numbers
+    must not repeat within a run: ids are made of them. Progress is kept under ``checkpoint_dir``,
+    by default in the cluster's ``spark.checkpoint.dir``; one stream, one checkpoint.
     """
     spark = warehouse.spark
     if checkpoint_dir is None:
-        checkpoint_dir = f"{spark.conf.get('spark.checkpoint.dir')}/landed_pages"
+        checkpoint_dir = f"{spark.conf.get('spark.checkpoint.dir')}/{stream}"
 
     def write(pages: DataFrame, micro_batch: int) -> None:
-        batch_id = f"stream_{micro_batch:08d}"
+        batch_id = f"{stream}_{micro_batch:08d}"
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         rows = to_bronze(records(pages), source_url, batch_id, run_id, now, page_size)
         warehouse.replace_batch(rows, batch_id)

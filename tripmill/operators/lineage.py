@@ -1,0 +1,26 @@
+"""Results that several parts of one query share."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def computed_once(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder, for use in several places of one query.
+
+    The folder is the one the cluster names in ``spark.checkpoint.dir``; a local session without one
+    gets a temporary folder. On a cluster without one ``df`` stays as it is.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is not None:
+            context.setCheckpointDir(named)
+        elif context.master.startswith("local"):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="tripmill-"))
+        else:
+            return df
+    return df.checkpoint()

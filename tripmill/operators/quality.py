@@ -111,8 +111,9 @@ def check_table(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
 
 def missing_from(df: DataFrame, other: DataFrame, *keys: str) -> DataFrame:
     """Distinct non-null keys of ``df`` that ``other`` does not have."""
+    # Distinct on both sides: a key that most rows share is merged before it is shuffled.
     wanted = df.select(*keys).dropna().distinct()
-    return wanted.join(other.select(*keys), list(keys), "left_anti")
+    return wanted.join(other.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def over_long(df: DataFrame, limits: dict[str, int]) -> DataFrame:

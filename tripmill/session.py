@@ -15,17 +15,31 @@ DEFAULTS = {
 }
 
 
+# Bytes a shuffle task should get, and a scan task.
+_SHUFFLE_TASK_BYTES = 128 << 20
+_SCAN_TASK_BYTES = 256 << 20
+
+
+def sized_for(input_bytes: int) -> dict[str, str]:
+    """Settings for jobs over this much input: enough shuffle tasks that none has to spill.
+
+    Adaptive execution merges tasks that turn out small, so the count may be generous; it cannot
+    add tasks where there are too few.
+    """
+    tasks = max(200, -(-input_bytes // _SHUFFLE_TASK_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(tasks),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_SHUFFLE_TASK_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(_SCAN_TASK_BYTES),
+    }
+
+
 def build_session(
     app_name: str = "tripmill",
     master: str | None = None,
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Session with ``DEFAULTS``; ``conf`` overrides them.
-
-    Sizes are the cluster's business. A good start for large inputs is
-    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` at a few times the core count:
-    adaptive execution then merges small shuffle partitions and never has too few of them.
-    """
+    """Session with ``DEFAULTS``; ``conf`` overrides them (see ``sized_for``)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

@@ -74,21 +74,43 @@ def records(pages: DataFrame, record: T.StructType = FEED_RECORD) -> DataFrame:
     )
 
 
-def newest_first(df: DataFrame, time_column: str, tie_break: str) -> DataFrame:
+def _order(time_column: str, tie_break: str) -> list[Column]:
     """Total order: latest time first, absent times last, ties by ``tie_break`` descending."""
-    return df.orderBy(F.desc_nulls_last(time_column), F.desc_nulls_last(tie_break))
+    return [F.desc_nulls_last(time_column), F.desc_nulls_last(tie_break)]
+
+
+def _first_of_each_partition(df: DataFrame, order: list[Column], limit: int) -> DataFrame:
+    # The low 33 bits of a monotonically increasing id count the rows of a partition.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ranked = df.sortWithinPartitions(*order).withColumn("_place", place)
+    return ranked.where(F.col("_place") < limit).drop("_place")
+
+
+def _candidates(df: DataFrame, order: list[Column], limit: int) -> DataFrame:
+    """Rows that can be among the first ``limit``, narrowed down in a tree.
+
+    A plain top-k sends the k best rows of every partition to one task. Here they are first spread
+    over tasks of bounded size and narrowed again, twice, so that the last step sees few rows even
+    if there are very many partitions.
+    """
+    narrowed = _first_of_each_partition(df, order, limit)
+    for _ in range(2):
+        narrowed = _first_of_each_partition(narrowed.hint("rebalance"), order, limit)
+    return narrowed
 
 
 def newest(
     df: DataFrame, time_column: str, tie_break: str, limit: int = PAGE_SIZE * MAX_PAGES
 ) -> DataFrame:
-    """The ``limit`` newest rows (a distributed top-k, no full sort)."""
-    return newest_first(df, time_column, tie_break).limit(limit)
+    """The ``limit`` newest rows, newest first."""
+    order = _order(time_column, tie_break)
+    return _candidates(df, order, limit).orderBy(*order).limit(limit)
 
 
 def page_slice(
     df: DataFrame, time_column: str, tie_break: str, page: int, page_size: int = PAGE_SIZE
 ) -> DataFrame:
-    """Page number ``page`` of the newest-first order."""
-    ordered = newest_first(df, time_column, tie_break)
-    return ordered.offset(page * page_size).limit(page_size)
+    """Page number ``page`` (0-based) of the newest-first order."""
+    order = _order(time_column, tie_break)
+    candidates = _candidates(df, order, (page + 1) * page_size)
+    return candidates.orderBy(*order).offset(page * page_size).limit(page_size)

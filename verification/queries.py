@@ -21,6 +21,7 @@ from tripmill.operators.conform import to_bronze
 from tripmill.operators.dedupe import TRIP_KEY, latest_per_key
 from tripmill.operators.filters import business_rules, required_present
 from tripmill.operators.gates import all_batch_counts, batch_counts
+from tripmill.operators.lineage import computed_once
 from tripmill.operators.quality import (
     ACCEPTED,
     EXPRESSION,
@@ -176,7 +177,7 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def broken_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Tables for the checks: gold is sound but lacks a day, silver is broken, run 2 is unknown."""
-    trips = silver(spark, sf_dir)
+    trips = computed_once(silver(spark, sf_dir))
     daily = gold.daily_trip_summary(trips).where("day(pickup_date) <> 7")
     return {
         BRONZE_TRIPS: with_lost_fields(raw_trips(spark, sf_dir)),

@@ -88,12 +88,6 @@ def test_run_twice(spark, warehouse, landed):
     ]
     assert runs.collect() == RunLog(warehouse).state().collect()
 
-    # Old versions go, the public view and the version before it stay.
-    run_pipeline(warehouse, landed, "2024-06-03", **options)
-    names = {r.tableName for r in spark.sql(f"SHOW TABLES IN {warehouse.name('silver')}").collect()}
-    bare = SILVER_TRIPS.split(".")[1]
-    assert names == {bare, f"{bare}__v2", f"{bare}__v3"}
-
 
 def test_a_failed_run_is_logged_as_failed(warehouse, landed, tmp_path):
     (tmp_path / "empty").mkdir()
@@ -165,17 +159,36 @@ def test_a_replaced_batch_leaves_the_others(warehouse, bronze, raw_row):
 
 
 def test_published_layout(spark, warehouse):
-    df = spark.range(1000).select(
-        (F.col("id") % 7).alias("k"), F.when(F.col("id") < 900, 1).otherwise(2).alias("hot"), "id"
-    )
-    stored = warehouse.publish(
-        df, "gold.layout", 1, cluster_by=("hot", "id"), statistics=("hot",), order_by=("id DESC",)
+    table, advised = "gold.layout", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    hot = F.when(F.col("id") % 3 < 2, -1).otherwise(F.col("id") % 5)
+    df = spark.range(0, 200_000, 1, 8).select(hot.alias("k"), F.xxhash64("id").alias("v"), "id")
+    spark.conf.set(advised, "200k")
+    try:
+        stored = warehouse.publish(
+            df, table, 1, order_by=("id DESC",), cluster_by=("k",), sort_by=("v",),
+            statistics=("k",),
+        )
+    finally:
+        spark.conf.unset(advised)
+    assert stored.count() == 200_000
+    assert warehouse.read(table).first().id == 199_999
+    files = stored.groupBy(F.input_file_name().alias("file")).agg(
+        F.count_distinct("k").alias("values"), F.max("k").alias("k")
     )
-    assert stored.count() == 1000
-    assert warehouse.read("gold.layout").first().id == 999
-    files = stored.groupBy(F.input_file_name()).agg(F.min("id").alias("a"), F.max("id").alias("z"))
-    spans = sorted((r.a, r.z) for r in files.collect())
-    # Ranges do not overlap, and the value most rows share is split.
-    assert all(end < start for (_, end), (start, _) in zip(spans, spans[1:]))
-    described = spark.sql(f"DESCRIBE EXTENDED {warehouse.name('gold.layout__v1')} hot").collect()
-    assert {r.info_name: r.info_value for r in described}["distinct_count"] == "2"
+    rows = files.collect()
+    # The value most rows share is spread over files.
+    assert sum(r.k == -1 for r in rows) > 1
+    name = rows[0].file
+    one_file = [r.v for r in spark.read.parquet(name).collect()]
+    assert one_file == sorted(one_file)
+    described = spark.sql(f"DESCRIBE EXTENDED {warehouse.name(table)}__v1 k").collect()
+    assert {r.info_name: r.info_value for r in described}["distinct_count"] == "6"
+
+
+def test_versions(spark, warehouse):
+    """Old versions go; the public view and the version before it stay."""
+    for version in (1, 2, 9, 10):
+        warehouse.publish(spark.range(version), "gold.t", version, statistics="*")
+        assert warehouse.read("gold.t").count() == version
+    names = {r.tableName for r in spark.sql(f"SHOW TABLES IN {warehouse.name('gold')}").collect()}
+    assert names == {"t", "t__v9", "t__v10"}

@@ -9,7 +9,6 @@ from tripmill.plans import gold
 from tripmill.plans.silver import clean
 from tripmill.schema import BRONZE_TRIPS, SILVER_TRIPS
 from tests.conftest import SF_DIR
-from verification.queries import QUERIES
 
 
 def plan(df):
@@ -51,10 +50,3 @@ def test_gold_is_hash_aggregation_over_few_columns(stored):
         assert "Window" not in text
     read = re.search(r"FileScan parquet [^\[]*\[(.*?)\]", plan(gold.hourly_demand_heatmap(silver)))[1]
     assert "total_amount" in read and "fare_amount" not in read
-
-
-@pytest.mark.parametrize("name", list(QUERIES))
-def test_no_query_crosses_joins_or_leaves_the_jvm(spark, name):
-    text = plan(QUERIES[name](spark, SF_DIR))
-    for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "InArrow"):
-        assert banned not in text

@@ -25,6 +25,9 @@ def test_query_gives_the_rows_of_its_sql(spark, connection, name):
     assert sorted(df.columns) == columns
     assert spark_types(df) == oracle_types(connection, sql)
     assert spark_rows(df) == wanted
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "InArrow"):
+        assert banned not in plan
 
 
 def test_flagship(spark):

@@ -32,8 +32,6 @@ from tripmill.sources.warehouse import Warehouse
 DAG_ID = "trip_pipeline"
 TASK_ID = "full_pipeline"
 
-# Files hold ranges of pickup time; the id at the end lets a crowded moment be split over tasks.
-SILVER_LAYOUT = ("pickup_datetime", "ingestion_id")
 # Columns that queries on silver filter and group by.
 SILVER_STATISTICS = (
     "pickup_datetime",
@@ -67,7 +65,8 @@ def build_silver(warehouse: Warehouse, version: int) -> DataFrame:
         clean(warehouse.bronze()),
         SILVER_TRIPS,
         version,
-        cluster_by=SILVER_LAYOUT,
+        cluster_by=("pickup_date",),
+        sort_by=("pickup_datetime",),
         statistics=SILVER_STATISTICS,
     )
 

@@ -89,20 +89,24 @@ class Warehouse:
         version: int,
         order_by: Sequence[str] = (),
         cluster_by: Sequence[str] = (),
-        statistics: Sequence[str] = (),
+        sort_by: Sequence[str] = (),
+        statistics: Sequence[str] | str = (),
         keep: int = 2,
     ) -> DataFrame:
         """Rebuild ``table`` as ``version`` and make it the public one.
 
-        ``order_by`` is the order the public view reads in. ``cluster_by`` lays the files out in
-        ranges of these columns, for min/max skipping; let it end in a unique column, so that one
-        frequent value can still be split over tasks. ``statistics`` names the columns to analyze,
-        or is ``"*"`` for all. The newest ``keep`` versions stay, for readers still on them.
+        ``order_by`` is the order the public view reads in. ``cluster_by`` brings rows of equal
+        values together in files and ``sort_by`` orders the rows of a file, both for min/max
+        skipping; adaptive execution sizes the files, and spreads a value that many rows share over
+        several. ``statistics`` names the columns to analyze, or is ``"*"`` for all. The newest
+        ``keep`` versions stay, for readers still on them.
         """
         public = self.name(table)
         stored = f"{public}__v{version}"
         if cluster_by:
-            df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+            df = df.hint("rebalance", *cluster_by)
+        if sort_by:
+            df = df.sortWithinPartitions(*sort_by)
         self.spark.sql(f"DROP TABLE IF EXISTS {stored}")
         df.write.format("parquet").saveAsTable(stored)
         if statistics == "*":

@@ -192,3 +192,15 @@ def test_versions(spark, warehouse):
         assert warehouse.read("gold.t").count() == version
     names = {r.tableName for r in spark.sql(f"SHOW TABLES IN {warehouse.name('gold')}").collect()}
     assert names == {"t", "t__v9", "t__v10"}
+
+
+def test_command_line(spark, warehouse, landed, capsys):
+    from tripmill.__main__ import main
+
+    prefix = ["--prefix", warehouse.prefix]
+    main([*prefix, "run", landed, "--source-url", "u", "--page-size", "100", "--max-pages", "0"])
+    main([*prefix, "runs"])
+    main([*prefix, "check"])
+    shown = capsys.readouterr().out
+    assert "run 1: 250 rows in batch batch_" in shown
+    assert "trip_pipeline" in shown and "gold_coverage" in shown

@@ -31,7 +31,7 @@ ROLLUP_KEYS = (
 
 # Rollup measure -> silver column it sums; its count of known values is <measure>_n where a mean
 # is taken of it.
-_SUMS = {
+SUMS = {
     "passengers": "passenger_count",
     "revenue": "total_amount",
     "fares": "fare_amount",
@@ -44,14 +44,14 @@ _SUMS = {
     "speed": "avg_speed_mph",
     "mile_cost": "cost_per_mile",
 }
-_MEANS = ("revenue", "tips", "tip_rate", "distance", "duration", "speed", "mile_cost")
-_COUNTS = ("trips", "tipped", *[f"{m}_n" for m in _MEANS])
+MEANS = ("revenue", "tips", "tip_rate", "distance", "duration", "speed", "mile_cost")
+COUNTS = ("trips", "tipped", *[f"{m}_n" for m in MEANS])
 
 
 def trip_rollup(silver: DataFrame) -> DataFrame:
     """Additive measures per day, hour, vendor and payment type."""
-    sums = [F.sum(column).alias(measure) for measure, column in _SUMS.items()]
-    known = [F.count(_SUMS[m]).alias(f"{m}_n") for m in _MEANS]
+    sums = [F.sum(column).alias(measure) for measure, column in SUMS.items()]
+    known = [F.count(SUMS[m]).alias(f"{m}_n") for m in MEANS]
     return silver.groupBy(*ROLLUP_KEYS).agg(
         F.count("*").alias("trips"),
         F.count_if(F.col("tip_amount") > 0).alias("tipped"),
@@ -62,7 +62,7 @@ def trip_rollup(silver: DataFrame) -> DataFrame:
 
 def _merge(rollup: DataFrame, *keys: str) -> DataFrame:
     """The rollup at a coarser grain."""
-    return rollup.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in (*_COUNTS, *_SUMS)])
+    return rollup.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in (*COUNTS, *SUMS)])
 
 
 def _mean(measure: str, places: int = 2) -> Column:
@@ -89,7 +89,7 @@ def daily_from_rollup(rollup: DataFrame, now: datetime | None = None) -> DataFra
     # By hour first: an hour's trips may be spread over several payment codes of one label.
     hourly = _merge(rollup, *keys, "pickup_hour")
     daily = hourly.groupBy(*keys).agg(
-        *[F.sum(m).alias(m) for m in (*_COUNTS, *_SUMS)],
+        *[F.sum(m).alias(m) for m in (*COUNTS, *SUMS)],
         peak_hour(F.col("trips"), F.col("pickup_hour")).alias("peak_pickup_hour"),
     )
     day = F.col("pickup_date")

@@ -12,6 +12,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM does not compile methods beyond 8000 bytes of code. Parsing twenty columns in one
+    # generated method would run interpreted; beyond the limit Spark generates smaller ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -308,9 +308,9 @@ def dedupe_latest(spark, sf_dir):
 
 
 def trip_rollup(spark, sf_dir):
-    measures = (*gold._COUNTS, *gold._SUMS)
+    measures = (*gold.COUNTS, *gold.SUMS)
     rollup = gold.trip_rollup(silver(spark, sf_dir))
-    ratio_sums = [m for m in ("tip_rate", "duration", "speed", "mile_cost")]
+    ratio_sums = ("tip_rate", "duration", "speed", "mile_cost")
     return rollup.select(
         *gold.ROLLUP_KEYS,
         *[F.round(m, 4).alias(m) if m in ratio_sums else F.col(m) for m in measures],

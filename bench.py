@@ -17,12 +17,14 @@ from tripmill.fixtures import raw_trips
 from tripmill.operators.dedupe import latest_per_key
 from tripmill.operators.gates import batch_counts
 from tripmill.plans import gold
+from tripmill.plans.bronze import ingest
 from tripmill.plans.pipeline import build_gold, build_silver, check_warehouse
 from tripmill.plans.silver import clean, typed
 from tripmill.schema import BRONZE_TRIPS, RUN_LOG, SILVER_TRIPS
 from tripmill.session import build_session
 from tripmill.sources.feed import newest
 from tripmill.sources.warehouse import Warehouse
+from verification.queries import PAGE_ROWS, landed_pages
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -59,6 +61,14 @@ def main() -> None:
         run(df)()
         timed(name, run(df))
 
+    landing = os.path.join(home, "landing")
+    os.makedirs(landing)
+    for row in landed_pages(spark, SF_DIR).toLocalIterator():
+        with open(os.path.join(landing, f"page-{row.page:06d}.json"), "w") as page:
+            page.write(row.body)
+    pages = {"page_size": PAGE_ROWS, "max_pages": None}
+    stage("ingest_pages", ingest(spark, landing, 1, "b", NOW, "file://landing", **pages))
+
     # The fixture has many batches at once: bring the rows of a batch together before the append.
     raw = raw_trips(spark, SF_DIR).hint("rebalance", "batch_id")
     run(raw)()

@@ -7,8 +7,8 @@ a few scans per table for any number of checks, each of only the columns it need
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -26,8 +26,7 @@ class Check:
     column: str
     kind: str
     rule: str = ""
-    values: tuple = field(default=())
-    severity: str = WARN
+    values: tuple = ()
 
     @property
     def name(self) -> str:
@@ -43,19 +42,19 @@ def _violates(check: Check) -> Column:
 
 
 
-def _unpivoted(totals: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """One row per check from the one row of counts ``c0, c1, ...``."""
+def _unpivoted(totals: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``(check_name, failing)`` from the one row of counts ``c0, c1, ...``."""
     pairs = [
-        F.struct(F.lit(c.name).alias("check_name"), F.col(f"c{i}").alias("failing"))
-        for i, c in enumerate(checks)
+        F.struct(F.lit(name).alias("check_name"), F.col(f"c{i}").alias("failing"))
+        for i, name in enumerate(names)
     ]
     return totals.select(F.inline(F.array(*pairs)))
 
 
-def row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """``(check_name, failing)`` of not-null and expression checks: one pass, one row each."""
-    totals = df.agg(*[F.count_if(_violates(c)).alias(f"c{i}") for i, c in enumerate(checks)])
-    return _unpivoted(totals, checks)
+def count_rows(df: DataFrame, violations: Mapping[str, Column]) -> DataFrame:
+    """``(check_name, failing)``: rows that meet each condition, counted in one pass."""
+    counts = [F.count_if(v).alias(f"c{i}") for i, v in enumerate(violations.values())]
+    return _unpivoted(df.agg(*counts), list(violations))
 
 
 def duplicates(df: DataFrame, column: str) -> DataFrame:
@@ -95,18 +94,29 @@ def accepted_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     found = unexpected_values(df, checks).agg(
         *[F.count_if(F.col("check_name") == c.name).alias(f"c{i}") for i, c in enumerate(checks)]
     )
-    return _unpivoted(found, checks)
+    return _unpivoted(found, [c.name for c in checks])
 
 
-def check_table(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
-    """``(check_name, failing)`` of all checks of one table."""
+def check_table(
+    df: DataFrame, checks: Iterable[Check], violations: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """``(check_name, failing)`` of all checks of one table.
+
+    ``violations`` are conditions over several columns, by name; they are counted in the same pass
+    as the not-null and expression checks.
+    """
     checks = list(checks)
-    kinds = {
-        row_checks: [c for c in checks if c.kind in (NOT_NULL, EXPRESSION)],
-        unique_checks: [c for c in checks if c.kind == UNIQUE],
-        accepted_checks: [c for c in checks if c.kind == ACCEPTED],
-    }
-    return reduce(DataFrame.unionByName, [run(df, some) for run, some in kinds.items() if some])
+    rows = {c.name: _violates(c) for c in checks if c.kind in (NOT_NULL, EXPRESSION)}
+    unique = [c for c in checks if c.kind == UNIQUE]
+    accepted = [c for c in checks if c.kind == ACCEPTED]
+    parts = []
+    if rows or violations:
+        parts.append(count_rows(df, {**rows, **(violations or {})}))
+    if unique:
+        parts.append(unique_checks(df, unique))
+    if accepted:
+        parts.append(accepted_checks(df, accepted))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def missing_from(df: DataFrame, other: DataFrame, *keys: str) -> DataFrame:
@@ -116,13 +126,9 @@ def missing_from(df: DataFrame, other: DataFrame, *keys: str) -> DataFrame:
     return wanted.join(other.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def over_long(df: DataFrame, limits: dict[str, int]) -> DataFrame:
+def over_long(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     """``(check_name, failing)``: rows whose text is longer than its column's limit."""
-    checks = [
-        Check(table="", column=f"length({c})", kind=EXPRESSION, rule=f"<= {n}")
-        for c, n in limits.items()
-    ]
-    return row_checks(df, checks)
+    return count_rows(df, {f"length({c}) <= {n}": F.length(c) > n for c, n in limits.items()})
 
 
 def outcome(severity: Column, failing: Column) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -136,19 +135,18 @@ def run_reference(bronze: DataFrame, runs: DataFrame) -> DataFrame:
     )
 
 
-def _table_checks(tables: Mapping[str, DataFrame]) -> list[tuple[str, str, DataFrame]]:
-    """Checks over whole tables: ``(name, table, failing rows)``; those whose tables are given."""
-    needs = [
-        (DROPOFF_AFTER_PICKUP, dropoff_after_pickup, (SILVER_TRIPS,)),
-        (TOTAL_GTE_FARE, total_gte_fare, (SILVER_TRIPS,)),
-        (GOLD_COVERAGE, gold_coverage, (SILVER_TRIPS, GOLD_DAILY)),
-        (RUN_REFERENCE, run_reference, (BRONZE_TRIPS, RUN_LOG)),
-    ]
-    return [
-        (name, used[0], failing(*[tables[t] for t in used]))
-        for name, failing, used in needs
-        if all(t in tables for t in used)
-    ]
+# Conditions over several columns that no row of a table may meet.
+_ROW_CHECKS = {
+    SILVER_TRIPS: {
+        DROPOFF_AFTER_PICKUP: ends_before_start,
+        TOTAL_GTE_FARE: total_below_fare,
+    }
+}
+# Checks of one table against another: keys of the first that the second lacks.
+_REFERENCES = {
+    GOLD_COVERAGE: (gold_coverage, SILVER_TRIPS, GOLD_DAILY),
+    RUN_REFERENCE: (run_reference, BRONZE_TRIPS, RUN_LOG),
+}
 
 
 def run_checks(
@@ -161,35 +159,31 @@ def run_checks(
     or for all with the key ``"*"``.
     """
     severities = severities or {}
-    everywhere = severities.get("*", WARN)
-    checks = [
-        replace(c, severity=severities.get(c.name, everywhere))
-        for c in COLUMN_CHECKS
-        if c.table in tables
-    ]
-    whole = _table_checks(tables)
-    counts = [check_table(tables[t], [c for c in checks if c.table == t]) for t in tables
-              if checks_of(t)]
-    counts += [
-        rows.agg(F.count("*").alias("failing")).select(F.lit(name).alias("check_name"), "failing")
-        for name, _, rows in whole
-    ]
-    described = [(c.name, c.table, c.column, c.kind, c.severity) for c in checks]
-    described += [
-        (name, table, None, "rows", severities.get(name, everywhere)) for name, table, _ in whole
-    ]
+    counts, described = [], []
+    for table, df in tables.items():
+        checks = checks_of(table)
+        rows = {name: condition() for name, condition in _ROW_CHECKS.get(table, {}).items()}
+        if checks or rows:
+            counts.append(check_table(df, checks, rows))
+        described += [(c.name, table, c.column, c.kind) for c in checks]
+        described += [(name, table, None, "rows") for name in rows]
+    for name, (missing, table, other) in _REFERENCES.items():
+        if table in tables and other in tables:
+            failing = missing(tables[table], tables[other]).agg(F.count("*").alias("failing"))
+            counts.append(failing.select(F.lit(name).alias("check_name"), "failing"))
+            described.append((name, table, None, "reference"))
     # The descriptions are literals of the program, not data: a lookup by name within each row.
     about = F.create_map(
         *[
             part
-            for name, table, column, kind, severity in described
+            for name, table, column, kind in described
             for part in (
                 F.lit(name),
                 F.struct(
                     F.lit(table).alias("table_name"),
                     F.lit(column).cast("string").alias("column_name"),
                     F.lit(kind).alias("kind"),
-                    F.lit(severity).alias("severity"),
+                    F.lit(severities.get(name, severities.get("*", WARN))).alias("severity"),
                 ),
             )
         ]

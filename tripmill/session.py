@@ -18,22 +18,22 @@ DEFAULTS = {
 }
 
 
-# Bytes a shuffle task should get, and a scan task.
-_SHUFFLE_TASK_BYTES = 128 << 20
-_SCAN_TASK_BYTES = 256 << 20
+_MIB = 1 << 20
 
 
 def sized_for(input_bytes: int) -> dict[str, str]:
-    """Settings for jobs over this much input: enough shuffle tasks that none has to spill.
+    """Settings for jobs over this much input.
 
-    Adaptive execution merges tasks that turn out small, so the count may be generous; it cannot
-    add tasks where there are too few.
+    Adaptive execution merges tasks that turn out small, so their number may be generous; it cannot
+    add tasks where there are too few. But every scan task writes a block for every shuffle task:
+    beyond some ten terabytes tasks get larger instead of more, and sort with spilling.
     """
-    tasks = max(200, -(-input_bytes // _SHUFFLE_TASK_BYTES))
+    shuffle_tasks = min(max(200, input_bytes // (128 * _MIB)), 40_000)
+    scan_task = min(max(128 * _MIB, input_bytes // 100_000), 1024 * _MIB)
     return {
-        "spark.sql.shuffle.partitions": str(tasks),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_SHUFFLE_TASK_BYTES),
-        "spark.sql.files.maxPartitionBytes": str(_SCAN_TASK_BYTES),
+        "spark.sql.shuffle.partitions": str(shuffle_tasks),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * _MIB),
+        "spark.sql.files.maxPartitionBytes": str(scan_task),
     }
 
 

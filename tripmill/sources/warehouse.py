@@ -116,12 +116,12 @@ class Warehouse:
             self.spark.sql(f"ANALYZE TABLE {stored} COMPUTE STATISTICS FOR COLUMNS {names}")
         tail = f" ORDER BY {', '.join(order_by)}" if order_by else ""
         self.spark.sql(f"CREATE OR REPLACE VIEW {public} AS SELECT * FROM {stored}{tail}")
-        self._drop_older(table, keep)
+        self._drop_older(table, version, keep)
         return self.spark.table(stored)
 
-    def _drop_older(self, table: str, keep: int) -> None:
+    def _drop_older(self, table: str, current: int, keep: int) -> None:
         layer, bare = self.name(table).split(".")
         shown = self.spark.sql(f"SHOW TABLES IN {layer} LIKE '{bare}__v*'").collect()
-        versions = sorted(int(row.tableName.rsplit("__v", 1)[1]) for row in shown)
-        for old in versions[:-keep]:
+        versions = {int(row.tableName.rsplit("__v", 1)[1]) for row in shown}
+        for old in sorted(versions - {current}, reverse=True)[keep - 1 :]:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}__v{old}")

@@ -680,7 +680,7 @@ def oracle_sql() -> dict[str, str]:
         "dq_text_limits": _with(_RAW)
         + _union(
             [
-                f" SELECT 'expression:.length({c}) <= 4' AS check_name, "
+                f" SELECT 'length({c}) <= 4' AS check_name, "
                 f"COUNT(CASE WHEN length({c}) > 4 THEN 1 END) AS failing FROM raw"
                 for c in _TEXT_COLUMNS
             ]

@@ -21,7 +21,6 @@ from tripmill.operators.conform import to_bronze
 from tripmill.operators.dedupe import TRIP_KEY, latest_per_key
 from tripmill.operators.filters import business_rules, required_present
 from tripmill.operators.gates import all_batch_counts, batch_counts
-from tripmill.operators.lineage import computed_once
 from tripmill.operators.quality import (
     ACCEPTED,
     EXPRESSION,
@@ -55,6 +54,7 @@ from tripmill.schema import (
     as_table,
 )
 from tripmill.sources.feed import newest, page_slice, pages_to_last, records
+from verification.shared import computed_once
 
 RATIOS = ("trip_duration_mins", "avg_speed_mph", "cost_per_mile", "tip_percentage")
 

@@ -1,4 +1,4 @@
-"""Results that several parts of one query share."""
+"""A result that several parts of one query share."""
 
 from __future__ import annotations
 

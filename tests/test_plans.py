@@ -1,13 +1,17 @@
 """Physical plans: what is read, shuffled and joined."""
 
 import re
+from datetime import datetime
 
 import pytest
 
 from tripmill.fixtures import raw_trips
 from tripmill.plans import gold
+from tripmill.plans.bronze import ingest
+from tripmill.plans.checks import gold_coverage, run_checks
 from tripmill.plans.silver import clean
 from tripmill.schema import BRONZE_TRIPS, SILVER_TRIPS
+from tripmill.sources.feed import newest
 from tests.conftest import SF_DIR
 
 
@@ -50,3 +54,30 @@ def test_gold_is_hash_aggregation_over_few_columns(stored):
         assert "Window" not in text
     read = re.search(r"FileScan parquet [^\[]*\[(.*?)\]", plan(gold.hourly_demand_heatmap(silver)))[1]
     assert "total_amount" in read and "fare_amount" not in read
+
+
+def test_ingest_of_all_pages_does_not_shuffle(spark, tmp_path, land, feed_record):
+    folder = land(tmp_path / "land", [feed_record()])
+    rows = ingest(spark, folder, 1, "b", datetime(2024, 1, 1), "u", stop_at_short_page=False)
+    assert "Exchange" not in plan(rows)
+
+
+def test_newest_narrows_in_a_tree(stored):
+    rows = stored.bronze().select("ingestion_id", "tpep_pickup_datetime")
+    text = plan(newest(rows, "tpep_pickup_datetime", "ingestion_id"))
+    assert text.startswith("AdaptiveSparkPlan") and "TakeOrderedAndProject(limit=10000" in text
+    assert text.count("REBALANCE_PARTITIONS") == 2 and "rangepartitioning" not in text
+    # Rows are dropped before each shuffle.
+    assert len(re.findall(r"Filter .*_place.* < 10000", text)) == 3
+
+
+def test_totals_are_a_subquery_of_one_row(stored):
+    rollup = gold.trip_rollup(stored.read(SILVER_TRIPS))
+    text = plan(gold.payment_from_rollup(rollup))
+    assert "Subquery" in text and "Join" not in text and "Window" not in text
+
+
+def test_checks_of_silver_scan_it_three_times(stored):
+    silver = stored.read(SILVER_TRIPS)
+    assert plan(run_checks({SILVER_TRIPS: silver})).count("FileScan") == 3
+    assert "LeftAnti" in plan(gold_coverage(silver, gold.daily_trip_summary(silver)))

@@ -36,6 +36,13 @@ def test_record_keys_match_by_exact_case(spark, tmp_path, land):
     assert "surprise" not in rows[0] and rows[1].RatecodeID is None
 
 
+def test_page_number_is_the_last_number_of_the_name(spark, tmp_path):
+    names = {"2024-06-01_page-3.json": 3, "page00042.json.txt": 42, "7": 7}
+    for name in names:
+        (tmp_path / name).write_text("[]")
+    assert sorted(r.page for r in read_pages(spark, str(tmp_path)).collect()) == [3, 7, 42]
+
+
 def test_normalise_fills_and_drops(spark):
     df = spark.createDataFrame([("1", "2", "9")], "VendorID string, vendor_id string, x string")
     row = normalise(df.select("VendorID", "x")).first()

@@ -30,5 +30,16 @@ def test_query_gives_the_rows_of_its_sql(spark, connection, name):
         assert banned not in plan
 
 
+@pytest.mark.parametrize("name", ["silver_trips", "calendar_parts", "run_log_state"])
+def test_results_do_not_depend_on_the_session_zone(spark, connection, name):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = spark_rows(driver.queries()[name](spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == oracle_rows(connection, driver.oracle_sql()[name])[1]
+
+
 def test_flagship(spark):
     assert driver.entry(spark).count() == 161

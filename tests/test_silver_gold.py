@@ -1,7 +1,9 @@
 """The models on literal rows: traps of de-duplication, validation and aggregation."""
 
+from collections import Counter, defaultdict
 from datetime import date, datetime
 from decimal import Decimal
+from fractions import Fraction
 
 from pyspark.sql import functions as F
 
@@ -193,3 +195,50 @@ def test_gold_agrees_with_silver(spark):
     assert gold.payment_analysis(silver, NOW).exceptAll(
         gold.payment_from_rollup(rollup, NOW)
     ).isEmpty()
+
+
+def rounded(value, places):
+    """Half away from zero, exactly; ``value`` is a fraction or None."""
+    if value is None:
+        return None
+    unit = 10**places
+    return Decimal(int(abs(value) * unit + Fraction(1, 2))) / unit * (1 if value >= 0 else -1)
+
+
+def exact_mean(rows, column, places):
+    known = [Fraction(r[column]) for r in rows if r[column] is not None]
+    return rounded(sum(known) / len(known), places) if known else None
+
+
+def test_gold_agrees_with_exact_arithmetic(spark):
+    """Every group of the daily and payment tables, worked out in fractions."""
+    silver = clean(raw_trips(spark, SF_DIR))
+    trips = silver.collect()
+
+    days = defaultdict(list)
+    for r in trips:
+        days[r.pickup_date, r.vendor_id, r.payment_type_label].append(r)
+    daily = gold.daily_trip_summary(silver).collect()
+    assert len(daily) == len(days) == 248
+    for d in daily:
+        rows = days[d.pickup_date, d.vendor_id, d.payment_type_label]
+        hours = Counter(r.pickup_hour for r in rows)
+        assert d.peak_pickup_hour == min(hours, key=lambda h: (-hours[h], h))
+        assert d.total_trips == len(rows)
+        assert d.total_revenue == sum(r.total_amount for r in rows)
+        assert d.avg_fare_per_trip == exact_mean(rows, "total_amount", 2)
+        assert d.avg_tip_rate == exact_mean(rows, "tip_percentage", 4)
+        assert d.avg_speed_mph == exact_mean(rows, "avg_speed_mph", 2)
+        assert d.avg_cost_per_mile == exact_mean(rows, "cost_per_mile", 2)
+        assert d.total_duration_mins == rounded(sum(Fraction(r.trip_duration_mins) for r in rows), 2)
+
+    kinds = defaultdict(list)
+    for r in trips:
+        kinds[r.payment_type_code, r.payment_type_label].append(r)
+    revenue = Fraction(sum(r.total_amount for r in trips))
+    for p in gold.payment_analysis(silver).collect():
+        rows = kinds[p.payment_type_code, p.payment_type_label]
+        assert p.avg_tip == exact_mean(rows, "tip_amount", 2)
+        assert p.pct_of_total_trips == rounded(Fraction(100 * len(rows), len(trips)), 2)
+        own = Fraction(sum(r.total_amount for r in rows))
+        assert p.pct_of_total_revenue == rounded(100 * own / revenue, 2)

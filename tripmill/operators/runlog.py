@@ -60,7 +60,7 @@ def open_event(
     spark: SparkSession, run_id: int, dag_id: str, task_id: str, execution_date: str, now: datetime
 ) -> DataFrame:
     return _event(
-        spark.range(1),
+        spark.range(0, 1, numPartitions=1),
         {
             "event_seq": F.lit(OPENED),
             "run_id": F.lit(run_id),
@@ -78,7 +78,7 @@ def open_event(
 
 def ingested_event(spark: SparkSession, run_id: int, rows: int) -> DataFrame:
     return _event(
-        spark.range(1),
+        spark.range(0, 1, numPartitions=1),
         {
             "event_seq": F.lit(INGESTED),
             "run_id": F.lit(run_id),

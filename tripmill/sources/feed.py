@@ -1,8 +1,8 @@
 """The record feed: landed JSON pages, and newest-first extracts of a record table.
 
-A page is one file holding one JSON array of flat records, named with its page number
-(``page-00042.json``). Pages are read as whole texts, so the place of a record in the feed is known
-from page number and array position alone, with no shuffle.
+A page is one file holding one JSON array of flat records, with its page number, from 0, at the end
+of its name (``page-00042.json``). Pages are read as whole texts, so the place of a record in the
+feed is known from page number and array position alone, with no shuffle.
 """
 
 from __future__ import annotations
@@ -20,7 +20,10 @@ MAX_PAGES = 10
 
 def page_columns() -> list[Column]:
     """``page`` and ``body`` of a landed file; also serves streaming reads."""
-    digits = F.regexp_extract(F.col("_metadata.file_name"), r"([0-9]+)", 1)
+    # The last number before the extensions.
+    digits = F.regexp_extract(
+        F.col("_metadata.file_name"), r"([0-9]+)(\.[A-Za-z][A-Za-z0-9]*)*$", 1
+    )
     return [
         F.when(digits != "", digits.cast("bigint"))
         .otherwise(F.raise_error(F.lit("landed page without a page number in its file name")))

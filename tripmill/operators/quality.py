@@ -41,7 +41,6 @@ def _violates(check: Check) -> Column:
     return F.expr(f"NOT ({check.column} {check.rule})")
 
 
-
 def _unpivoted(totals: DataFrame, names: Sequence[str]) -> DataFrame:
     """``(check_name, failing)`` from the one row of counts ``c0, c1, ...``."""
     pairs = [
@@ -65,14 +64,17 @@ def duplicates(df: DataFrame, column: str) -> DataFrame:
 
 def unexpected_values(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """``(check_name, value, n)``: distinct values outside the allowed list; NULL is allowed."""
+    unexpected = {c: ~F.col(c.column).isin(*c.values) for c in checks}
     pairs = [
         F.struct(
             F.lit(c.name).alias("check_name"),
-            F.when(~F.col(c.column).isin(*c.values), F.col(c.column).cast("string")).alias("value"),
+            F.when(bad, F.col(c.column).cast("string")).alias("value"),
         )
-        for c in checks
+        for c, bad in unexpected.items()
     ]
-    values = df.select(F.inline(F.array(*pairs))).where("value IS NOT NULL")
+    # Only rows with something unexpected are taken apart.
+    rows = df.where(reduce(Column.__or__, unexpected.values()))
+    values = rows.select(F.inline(F.array(*pairs))).where("value IS NOT NULL")
     return values.groupBy("check_name", "value").agg(F.count("*").alias("n"))
 
 

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,13 +65,63 @@ def part_of(key: Column, bounds: list[int]) -> Column:
     return part(key.cast("long"))
 
 
-def strings(column: pa.ChunkedArray | pa.Array) -> list[str]:
-    """Values as strings, NULL as the empty one."""
-    return ["" if v is None else v for v in column.to_pylist()]
+def starts_part(key: Column, bounds: list[int]) -> Column:
+    """Whether ``key`` is one of ``bounds``; false for NULL."""
+    edges = np.array(bounds, dtype=np.int64)
+
+    @F.pandas_udf("boolean")
+    def starts(keys: pd.Series) -> pd.Series:
+        return keys.notna() & keys.fillna(0).astype("int64").isin(edges)
+
+    return starts(key.cast("long"))
+
 
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The rows of ``counts`` (..., n) with the largest n, at most ``most``: rows of equal n together.
 
-def bytes_column(parts: list[bytes]) -> pa.Array:
-    return pa.array(parts, pa.binary())
+    The driver gets the number of rows for each n, not the rows.
+    """
+    sizes = counts.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.count("*").alias("rows")).collect()
+    kept, least = 0, None
+    for row in sorted(sizes, key=lambda r: -r.n):
+        if kept + row.rows > most:
+            break
+        kept, least = kept + row.rows, row.n
+    return counts.where(F.lit(False) if least is None else F.col("n") >= least)
+
+
+def to_file(arrays: dict[str, np.ndarray]) -> bytes:
+    """Arrays of 64-bit numbers one after the other, behind a line with their names, kinds and lengths."""
+    head = json.dumps({name: (a.dtype.kind, len(a)) for name, a in arrays.items()}).encode()
+    head += b" " * (-(len(head) + 1) % 8) + b"\n"
+    return head + b"".join(np.ascontiguousarray(a, dtype=f"<{a.dtype.kind}8").tobytes() for a in arrays.values())
+
+
+def mapped(path: str) -> dict[str, np.ndarray]:
+    """The arrays of a file made by ``to_file``, memory-mapped."""
+    with open(path, "rb") as file:
+        line = file.readline()
+    at, arrays = len(line), {}
+    for name, (kind, length) in json.loads(line).items():
+        dtype = f"<{kind}8"
+        arrays[name] = np.memmap(path, dtype, "r", at, (length,)) if length else np.zeros(0, dtype)
+        at += 8 * length
+    return arrays
+
+
+def shared_file(spark: SparkSession, data: bytes, name: str) -> str:
+    """``data`` as a file in the shared folder that Spark hands to every executor; the name to find it by."""
+    path = f"{shared_path(spark, name)}.bin"
+    context = spark.sparkContext
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
+    try:
+        for start in range(0, len(data), 1 << 22):
+            stream.write(bytearray(data[start : start + (1 << 22)]))
+    finally:
+        stream.close()
+    context.addFile(path)
+    return path.rsplit("/", 1)[1]
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -101,10 +150,3 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         now = written(small.toDF("a", "b"), name)
     roots = now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     return now.select(F.col("b").alias("node"), F.col("a").alias("component")).union(roots)
-
-
-def batches_of(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``rows``."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)

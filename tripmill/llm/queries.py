@@ -3,11 +3,23 @@
 from __future__ import annotations
 
 from tripmill.llm.chat import op9_chat_formatting
+from tripmill.llm.fingerprint import op4_content_chunks
+from tripmill.llm.language import op2_language_id
+from tripmill.llm.lexicon import op7_bpe_lexicon
+from tripmill.llm.packing import op3_best_fit_packing
+from tripmill.llm.scoring import op8_lm_scoring
 from tripmill.llm.token_files import op1_token_files
+from tripmill.llm.vectors import op10_embedding_near_dedup
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_language_id": op2_language_id,
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_content_chunks": op4_content_chunks,
+    "op7_bpe_lexicon": op7_bpe_lexicon,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_chat_formatting": op9_chat_formatting,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
 ORACLES: dict[str, str] = {}

@@ -124,6 +124,28 @@ def shared_file(spark: SparkSession, data: bytes, name: str) -> str:
     return path.rsplit("/", 1)[1]
 
 
+def possibly_in(key: Column, ids: DataFrame, bits: int = 1 << 25) -> Column:
+    """False only where ``key`` is surely not in ``ids`` (one column of longs): a semi-join's filter before its shuffle.
+
+    A bit array of fixed size, whatever the number of ids: as it fills, it lets more rows through, all of
+    which the join then decides.
+    """
+    spark = ids.sparkSession
+    place = F.pmod(F.xxhash64(F.col(ids.columns[0])), F.lit(bits))
+    words = ids.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("word"))
+    rows = words.agg(F.expr("bit_or(shiftleft(1L, CAST(p & 63 AS INT))) AS v")).toArrow()
+    table_ = np.zeros(bits >> 6, dtype=np.int64)
+    table_[rows.column("word").to_numpy()] = rows.column("v").to_numpy()
+    sent = spark.sparkContext.broadcast(table_)
+
+    @F.pandas_udf("boolean")
+    def hit(places: pd.Series) -> pd.Series:
+        p = places.to_numpy()
+        return pd.Series((sent.value[p >> 6] >> (p & 63)) & 1 == 1)
+
+    return hit(F.pmod(F.xxhash64(key), F.lit(bits)))
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b): the smallest node that links reach.
 

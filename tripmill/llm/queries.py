@@ -6,6 +6,8 @@ from tripmill.llm.chat import op9_chat_formatting
 from tripmill.llm.fingerprint import op4_content_chunks
 from tripmill.llm.language import op2_language_id
 from tripmill.llm.lexicon import op7_bpe_lexicon
+from tripmill.llm.line_chunks import op5_line_chunks
+from tripmill.llm.minhash import op6_minhash_near_dedup
 from tripmill.llm.packing import op3_best_fit_packing
 from tripmill.llm.scoring import op8_lm_scoring
 from tripmill.llm.token_files import op1_token_files
@@ -16,6 +18,8 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_content_chunks": op4_content_chunks,
+    "op5_line_chunks": op5_line_chunks,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_bpe_lexicon": op7_bpe_lexicon,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_chat_formatting": op9_chat_formatting,

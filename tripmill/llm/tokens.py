@@ -38,7 +38,7 @@ def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class _Filled(dict):
+class Filled(dict):
     """A dictionary that computes what it lacks, emptied when it holds ``limit`` entries."""
 
     def __init__(self, compute: Callable[[str], bytes], limit: int) -> None:
@@ -71,8 +71,8 @@ class TextEncoder:
         added = self.library.get_added_tokens_decoder().values()
         self.marked = re.compile("|".join(sorted({re.escape(token.content[:2]) for token in added})) or r"(?!)").search
         self.model, self.lower = self.library.model, kind == "word_end"
-        self.words = _Filled(self._word, _LIMIT)
-        self.parts = _Filled(self._part, _LIMIT)
+        self.words = Filled(self._word, _LIMIT)
+        self.parts = Filled(self._part, _LIMIT)
 
     def whole(self, text: str) -> bytes:
         return packed(self.library.encode(text, add_special_tokens=False).ids)

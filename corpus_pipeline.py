@@ -37,8 +37,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, shingles of five words."""
     groups = near_duplicates(docs, size=5, percent=80)
-    dropped = groups.where(~F.col("kept")).select(F.col("doc_id").alias("_doc_id")).distinct()
-    return docs.join(dropped, F.col("doc_id").cast("long") == F.col("_doc_id"), "left_anti").select(docs.columns)
+    dropped = groups.where(~F.col("kept")).select(F.col("doc_id").alias("__doc_id")).distinct()
+    return docs.join(dropped, F.col("doc_id").cast("long") == F.col("__doc_id"), "left_anti").select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

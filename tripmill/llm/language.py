@@ -183,8 +183,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         return pd.DataFrame(found, columns=["lang_pred", "score"])
 
     rest = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    done = docs.select(*rest, language("text").alias("_language"))
-    return done.select(*rest, "_language.lang_pred", "_language.score")
+    done = docs.select(*rest, language("text").alias("__language"))
+    return done.select(*rest, "__language.lang_pred", "__language.score")
 
 
 def remainder(doc_id: Column, divisor: int) -> Column:

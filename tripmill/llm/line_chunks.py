@@ -139,7 +139,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 def without_repeated_chunks(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text, ...) with repeated chunks taken out of the texts."""
     rest = [c for c in docs.columns if c not in ("text", "removed_chunks", "removed_chars")]
-    removed = written(repeated_chunks(docs), "removed-chunks").withColumnRenamed("doc_id", "_doc_id")
+    removed = written(repeated_chunks(docs), "removed-chunks").toDF("__doc_id", "__removed")
 
     @F.pandas_udf("text string, chunks int, chars long")
     def cut(texts, removals):  # noqa: ANN001, ANN202
@@ -159,12 +159,12 @@ def without_repeated_chunks(docs: DataFrame) -> DataFrame:
             rows.append(("".join([*kept, text[at:]]), count, chars))
         return pd.DataFrame(rows, columns=["text", "chunks", "chars"])
 
-    joined = docs.select(*rest, "text").join(removed, F.col("doc_id").cast("long") == F.col("_doc_id"), "left")
-    done = joined.select(*rest, cut("text", "removed").alias("_cut"))
+    joined = docs.select(*rest, "text").join(removed, F.col("doc_id").cast("long") == F.col("__doc_id"), "left")
+    done = joined.select(*rest, cut("text", "__removed").alias("__cut"))
     return done.select(
-        *(c if c in rest else F.col("_cut.text").alias("text") for c in docs.columns if c in rest or c == "text"),
-        F.col("_cut.chunks").alias("removed_chunks"),
-        F.col("_cut.chars").alias("removed_chars"),
+        *(c if c in rest else F.col("__cut.text").alias("text") for c in docs.columns if c in rest or c == "text"),
+        F.col("__cut.chunks").alias("removed_chunks"),
+        F.col("__cut.chars").alias("removed_chars"),
     )
 
 

@@ -66,8 +66,7 @@ def main() -> None:
     for row in landed_pages(spark, SF_DIR).toLocalIterator():
         with open(os.path.join(landing, f"page-{row.page:06d}.json"), "w") as page:
             page.write(row.body)
-    pages = {"page_size": PAGE_ROWS, "max_pages": None}
-    stage("ingest_pages", ingest(spark, landing, 1, "b", NOW, "file://landing", **pages))
+    stage("ingest_pages", ingest(spark, landing, 1, "b", NOW, "file://landing", PAGE_ROWS))
 
     # The fixture has many batches at once: bring the rows of a batch together before the append.
     raw = raw_trips(spark, SF_DIR).hint("rebalance", "batch_id")
@@ -87,7 +86,7 @@ def main() -> None:
     timed("gold_tables", lambda: build_gold(warehouse, 2, NOW))
     stage("batch_validation", batch_counts(warehouse.bronze(), "batch_redo"))
     narrow = bronze.select("ingestion_id", "tpep_pickup_datetime", "total_amount")
-    stage("newest_trips_topn", newest(narrow, "tpep_pickup_datetime", "ingestion_id"))
+    stage("newest_trips_topn", newest(narrow, "tpep_pickup_datetime", "ingestion_id", 10_000))
     stage("dq_report", check_warehouse(warehouse))
     stage("run_log_state", warehouse.read(RUN_LOG))
     print(

@@ -7,7 +7,7 @@ from datetime import datetime
 import pytest
 
 from tripmill.operators.conform import new_batch_id, normalise
-from tripmill.plans.bronze import ingest
+from tripmill.plans.bronze import ingest, pages_left_out
 from tripmill.schema import BRONZE
 from tripmill.sources.feed import newest, page_slice, pages_to_last, read_pages, records
 from tests.conftest import columns_of
@@ -80,12 +80,34 @@ def test_ingest(spark, tmp_path, land, feed_record):
     }
 
 
-def test_ingest_without_looking_for_the_last_page(spark, tmp_path, land, feed_record):
-    folder = land(tmp_path / "land", [feed_record() for _ in range(25)], page_size=10)
-    (tmp_path / "land" / "page-00001.json").unlink()
-    options = {"page_size": 10, "stop_at_short_page": False}
-    assert ingest(spark, folder, 1, "b", AT, "u", max_pages=None, **options).count() == 15
-    assert ingest(spark, folder, 1, "b", AT, "u", max_pages=2, **options).count() == 10
+def test_no_landed_page_is_dropped(spark, tmp_path, land, feed_record):
+    folder = land(tmp_path / "land", [feed_record() for _ in range(250)], page_size=10)
+    assert ingest(spark, folder, 1, "b", AT, "u", 10).count() == 250
+    assert pages_left_out(spark, folder, 10) == 0
+    (tmp_path / "land" / "page-00003.json").write_text(json.dumps([feed_record()] * 9))
+    (tmp_path / "land" / "page-00007.json").unlink()
+    assert ingest(spark, folder, 1, "b", AT, "u", 10).count() == 239
+    # A larger page size only numbers the records differently.
+    assert ingest(spark, folder, 1, "b", AT, "u", 1000).count() == 239
+    # Both limits are options, and what they leave out is known.
+    assert ingest(spark, folder, 1, "b", AT, "u", 10, max_pages=2).count() == 20
+    assert pages_left_out(spark, folder, 10, max_pages=2) == 22
+    assert ingest(spark, folder, 1, "b", AT, "u", 10, stop_at_short_page=True).count() == 39
+    assert pages_left_out(spark, folder, 10, stop_at_short_page=True) == 20
+
+
+def test_page_numbers_must_begin_at_zero_and_differ(spark, tmp_path, land, feed_record):
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one" / "page-1.json").write_text(json.dumps([feed_record()]))
+    with pytest.raises(ValueError, match="page 0 is absent"):
+        ingest(spark, str(tmp_path / "one"), 1, "b", AT, "u")
+    (tmp_path / "two").mkdir()
+    for name in ("a-0.json", "b-0.json", "b-1.json"):
+        (tmp_path / "two" / name).write_text(json.dumps([feed_record()]))
+    with pytest.raises(ValueError, match="page number 0 occurs twice"):
+        ingest(spark, str(tmp_path / "two"), 1, "b", AT, "u")
+    with pytest.raises(ValueError, match="no block of ids"):
+        ingest(spark, land(tmp_path / "three", [feed_record()]), 1 << 23, "b", AT, "u")
 
 
 def test_bad_pages_are_errors(spark, tmp_path, land, feed_record):
@@ -122,6 +144,26 @@ def test_newest_and_pages_agree_with_a_full_sort(spark):
     assert page_slice(df, "t", "id", 30, 100).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["one second", "no times", "few rows", "timestamps"])
+def test_newest_of_odd_times(spark, kind):
+    from datetime import timedelta
+
+    times = {
+        "one second": ["2024-01-05 10:00:00"] * 500,
+        "no times": [None] * 480 + ["2024-01-05"] * 20,
+        "few rows": ["2024-01-05", "2024-01-06", None],
+        "timestamps": [AT + timedelta(hours=i % 90) for i in range(499)] + [None],
+    }[kind]
+    data = list(enumerate(times))
+    df = spark.createDataFrame(data, f"id int, t {'timestamp_ntz' if kind == 'timestamps' else 'string'}")
+    known = sorted((r for r in data if r[1] is not None), key=lambda r: (r[1], r[0]), reverse=True)
+    full = known + sorted((r for r in data if r[1] is None), reverse=True)
+    assert [tuple(r) for r in newest(df, "t", "id", 100).collect()] == full[:100]
+    for page in (0, 1, 4):
+        got = [tuple(r) for r in page_slice(df, "t", "id", page, 50).collect()]
+        assert got == full[page * 50 : page * 50 + 50]
+
+
 def test_large_landed_numbers_stay_text(spark, tmp_path):
     (tmp_path / "land").mkdir()
     body = json.dumps([{"total_amount": 12345678.25, "payment_type": 1}])

@@ -77,7 +77,7 @@ def test_run_twice(spark, warehouse, landed):
     counts = [r.trip_count for r in warehouse.read(GOLD_PAYMENT).collect()]
     assert counts == sorted(counts, reverse=True)
 
-    assert second.report.count() == 52
+    assert second.report.count() == 72
     assert second.report.where("status <> 'pass'").isEmpty()
 
     runs = warehouse.read(RUN_LOG)
@@ -105,6 +105,41 @@ def test_a_failed_run_is_logged_as_failed(warehouse, landed, tmp_path):
     assert all(r.completed_at is not None for r in states)
 
 
+def test_pages_left_out_are_told(warehouse, landed):
+    with pytest.warns(UserWarning, match="2 landed pages"):
+        result = run_pipeline(warehouse, landed, "2024-06-01", "u", page_size=100, max_pages=1)
+    assert (result.rows_ingested, result.pages_left_out) == (100, 2)
+    assert RunLog(warehouse).latest().first().error_message == "2 landed pages were left out"
+
+
+def test_runs_of_billions_of_rows_are_logged(warehouse):
+    log, rows = RunLog(warehouse), 3_000_000_000
+    run_id = log.open("d", "t", "2024-06-01", datetime(2024, 6, 1))
+    log.mark_ingested(run_id, rows)
+    log.close(run_id, "success", rows, datetime(2024, 6, 2))
+    assert log.latest().first().rows_ingested == rows
+
+
+def test_the_first_error_is_the_one_raised(warehouse, landed, monkeypatch):
+    def broken(*args, **more):
+        raise OSError("log is away")
+
+    monkeypatch.setattr(RunLog, "mark_ingested", lambda *args: 1 / 0)
+    monkeypatch.setattr(RunLog, "close", broken)
+    with pytest.raises(ZeroDivisionError) as raised:
+        run_pipeline(warehouse, landed, "2024-06-01", "u", page_size=100)
+    assert any("log is away" in note for note in raised.value.__notes__)
+
+
+def test_malformed_times_fail_or_are_set_aside(warehouse, tmp_path, land, feed_record):
+    rows = [feed_record(), feed_record(vendor_id="2", tpep_pickup_datetime="31/12/2023 25:00")]
+    folder = land(tmp_path / "times", rows)
+    with pytest.raises(Exception, match="31/12/2023"):
+        run_pipeline(warehouse, folder, "2024-06-01", "u")
+    run_pipeline(warehouse, folder, "2024-06-02", "u", set_malformed_times_aside=True)
+    assert warehouse.read(SILVER_TRIPS).count() == 1
+
+
 def add_stray_row(warehouse):
     """A bronze row of batch ``old``, from an unknown run."""
     known = {
@@ -198,7 +233,7 @@ def test_command_line(spark, warehouse, landed, capsys):
     from tripmill.__main__ import main
 
     prefix = ["--prefix", warehouse.prefix]
-    main([*prefix, "run", landed, "--source-url", "u", "--page-size", "100", "--max-pages", "0"])
+    main([*prefix, "run", landed, "--source-url", "u", "--page-size", "100"])
     main([*prefix, "runs"])
     main([*prefix, "check"])
     shown = capsys.readouterr().out

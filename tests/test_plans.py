@@ -62,19 +62,35 @@ def test_ingest_of_all_pages_does_not_shuffle(spark, tmp_path, land, feed_record
     assert "Exchange" not in plan(rows)
 
 
-def test_newest_narrows_in_a_tree(stored):
+def test_newest_sorts_no_input_rows(stored):
     rows = stored.bronze().select("ingestion_id", "tpep_pickup_datetime")
-    text = plan(newest(rows, "tpep_pickup_datetime", "ingestion_id"))
-    assert text.startswith("AdaptiveSparkPlan") and "TakeOrderedAndProject(limit=10000" in text
-    assert text.count("REBALANCE_PARTITIONS") == 2 and "rangepartitioning" not in text
-    # Rows are dropped before each shuffle.
-    assert len(re.findall(r"Filter .*_place.* < 10000", text)) == 3
-
-
-def test_totals_are_a_subquery_of_one_row(stored):
-    rollup = gold.trip_rollup(stored.read(SILVER_TRIPS))
-    text = plan(gold.payment_from_rollup(rollup))
-    assert "Subquery" in text and "Join" not in text and "Window" not in text
+    text = plan(newest(rows, "tpep_pickup_datetime", "ingestion_id", 10_000))
+    main = text[: text.index("Subquery")]
+    # A scalar cut-off at the scan, then the k best rows of every task; only days are sorted.
+    assert "TakeOrderedAndProject(limit=10000" in main and "Sort [" not in main
+    assert "REBALANCE" not in text and "rangepartitioning" not in text
+
+
+def test_totals_come_from_the_groups_of_the_same_read(stored):
+    shares = gold.payment_analysis(stored.read(SILVER_TRIPS))
+    shares.collect()
+    text = plan(shares)
+    final = text.split("\n+- == Initial Plan ==")[0]
+    assert "Join" not in final and "Window" not in final
+    assert "ReusedExchange" in final
+
+
+def test_layout_shuffles_parsed_columns_only(stored, monkeypatch):
+    from tripmill.plans import pipeline
+
+    taken = {}
+    monkeypatch.setattr(stored, "publish", lambda df, *rest, **more: taken.update(df=df, **more))
+    pipeline.build_silver(stored, 7)
+    text = plan(taken["df"])
+    below = text[text.index("REBALANCE") :]
+    assert taken["statistics"] == "*"
+    assert "md5" in text and "md5" not in below and "date_format" not in below
+    assert "trip_duration_mins" not in below and "cost_per_mile" not in below
 
 
 def test_checks_of_silver_scan_it_three_times(stored):

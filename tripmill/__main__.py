@@ -13,7 +13,7 @@ from tripmill.operators.runlog import RunLog
 from tripmill.plans.checks import raise_on_failures
 from tripmill.plans.pipeline import check_warehouse, run_pipeline
 from tripmill.session import build_session
-from tripmill.sources.feed import MAX_PAGES, PAGE_SIZE
+from tripmill.sources.feed import PAGE_SIZE
 from tripmill.sources.warehouse import Warehouse
 
 
@@ -26,8 +26,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     run.add_argument("--source-url", required=True, help="where the pages were fetched from")
     run.add_argument("--day", default=date.today().isoformat(), help="execution date")
     run.add_argument("--page-size", type=int, default=PAGE_SIZE)
-    run.add_argument("--max-pages", type=int, default=MAX_PAGES, help="0 for no limit")
-    run.add_argument("--all-pages", action="store_true", help="do not stop at a short page")
+    run.add_argument("--max-pages", type=int, help="ingest pages below this number only")
+    run.add_argument("--stop-at-short-page", action="store_true", help="end at a short page")
+    run.add_argument("--set-malformed-times-aside", action="store_true", help="do not fail on them")
     check = commands.add_parser("check", help="report the data-quality checks")
     for command in (run, check):
         command.add_argument(
@@ -53,10 +54,13 @@ def main(argv: list[str] | None = None) -> None:
             args.source_url,
             severities=dict.fromkeys(args.error, ERROR),
             page_size=args.page_size,
-            max_pages=args.max_pages or None,
-            stop_at_short_page=not args.all_pages,
+            max_pages=args.max_pages,
+            stop_at_short_page=args.stop_at_short_page,
+            set_malformed_times_aside=args.set_malformed_times_aside,
         )
         print(f"run {result.run_id}: {result.rows_ingested} rows in batch {result.batch_id}")
+        if result.pages_left_out:
+            print(f"{result.pages_left_out} landed pages left out")
         result.report.where("status <> 'pass'").show(100, truncate=False)
     elif args.command == "check":
         report = check_warehouse(warehouse, dict.fromkeys(args.error, ERROR))

@@ -39,6 +39,8 @@ def ingestion_id(run_id: int, page: Column, position: Column, page_size: int) ->
 
     Unique, rising in feed order and from run to run, and the same again when a task is retried.
     """
+    if not 0 < run_id < 1 << (63 - _BLOCK_BITS):
+        raise ValueError(f"run id {run_id} leaves no block of ids")
     place = page * page_size + position
     fits = (position < page_size) & (place < (1 << _BLOCK_BITS))
     return F.when(fits, F.lit(run_id << _BLOCK_BITS) + place).otherwise(

@@ -7,7 +7,42 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmill.operators.conform import to_bronze
-from tripmill.sources.feed import MAX_PAGES, PAGE_SIZE, pages_to_last, read_pages, records
+from tripmill.sources.feed import (
+    PAGE_SIZE,
+    count_landed,
+    pages_to_last,
+    read_pages,
+    records,
+)
+
+
+def chosen_pages(
+    spark: SparkSession,
+    landing_dir: str,
+    page_size: int = PAGE_SIZE,
+    max_pages: int | None = None,
+    stop_at_short_page: bool = False,
+) -> DataFrame:
+    """The landed pages of an extract: all of them, unless one of the options is set."""
+    pages = read_pages(spark, landing_dir)
+    if stop_at_short_page:
+        return pages_to_last(pages, page_size, max_pages)
+    return pages if max_pages is None else pages.where(pages.page < max_pages)
+
+
+def pages_left_out(
+    spark: SparkSession,
+    landing_dir: str,
+    page_size: int = PAGE_SIZE,
+    max_pages: int | None = None,
+    stop_at_short_page: bool = False,
+) -> int:
+    """Number of landed pages that these options leave out."""
+    landed = count_landed(spark, landing_dir)
+    if max_pages is None and not stop_at_short_page:
+        return 0
+    options = (page_size, max_pages, stop_at_short_page)
+    return landed - chosen_pages(spark, landing_dir, *options).select("page").count()
 
 
 def ingest(
@@ -18,17 +53,15 @@ def ingest(
     ingested_at: datetime,
     source_url: str,
     page_size: int = PAGE_SIZE,
-    max_pages: int | None = MAX_PAGES,
-    stop_at_short_page: bool = True,
+    max_pages: int | None = None,
+    stop_at_short_page: bool = False,
 ) -> DataFrame:
-    """Bronze rows of one landed extract.
+    """Bronze rows of one landed extract: of all its pages.
 
-    For a bulk load set ``max_pages=None``; if every landed page belongs to the extract, also
-    ``stop_at_short_page=False``, which saves the first pass that looks for the last page.
+    ``stop_at_short_page`` ends it at the first page that is short, empty or absent, and ``max_pages``
+    bounds it; ``pages_left_out`` tells how many landed pages that drops. Page numbers are checked from
+    file names before anything is read.
     """
-    pages = read_pages(spark, landing_dir)
-    if stop_at_short_page:
-        pages = pages_to_last(pages, page_size, max_pages)
-    elif max_pages is not None:
-        pages = pages.where(pages.page < max_pages)
+    count_landed(spark, landing_dir)
+    pages = chosen_pages(spark, landing_dir, page_size, max_pages, stop_at_short_page)
     return to_bronze(records(pages), source_url, batch_id, run_id, ingested_at, page_size)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.operators.filters import ends_before_start, total_below_fare
@@ -22,6 +22,7 @@ from tripmill.operators.quality import (
     outcome,
 )
 from tripmill.schema import (
+    BRONZE_TEXT_LIMITS,
     BRONZE_TRIPS,
     DEFAULT_PAYMENT_LABEL,
     GOLD_DAILY,
@@ -135,8 +136,15 @@ def run_reference(bronze: DataFrame, runs: DataFrame) -> DataFrame:
     )
 
 
-# Conditions over several columns that no row of a table may meet.
+def _longer_than(column: str, limit: int) -> Callable[[], Column]:
+    return lambda: F.length(column) > limit
+
+
+# Conditions over texts or several columns that no row of a table may meet.
 _ROW_CHECKS = {
+    BRONZE_TRIPS: {
+        f"text_limit_{c}": _longer_than(c, n) for c, n in BRONZE_TEXT_LIMITS.items()
+    },
     SILVER_TRIPS: {
         DROPOFF_AFTER_PICKUP: ends_before_start,
         TOTAL_GTE_FARE: total_below_fare,

@@ -151,17 +151,27 @@ def heatmap_from_rollup(rollup: DataFrame, now: datetime | None = None) -> DataF
     )
 
 
-def payment_from_rollup(
-    rollup: DataFrame, now: datetime | None = None, totals_of: DataFrame | None = None
-) -> DataFrame:
-    """``totals_of`` may name a cheaper source of the columns ``trips`` and ``revenue``."""
+_PAYMENT_MEASURES = (
+    "trips",
+    "tipped",
+    "revenue",
+    "revenue_n",
+    "tips",
+    "tips_n",
+    "tip_rate",
+    "tip_rate_n",
+    "distance",
+    "distance_n",
+    "duration",
+    "duration_n",
+)
+
+
+def payment_from_rollup(rollup: DataFrame, now: datetime | None = None) -> DataFrame:
     groups = _merge(rollup, "payment_type_code", "payment_type_label")
-    groups = with_totals(
-        groups,
-        rollup if totals_of is None else totals_of,
-        all_trips=F.sum("trips"),
-        all_revenue=F.sum("revenue"),
-    )
+    # Totals of each measure that the table shows, so that both uses of the groups need the same
+    # columns: Spark then computes the groups once and reads their exchange twice.
+    groups = with_totals(groups, groups, **{f"all_{m}": F.sum(m) for m in _PAYMENT_MEASURES})
     return as_table(
         groups.select(
             "payment_type_code",
@@ -196,5 +206,4 @@ def hourly_demand_heatmap(silver: DataFrame, now: datetime | None = None) -> Dat
 
 def payment_analysis(silver: DataFrame, now: datetime | None = None) -> DataFrame:
     """Revenue and tips per payment type, with shares of the whole."""
-    totals = silver.select(F.lit(1).alias("trips"), F.col("total_amount").alias("revenue"))
-    return payment_from_rollup(trip_rollup(silver), now, totals_of=totals)
+    return payment_from_rollup(trip_rollup(silver), now)

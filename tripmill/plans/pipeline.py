@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tripmill.operators import runlog
 from tripmill.operators.conform import new_batch_id
 from tripmill.operators.gates import batch_counts, require_passed
 from tripmill.operators.runlog import RunLog
 from tripmill.plans import gold
-from tripmill.plans.bronze import ingest
+from tripmill.plans.bronze import ingest, pages_left_out
 from tripmill.plans.checks import raise_on_failures, run_checks
-from tripmill.plans.silver import clean
+from tripmill.plans.silver import derived, latest_valid, without_malformed_times
 from tripmill.schema import (
     BRONZE_TRIPS,
     GOLD_DAILY,
@@ -26,22 +28,12 @@ from tripmill.schema import (
     RUN_LOG,
     SILVER_TRIPS,
 )
-from tripmill.sources.feed import MAX_PAGES, PAGE_SIZE
+from tripmill.sources.feed import PAGE_SIZE
 from tripmill.sources.warehouse import Warehouse
 
 DAG_ID = "trip_pipeline"
 TASK_ID = "full_pipeline"
 
-# Columns that queries on silver filter and group by.
-SILVER_STATISTICS = (
-    "pickup_datetime",
-    "pickup_date",
-    "pickup_hour",
-    "vendor_id",
-    "payment_type_code",
-    "payment_type_label",
-)
-
 # Orders in which the public views of two gold tables read.
 HEATMAP_ORDER = ("day_of_week_num", "pickup_hour")
 PAYMENT_ORDER = ("trip_count DESC", "payment_type_label", "payment_type_code")
@@ -53,22 +45,26 @@ class PipelineResult:
     batch_id: str
     rows_ingested: int
     report: DataFrame
+    pages_left_out: int = 0
 
 
 def _utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def build_silver(warehouse: Warehouse, version: int) -> DataFrame:
-    """Rebuild silver from all of bronze."""
-    return warehouse.publish(
-        clean(warehouse.bronze()),
-        SILVER_TRIPS,
-        version,
-        cluster_by=("pickup_date",),
-        sort_by=("pickup_datetime",),
-        statistics=SILVER_STATISTICS,
-    )
+def build_silver(
+    warehouse: Warehouse, version: int, set_malformed_times_aside: bool = False
+) -> DataFrame:
+    """Rebuild silver from all of bronze, laid out by pickup date and time.
+
+    The layout shuffles parsed columns; keys, measures and calendar parts are derived after it.
+    """
+    bronze = warehouse.bronze()
+    if set_malformed_times_aside:
+        bronze = without_malformed_times(bronze)
+    dated = latest_valid(bronze).withColumn("pickup_date", F.to_date("pickup_datetime"))
+    laid_out = dated.hint("rebalance", "pickup_date").sortWithinPartitions("pickup_datetime")
+    return warehouse.publish(derived(laid_out), SILVER_TRIPS, version, statistics="*")
 
 
 def build_gold(warehouse: Warehouse, version: int, now: datetime) -> None:
@@ -107,20 +103,28 @@ def run_pipeline(
     batch_id: str | None = None,
     severities: Mapping[str, str] | None = None,
     page_size: int = PAGE_SIZE,
-    max_pages: int | None = MAX_PAGES,
-    stop_at_short_page: bool = True,
+    max_pages: int | None = None,
+    stop_at_short_page: bool = False,
+    set_malformed_times_aside: bool = False,
     clock: Callable[[], datetime] = _utc_now,
 ) -> PipelineResult:
     """Ingest one landed extract and rebuild everything from it.
 
-    The run is logged as failed if any stage raises, with the error's text; the error is raised on.
+    All landed pages are ingested; pages that ``max_pages`` or ``stop_at_short_page`` leave out are counted
+    in the result and in the run log, with a warning. The run is logged as failed if any stage raises,
+    with the error's text; the error is raised on, also if logging it fails. A malformed time is an
+    error unless ``set_malformed_times_aside``: then silver lacks those rows.
     """
     warehouse.create()
     log = RunLog(warehouse)
     batch_id = batch_id or new_batch_id(day)
     run_id = log.open(DAG_ID, TASK_ID, day, clock())
-    rows = 0
+    rows = left_out = 0
     try:
+        options = (page_size, max_pages, stop_at_short_page)
+        left_out = pages_left_out(warehouse.spark, landing_dir, *options)
+        if left_out:
+            warnings.warn(f"{left_out} landed pages are left out", stacklevel=2)
         landed = ingest(
             warehouse.spark,
             landing_dir,
@@ -128,21 +132,23 @@ def run_pipeline(
             batch_id,
             clock(),
             source_url,
-            page_size,
-            max_pages,
-            stop_at_short_page,
+            *options,
         )
         warehouse.append(landed, BRONZE_TRIPS)
         found = batch_counts(warehouse.bronze(), batch_id).first()
         rows = found.row_count
         log.mark_ingested(run_id, rows)
         require_passed(found)
-        build_silver(warehouse, run_id)
+        build_silver(warehouse, run_id, set_malformed_times_aside)
         build_gold(warehouse, run_id, clock())
         report = warehouse.publish(check_warehouse(warehouse, severities), "metadata.checks", run_id)
         raise_on_failures(report)
     except Exception as error:
-        log.close(run_id, runlog.FAILED, rows, clock(), f"{type(error).__name__}: {error}")
+        try:
+            log.close(run_id, runlog.FAILED, rows, clock(), f"{type(error).__name__}: {error}")
+        except Exception as log_error:
+            error.add_note(f"the run could not be logged as failed: {log_error}")
         raise
-    log.close(run_id, runlog.SUCCESS, rows, clock())
-    return PipelineResult(run_id, batch_id, rows, report)
+    note = f"{left_out} landed pages were left out" if left_out else None
+    log.close(run_id, runlog.SUCCESS, rows, clock(), note)
+    return PipelineResult(run_id, batch_id, rows, report, left_out)

@@ -80,12 +80,20 @@ def enriched(trips: DataFrame) -> DataFrame:
     )
 
 
-def clean(bronze: DataFrame) -> DataFrame:
-    """The silver table.
+def latest_valid(bronze: DataFrame) -> DataFrame:
+    """Parsed columns of the latest row of each trip, if it is valid.
 
-    The latest row of a trip is chosen first and validated after: if it is invalid, the trip is
-    gone, even if an older row was valid. Derived columns come last, so the one shuffle carries
-    parsed columns only.
+    The latest row is chosen first and validated after: if it is invalid, the trip is gone, even if
+    an older row was valid.
     """
-    latest = latest_per_key(typed(bronze))
-    return as_table(enriched(latest.where(business_rules())), SILVER)
+    return latest_per_key(typed(bronze)).where(business_rules())
+
+
+def derived(trips: DataFrame) -> DataFrame:
+    """Parsed rows as silver rows."""
+    return as_table(enriched(trips), SILVER)
+
+
+def clean(bronze: DataFrame) -> DataFrame:
+    """The silver table. Derived columns come last, so the one shuffle carries parsed columns only."""
+    return derived(latest_valid(bronze))

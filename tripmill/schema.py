@@ -202,9 +202,9 @@ RUNS = _table(
     ("task_id", "string"),
     ("execution_date", "timestamp_ntz"),
     ("status", "string"),
-    ("rows_ingested", "int"),
-    ("rows_inserted", "int"),
-    ("rows_updated", "int"),
+    ("rows_ingested", "bigint"),
+    ("rows_inserted", "bigint"),
+    ("rows_updated", "bigint"),
     ("error_message", "string"),
     ("started_at", "timestamp_ntz"),
     ("completed_at", "timestamp_ntz"),

@@ -7,29 +7,29 @@ feed is known from page number and array position alone, with no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.schema import FEED_RECORD
 
-# The feed's page size, and the pages one ordinary run fetches.
+# Fixed value: the feed's page size.
 PAGE_SIZE = 1000
-MAX_PAGES = 10
 
 
-def page_columns() -> list[Column]:
-    """``page`` and ``body`` of a landed file; also serves streaming reads."""
+def _page_number() -> Column:
     # The last number before the extensions.
     digits = F.regexp_extract(
         F.col("_metadata.file_name"), r"([0-9]+)(\.[A-Za-z][A-Za-z0-9]*)*$", 1
     )
-    return [
-        F.when(digits != "", digits.cast("bigint"))
-        .otherwise(F.raise_error(F.lit("landed page without a page number in its file name")))
-        .alias("page"),
-        F.col("value").alias("body"),
-    ]
+    return F.when(digits != "", digits.cast("bigint")).otherwise(
+        F.raise_error(F.lit("landed page without a page number in its file name"))
+    )
+
+
+def page_columns() -> list[Column]:
+    """``page`` and ``body`` of a landed file; also serves streaming reads."""
+    return [_page_number().alias("page"), F.col("value").alias("body")]
 
 
 def read_pages(spark: SparkSession, landing_dir: str) -> DataFrame:
@@ -37,8 +37,32 @@ def read_pages(spark: SparkSession, landing_dir: str) -> DataFrame:
     return spark.read.text(landing_dir, wholetext=True).select(*page_columns())
 
 
+def count_landed(spark: SparkSession, landing_dir: str) -> int:
+    """Number of landed pages, from file names alone: no page is read.
+
+    An extract whose page 0 is absent, or with a page number that occurs twice, is an error: records
+    are numbered by page and position.
+    """
+    numbers = spark.read.format("binaryFile").load(landing_dir).select(_page_number().alias("page"))
+    found = (
+        numbers.groupBy("page")
+        .agg(F.count("*").alias("files"))
+        .agg(
+            F.coalesce(F.sum("files"), F.lit(0)).alias("files"),
+            F.min("page").alias("first"),
+            F.min(F.when(F.col("files") > 1, F.col("page"))).alias("repeated"),
+        )
+        .first()
+    )
+    if found.files and found.first != 0:
+        raise ValueError(f"landed pages begin at {found.first}: page 0 is absent in {landing_dir}")
+    if found.repeated is not None:
+        raise ValueError(f"page number {found.repeated} occurs twice in {landing_dir}")
+    return found.files
+
+
 def pages_to_last(
-    pages: DataFrame, page_size: int = PAGE_SIZE, max_pages: int | None = MAX_PAGES
+    pages: DataFrame, page_size: int = PAGE_SIZE, max_pages: int | None = None
 ) -> DataFrame:
     """Pages up to and including the first that is short, empty or absent; at most ``max_pages``.
 
@@ -82,38 +106,57 @@ def _order(time_column: str, tie_break: str) -> list[Column]:
     return [F.desc_nulls_last(time_column), F.desc_nulls_last(tie_break)]
 
 
-def _first_of_each_partition(df: DataFrame, order: list[Column], limit: int) -> DataFrame:
-    # The low 33 bits of a monotonically increasing id count the rows of a partition.
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    ranked = df.sortWithinPartitions(*order).withColumn("_place", place)
-    return ranked.where(F.col("_place") < limit).drop("_place")
+def _day(df: DataFrame, time_column: str) -> Column:
+    """The day of a time: of a text its first ten characters, which order as the texts do."""
+    is_text = dict(df.dtypes)[time_column] == "string"
+    return F.substring(time_column, 1, 10) if is_text else F.to_date(time_column)
 
 
-def _candidates(df: DataFrame, order: list[Column], limit: int) -> DataFrame:
-    """Rows that can be among the first ``limit``, narrowed down in a tree.
+def _days_newest_first(df: DataFrame, time_column: str, limit: int) -> DataFrame:
+    """``(day, rows, upto)`` of the newest ``limit`` days; ``upto`` counts rows of this and newer days.
 
-    A plain top-k sends the k best rows of every partition to one task. Here they are first spread
-    over tasks of bounded size and narrowed again, twice, so that the last step sees few rows even
-    if there are very many partitions.
+    Each day holds a row at least, so these days hold the newest ``limit`` rows, and the running count is
+    over no more days than that. Reads one column, summed in the tasks first.
     """
-    narrowed = _first_of_each_partition(df, order, limit)
-    for _ in range(2):
-        narrowed = _first_of_each_partition(narrowed.hint("rebalance"), order, limit)
-    return narrowed
+    days = df.groupBy(_day(df, time_column).alias("day")).agg(F.count("*").alias("rows"))
+    newest_days = days.where("day IS NOT NULL").orderBy(F.desc("day")).limit(limit)
+    upto = F.sum("rows").over(Window.orderBy(F.desc("day")))
+    return newest_days.withColumn("upto", upto)
 
 
-def newest(
-    df: DataFrame, time_column: str, tie_break: str, limit: int = PAGE_SIZE * MAX_PAGES
-) -> DataFrame:
-    """The ``limit`` newest rows, newest first."""
-    order = _order(time_column, tie_break)
-    return _candidates(df, order, limit).orderBy(*order).limit(limit)
+def newest(df: DataFrame, time_column: str, tie_break: str, limit: int) -> DataFrame:
+    """The ``limit`` newest rows, newest first.
+
+    Rows older than the day in which the count reaches ``limit`` are left out at the scan, so few
+    rows beyond the result reach its last task. With fewer known times than that, all rows stay.
+    """
+    cut = _days_newest_first(df, time_column, limit).where(F.col("upto") >= limit)
+    oldest = cut.agg(F.max("day")).scalar()
+    kept = df.where(oldest.isNull() | (_day(df, time_column) >= oldest))
+    return kept.orderBy(*_order(time_column, tie_break)).limit(limit)
 
 
 def page_slice(
     df: DataFrame, time_column: str, tie_break: str, page: int, page_size: int = PAGE_SIZE
 ) -> DataFrame:
-    """Page number ``page`` (0-based) of the newest-first order."""
-    order = _order(time_column, tie_break)
-    candidates = _candidates(df, order, (page + 1) * page_size)
-    return candidates.orderBy(*order).offset(page * page_size).limit(page_size)
+    """Page number ``page`` (0-based) of the newest-first order.
+
+    Days that lie before or after the page are left out at the scan; how many rows the former
+    hold is one number that the driver fetches. So a deep page costs its last task no more than a
+    page of the first day does.
+    """
+    first, last = page * page_size, (page + 1) * page_size
+    days = _days_newest_first(df, time_column, last)
+    before = F.col("upto") <= first
+    found = days.agg(
+        F.coalesce(F.max(F.when(before, F.col("upto"))), F.lit(0)).alias("skipped"),
+        F.min(F.when(before, F.col("day"))).alias("newer_end"),
+        F.max(F.when(F.col("upto") >= last, F.col("day"))).alias("oldest"),
+    ).first()
+    day = _day(df, time_column)
+    if found.newer_end is not None:  # rows without a time come last of all
+        df = df.where(day.isNull() | (day < F.lit(found.newer_end)))
+    if found.oldest is not None:
+        df = df.where(day >= F.lit(found.oldest))
+    ordered = df.orderBy(*_order(time_column, tie_break))
+    return ordered.offset(first - found.skipped).limit(page_size)

@@ -325,9 +325,9 @@ runs AS (
            CASE WHEN c.event_type = 'error' THEN 'failed'
                 WHEN c.event_id IS NOT NULL THEN 'success'
                 WHEN t.event_id IS NOT NULL THEN 'ingested' ELSE 'running' END AS status,
-           CAST(coalesce(c.user_id, t.user_id, 0) AS INTEGER) AS rows_ingested,
-           0 AS rows_inserted,
-           0 AS rows_updated,
+           CAST(coalesce(c.user_id, t.user_id, 0) AS BIGINT) AS rows_ingested,
+           CAST(0 AS BIGINT) AS rows_inserted,
+           CAST(0 AS BIGINT) AS rows_updated,
            CASE WHEN c.event_type = 'error' THEN c.props END AS error_message,
            CAST(o.ts AS VARCHAR) AS started_at,
            CAST(c.ts AS VARCHAR) AS completed_at,
@@ -633,9 +633,9 @@ def oracle_sql() -> dict[str, str]:
             {_sum("speed_e", 4)} AS speed, {_sum("mile_e", 4)} AS mile_cost
         FROM trips GROUP BY trips.pickup_date, pickup_hour, vendor_id, payment_type_code,
             payment_type_label""",
-        "daily_trip_summary": daily + "* FROM daily",
-        "hourly_demand_heatmap": _with(*_TO_TRIPS, _HEAT) + " SELECT * FROM heat",
-        "payment_analysis": payment + "* FROM payment",
+        "daily_trip_summary": daily + "*, '2024-02-03 04:05:06' AS last_updated_at FROM daily",
+        "hourly_demand_heatmap": _with(*_TO_TRIPS, _HEAT) + " SELECT *, '2024-02-03 04:05:06' AS last_updated_at FROM heat",
+        "payment_analysis": payment + "*, '2024-02-03 04:05:06' AS last_updated_at FROM payment",
         "peak_hour_mode": daily
         + "CAST(pickup_date AS VARCHAR) AS pickup_date, vendor_id, payment_type_label, "
         "peak_pickup_hour FROM peaks",
@@ -694,6 +694,11 @@ def oracle_sql() -> dict[str, str]:
                 + _accepted_counts()
                 + _expression_counts()
                 + _TABLE_COUNTS
+                + [
+                    f"SELECT 'text_limit_{c}', 'bronze.raw_taxi_trips', COUNT(*) FROM lost "
+                    f"WHERE {c} IS NOT NULL AND ingestion_id % 107 = {k}"
+                    for k, c in enumerate(_TEXT_COLUMNS)
+                ]
             )
             + ")",
         )
@@ -704,5 +709,15 @@ def oracle_sql() -> dict[str, str]:
                        ELSE 'warn' END AS status
         FROM rated""",
         "run_log_state": _with(_RUNS) + " SELECT * FROM runs",
+        "run_log_events": """SELECT CAST(run_id AS INTEGER) AS run_id, 'd' AS dag_id, 't' AS task_id,
+            '2024-06-01 00:00:00' AS execution_date, status, rows_ingested,
+            CAST(0 AS BIGINT) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated, error_message,
+            '2024-02-03 04:05:06' AS started_at, completed_at,
+            CASE WHEN completed_at IS NOT NULL THEN CAST(90.13 AS DOUBLE) END AS duration_secs
+            FROM (SELECT 1, 3000000000 + min(event_id), 'success', NULL, '2024-02-03 04:06:36.125' FROM events
+                  UNION ALL
+                  SELECT 2, 3000000000 + max(event_id), 'failed', 'lost', '2024-02-03 04:06:36.125' FROM events
+                  UNION ALL SELECT 3, 5, 'ingested', NULL, NULL)
+            AS r(run_id, rows_ingested, status, error_message, completed_at)""",
         "latest_runs": _with(_RUNS) + " SELECT * FROM runs ORDER BY run_id DESC LIMIT 5",
     }

@@ -23,7 +23,8 @@ SPACE_FIRST_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 #: Below this character there are no marks to compose and no letters on which Unicode versions differ.
 PLAIN_BELOW = "ɐ"
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_LIMIT = 400_000
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+_LIMIT = 250_000
 
 
 def byte_letters() -> list[str]:
@@ -34,22 +35,38 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+def parts_of(text: str) -> list[str]:
+    """``text`` cut before each space that stands between two characters that are not white space."""
+    if not text:
+        return []
+    touches = text[0] == " " or text[-1] == " " or "  " in text or "\n " in text or " \n" in text
+    first, *later = _INNER_SPACE.split(text) if touches or _OTHER_SPACE.search(text) else text.split(" ")
+    return [first, *[" " + part for part in later]]
+
+
 def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Filled(dict):
-    """A dictionary that computes what it lacks, emptied when it holds ``limit`` entries."""
+    """A dictionary that computes what it lacks and holds at most ``limit`` entries, and as many set aside.
 
-    def __init__(self, compute: Callable[[str], bytes], limit: int) -> None:
-        self.compute, self.limit = compute, limit
+    When it is full, all entries are set aside and those asked for again come back, so frequent ones stay.
+    """
 
-    def __missing__(self, key: str) -> bytes:
-        value = self.compute(key)
-        if len(key) < 200:
-            if len(self) >= self.limit:
-                self.clear()
-            self[key] = value
+    def __init__(self, compute: Callable, limit: int) -> None:
+        self.compute, self.limit, self.aside = compute, limit, {}
+
+    def __missing__(self, key):  # noqa: ANN001, ANN204
+        value = self.aside.get(key)
+        if value is None:
+            value = self.compute(key)
+            if len(key) >= 200:
+                return value
+        if len(self) >= self.limit:
+            self.aside = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
@@ -73,33 +90,55 @@ class TextEncoder:
         self.model, self.lower = self.library.model, kind == "word_end"
         self.words = Filled(self._word, _LIMIT)
         self.parts = Filled(self._part, _LIMIT)
+        self.spaced = Filled(self._spaced, _LIMIT)
 
     def whole(self, text: str) -> bytes:
         return packed(self.library.encode(text, add_special_tokens=False).ids)
 
     def _word(self, word: str) -> bytes:
-        if not (word.isascii() and word.isalpha()):  # such letters stand for themselves
-            word = "".join([self.letters[b] for b in word.encode("utf-8")])
-        return packed([token.id for token in self.model.tokenize(word)])
+        bare = word[1:] if word[0] == " " else word
+        if bare.isascii() and bare.isalpha():  # such letters stand for themselves
+            mapped = self.letters[0x20] + bare if bare is not word else word
+        else:
+            mapped = "".join([self.letters[b] for b in word.encode("utf-8")])
+        return packed([token.id for token in self.model.tokenize(mapped)])
 
     def _part(self, part: str) -> bytes:
         if not part:
             return b""
-        if (not part.isascii() and max(part) >= PLAIN_BELOW) or self.marked(part):
+        if not part.isascii() and max(part) >= PLAIN_BELOW:
             return self.whole(part)
-        words = self.find(part.lower() if self.lower else part)
-        if len(words) == 1:
-            return self.words[words[0]]
-        return b"".join(map(self.words.__getitem__, words))
+        if self.lower:
+            part = part.lower()
+        letters = part[1:] if part[0] == " " else part
+        if letters.isalpha():
+            return self.words[part]
+        if letters[-1:] in (".", ",") and letters[:-1].isalpha():
+            return self.words[part[:-1]] + self.words[letters[-1]]
+        if self.marked(part):
+            return self.whole(part)
+        return b"".join(map(self.words.__getitem__, self.find(part)))
+
+    def _spaced(self, part: str) -> bytes:
+        """A part that a space comes before."""
+        if not part or part[0].isspace() or part[-1].isspace():
+            raise ValueError("white space at a part's end")
+        return self._part(" " + part)
 
     def __call__(self, text: str) -> bytes:
         if self.kind is None:
             return self.whole(text)
         if self.kind == "word_end":
             return b"".join(map(self.parts.__getitem__, text.split(" ")))
-        parts = _INNER_SPACE.split(text)
-        parts[1:] = [" " + part for part in parts[1:]]
-        return b"".join(map(self.parts.__getitem__, parts))
+        first, *later = text.split(" ")
+        try:
+            found = list(map(self.spaced.__getitem__, later))
+        except ValueError:  # a space touches other white space: look for the spaces that do not
+            first, *later = _INNER_SPACE.split(text)
+            return self._part(first) + b"".join([self._part(" " + part) for part in later])
+        if later and (not first or first[-1].isspace()):
+            return self._part(first + " " + later[0]) + b"".join(found[1:])
+        return self._part(first) + b"".join(found)
 
 
 _LOADED: dict[tuple, TextEncoder] = {}

@@ -24,6 +24,7 @@ from tripmill.schema import (
     SILVER,
     SILVER_TRIPS,
 )
+from tripmill.session import build_session
 from tripmill.streaming.landing import ingest_new_pages
 from tests.conftest import columns_of
 
@@ -229,13 +230,40 @@ def test_versions(spark, warehouse):
     assert names == {"t", "t__v9", "t__v10"}
 
 
-def test_command_line(spark, warehouse, landed, capsys):
-    from tripmill.__main__ import main
+def test_command_line(spark, warehouse, landed, capsys, monkeypatch):
+    from tripmill import __main__ as command
 
+    monkeypatch.setattr(command, "build_session", lambda durable: spark)
     prefix = ["--prefix", warehouse.prefix]
-    main([*prefix, "run", landed, "--source-url", "u", "--page-size", "100"])
-    main([*prefix, "runs"])
-    main([*prefix, "check"])
+    command.main([*prefix, "run", landed, "--source-url", "u", "--page-size", "100"])
+    command.main([*prefix, "runs"])
+    command.main([*prefix, "check"])
     shown = capsys.readouterr().out
     assert "run 1: 250 rows in batch batch_" in shown
     assert "trip_pipeline" in shown and "gold_coverage" in shown
+
+
+def test_a_catalog_in_memory_is_refused(spark):
+    if spark.conf.get("spark.sql.catalogImplementation") != "in-memory":
+        pytest.skip("the tests' session has a metastore")
+    with pytest.raises(RuntimeError, match="catalog is in memory"):
+        build_session(durable=True)
+
+
+def test_sizing_reaches_the_session(spark, landed, monkeypatch):
+    from tripmill import session
+
+    set_by_hand = spark.conf.get("spark.sql.shuffle.partitions")
+    session.size_to_input(spark, landed)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == set_by_hand
+    monkeypatch.setattr(type(spark.sparkContext.getConf()), "contains", lambda self, key: False)
+    keys = session.sized_for(1)
+    before = {key: spark.conf.get(key) for key in keys}
+    try:
+        session.size_to_input(spark, landed)
+        assert {key: spark.conf.get(key) for key in keys} == session.sized_for(1)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    huge = session.sized_for(100 << 40)
+    assert int(huge["spark.sql.shuffle.partitions"]) >= 100_000

@@ -12,7 +12,7 @@ from tripmill.operators.quality import ERROR
 from tripmill.operators.runlog import RunLog
 from tripmill.plans.checks import raise_on_failures
 from tripmill.plans.pipeline import check_warehouse, run_pipeline
-from tripmill.session import build_session
+from tripmill.session import build_session, size_to_input
 from tripmill.sources.feed import PAGE_SIZE
 from tripmill.sources.warehouse import Warehouse
 
@@ -45,8 +45,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
-    warehouse = Warehouse(build_session(), args.prefix)
+    spark = build_session(durable=True)
+    warehouse = Warehouse(spark, args.prefix)
     if args.command == "run":
+        size_to_input(spark, args.landing_dir)
         result = run_pipeline(
             warehouse,
             args.landing_dir,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Wall-clock times are stored without a zone, money is exact and never wraps
 # round silently, and the physical plan is sized at run time.
@@ -25,27 +26,49 @@ def sized_for(input_bytes: int) -> dict[str, str]:
     """Settings for jobs over this much input.
 
     Adaptive execution merges tasks that turn out small, so their number may be generous; it cannot
-    add tasks where there are too few. But every scan task writes a block for every shuffle task:
-    beyond some ten terabytes tasks get larger instead of more, and sort with spilling.
+    add tasks where there are too few. A scan task reads as much as a shuffle task, up to a
+    gibibyte: every scan task writes a block for every shuffle task, and the blocks must not get tiny.
     """
-    shuffle_tasks = min(max(200, input_bytes // (128 * _MIB)), 40_000)
-    scan_task = min(max(128 * _MIB, input_bytes // 100_000), 1024 * _MIB)
+    task = min(max(128 * _MIB, input_bytes // 100_000), 1024 * _MIB)
     return {
-        "spark.sql.shuffle.partitions": str(shuffle_tasks),
+        "spark.sql.shuffle.partitions": str(max(200, input_bytes // task)),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * _MIB),
-        "spark.sql.files.maxPartitionBytes": str(scan_task),
+        "spark.sql.files.maxPartitionBytes": str(task),
     }
 
 
+def size_to_input(spark: SparkSession, path: str) -> None:
+    """Apply ``sized_for`` to the files under ``path``, unless the session's task count was set by hand."""
+    if spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+        return
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    size = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    for key, value in sized_for(size).items():
+        spark.conf.set(key, value)
+
+
 def build_session(
     app_name: str = "tripmill",
     master: str | None = None,
     conf: dict[str, str] | None = None,
+    durable: bool = False,
 ) -> SparkSession:
-    """Session with ``DEFAULTS``; ``conf`` overrides them (see ``sized_for``)."""
+    """Session with ``DEFAULTS``; ``conf`` overrides them (see ``sized_for``).
+
+    ``durable`` asks for a catalog that outlasts the process, and fails where there is none.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if durable:
+        builder = builder.enableHiveSupport()
     for key, value in {**DEFAULTS, **(conf or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    catalog = spark.conf.get("spark.sql.catalogImplementation", "in-memory")
+    if durable and catalog == "in-memory" and spark.conf.get("spark.sql.defaultCatalog") == "spark_catalog":
+        raise RuntimeError(
+            "the session's catalog is in memory: tables would be lost with the process; "
+            "start the session with Hive support or another default catalog"
+        )
+    return spark

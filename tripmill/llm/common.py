@@ -5,13 +5,20 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Bits of the filters before semi-joins, four megabytes.
+FILTER_BITS = 1 << 25
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -124,19 +131,24 @@ def shared_file(spark: SparkSession, data: bytes, name: str) -> str:
     return path.rsplit("/", 1)[1]
 
 
-def possibly_in(key: Column, ids: DataFrame, bits: int = 1 << 25) -> Column:
+def bit_array(places: DataFrame, bits: int) -> np.ndarray:
+    """Words of 64 bits in which the bits at ``places`` (one column of longs below ``bits``) are set."""
+    words = places.toDF("p").groupBy(F.shiftright("p", 6).alias("word"))
+    rows = words.agg(F.expr("bit_or(shiftleft(1L, CAST(p & 63 AS INT))) AS v")).toArrow()
+    array = np.zeros(bits >> 6, dtype=np.int64)
+    array[rows.column("word").to_numpy()] = rows.column("v").to_numpy()
+    return array
+
+
+def possibly_in(key: Column, ids: DataFrame, bits: int = FILTER_BITS) -> Column:
     """False only where ``key`` is surely not in ``ids`` (one column of longs): a semi-join's filter before its shuffle.
 
     A bit array of fixed size, whatever the number of ids: as it fills, it lets more rows through, all of
     which the join then decides.
     """
     spark = ids.sparkSession
-    place = F.pmod(F.xxhash64(F.col(ids.columns[0])), F.lit(bits))
-    words = ids.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("word"))
-    rows = words.agg(F.expr("bit_or(shiftleft(1L, CAST(p & 63 AS INT))) AS v")).toArrow()
-    table_ = np.zeros(bits >> 6, dtype=np.int64)
-    table_[rows.column("word").to_numpy()] = rows.column("v").to_numpy()
-    sent = spark.sparkContext.broadcast(table_)
+    places = ids.select(F.pmod(F.xxhash64(F.col(ids.columns[0])), F.lit(bits)))
+    sent = spark.sparkContext.broadcast(bit_array(places, bits))
 
     @F.pandas_udf("boolean")
     def hit(places: pd.Series) -> pd.Series:
@@ -146,6 +158,34 @@ def possibly_in(key: Column, ids: DataFrame, bits: int = 1 << 25) -> Column:
     return hit(F.pmod(F.xxhash64(key), F.lit(bits)))
 
 
+def tied(n: int, pairs: np.ndarray) -> np.ndarray:
+    """For each of ``n`` nodes the smallest one that ``pairs`` tie it to."""
+    root = np.arange(n)
+    while len(pairs):
+        low = np.minimum(root[pairs[:, 0]], root[pairs[:, 1]])
+        before = root.copy()
+        for side in (0, 1):
+            np.minimum.at(root, root[pairs[:, side]], low)
+            np.minimum.at(root, pairs[:, side], low)
+        root = root[root]
+        if np.array_equal(before, root):
+            break
+    return root
+
+
+def slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batch`` in order, few enough at a time for ``most`` bytes or elements of a column, but one at least."""
+    values = batch.column(column)
+    length = pc.list_value_length if pa.types.is_list(values.type) else pc.binary_length
+    ends = np.cumsum(pc.fill_null(length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(ends):
+        before = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b): the smallest node that links reach.
 

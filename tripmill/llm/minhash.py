@@ -11,9 +11,11 @@ distinct shingles of ``size`` words (a shorter text is one shingle). Documents w
    the similarity. Pairs that cannot reach the threshold (five standard deviations) are dropped.
 3. The best such pair of each document is confirmed on the texts' own sets; this ties most of every group
    together. All other pairs of a bucket are then needed only where the bucket still holds several
-   components: there its members are compared in blocks by their signatures, and what passes is confirmed too.
+   components: there its members are compared in blocks by their signatures.
+4. Members with such candidates are grouped, and a group's texts are compared in tiles of two blocks, by hashes
+   of their shingles and, before a link is made, by the shingles themselves.
 
-Buckets of any size are cut into blocks; copies and pairs within a component are not expanded. A pair at the
+Buckets and groups of any size are cut into blocks; copies and pairs within a component are not expanded. A pair at the
 threshold shares no band with probability (1 - 0.8 ** 5) ** 32, three in a million, and more similar ones less.
 
 NULL or empty text and text without words: the empty set, linked with nothing. A row with NULL doc_id has NULL
@@ -34,13 +36,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import components, possibly_in, shuffle_tasks, table, text_or_empty, written
+from tripmill.llm.common import components, possibly_in, shuffle_tasks, table, text_or_empty, tied, written
 from tripmill.llm.tokens import Filled
 
 BANDS, ROWS = 32, 5
 MINIMA = BANDS * ROWS
 BITS = 4
 BLOCK = 512
+#: Members with their texts in a block.
+TEXT_BLOCK = 128
 _RANDOM = np.random.Generator(np.random.PCG64(7))
 _TIMES = _RANDOM.integers(0, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLUS = _RANDOM.integers(0, 1 << 63, MINIMA, dtype=np.uint64)
@@ -187,10 +191,10 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def pairs_in_buckets(rows: DataFrame, fewest: int) -> DataFrame:
-    """(a, b) of different labels in one tile with enough equal minima; ``rows`` are sorted by tile.
+def candidates_in_buckets(rows: DataFrame, fewest: int) -> DataFrame:
+    """Edges (a, b) that tie together members of a tile with a candidate: another label, enough equal minima.
 
-    A tile has members of at most two blocks. Tiles are cut out of the stream of rows one by one.
+    ``rows`` are sorted by tile. A tile has members of at most two blocks. Tiles are cut out of the stream of rows one by one.
     """
 
     def tile(side: np.ndarray, ids: np.ndarray, labels: np.ndarray, signatures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -199,7 +203,10 @@ def pairs_in_buckets(rows: DataFrame, fewest: int) -> DataFrame:
         apart = labels[left][:, None] != labels[right][None, :]
         near = equal_minima(signatures[left][:, None, :], signatures[right][None, :, :]) >= fewest
         i, j = np.nonzero(apart & near)
-        return ids[left][i], ids[right][j]
+        # As many edges as tie the candidates together, not all pairs.
+        roots = tied(len(ids), np.stack([left[i], right[j]], axis=1))
+        some = np.flatnonzero(roots != np.arange(len(ids)))
+        return ids[roots[some]], ids[some]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -231,6 +238,69 @@ def pairs_in_buckets(rows: DataFrame, fewest: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
+def linked_in_groups(members: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) between members of a group with different labels, as many as tie linked ones together.
+
+    ``members``: (group, doc_id, label, signature, text). A group is cut into blocks; a tile has the members
+    of two of them, with one row for each, however many pairs they make. Pairs already tied are not compared.
+    """
+    sizes = members.groupBy("group").agg(F.ceil(F.count("*") / TEXT_BLOCK).cast("int").alias("blocks"))
+    placed = members.join(sizes, "group")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    tiles = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "group",
+        F.least("block", "other").alias("i"),
+        F.greatest("block", "other").alias("j"),
+        F.signum(F.col("block") - F.col("other")).cast("int").alias("side"),
+        "doc_id",
+        "label",
+        "signature",
+        "text",
+    )
+    fewest = least_equal(percent)
+
+    def reaches(same: int, one: int, other: int) -> bool:
+        return 100 * same >= percent * (one + other - same)
+
+    def compare(rows: pa.Table) -> pa.Table:
+        side, ids, labels = (rows.column(c).to_numpy() for c in ("side", "doc_id", "label"))
+        signatures = _signatures(rows.column("signature").to_pylist())
+        left, right = np.flatnonzero(side <= 0), np.flatnonzero(side >= 0)
+        near = equal_minima(signatures[left][:, None, :], signatures[right][None, :, :])
+        i, j = np.nonzero((labels[left][:, None] != labels[right][None, :]) & (near >= fewest))
+        likely = np.argsort(-near[i, j], kind="stable")
+        i, j = left[i][likely], right[j][likely]
+        texts, hashed = rows.column("text"), {}
+        root = {label: label for label in labels.tolist()}
+
+        def find(label: int) -> int:
+            while root[label] != label:
+                root[label] = label = root[root[label]]
+            return label
+
+        def hashes(n: int) -> np.ndarray:
+            if n not in hashed:
+                words = words_of(texts[n].as_py())
+                numbers = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+                hashed[n] = shingle_hashes(numbers, size)
+            return hashed[n]
+
+        links = []
+        for a, b in zip(i.tolist(), j.tolist(), strict=True):
+            one, other = find(int(labels[a])), find(int(labels[b]))
+            if one == other:
+                continue
+            same = len(np.intersect1d(hashes(a), hashes(b), assume_unique=True))
+            if reaches(same, len(hashes(a)), len(hashes(b))):
+                mine, theirs = shingles(texts[a].as_py(), size), shingles(texts[b].as_py(), size)
+                if reaches(len(mine & theirs), len(mine), len(theirs)):
+                    root[max(one, other)] = min(one, other)
+                    links.append((int(ids[a]), int(ids[b])))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
+
+    return tiles.groupBy("group", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
@@ -277,9 +347,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     )
     tiles = tiles.repartition(shuffle_tasks(docs.sparkSession), "key", "i", "j").sortWithinPartitions("key", "i", "j")
     rest = labelled(labelled(stars.select("a", "b"), "a", "label_a"), "b", "label_b")
-    rest = rest.where("label_a <> label_b").select("a", "b").union(pairs_in_buckets(tiles, fewest)).distinct()
-    rest = written(rest.join(best, ["a", "b"], "left_anti"), "other-pairs")
-    links = links.union(confirmed(rest, known, size, percent))
+    rest = rest.join(best, ["a", "b"], "left_anti").where("label_a <> label_b").select("a", "b")
+    apart = components(rest.union(candidates_in_buckets(tiles, fewest)), "candidates").toDF("doc_id", "group")
+    apart = written(labelled(apart, "doc_id", "label").join(signatures, "doc_id"), "candidate-members")
+    texts = known.where(possibly_in(F.col("doc_id"), apart.select("doc_id"))).dropDuplicates(["doc_id"])
+    links = written(links.union(linked_in_groups(apart.join(texts, "doc_id"), size, percent)), "links")
 
     groups = components(links, "components").toDF("rep", "component")
     of_class = classes.join(groups, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))

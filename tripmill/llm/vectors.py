@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import components, table, written
+from tripmill.llm.common import components, table, tied, written
 
 THRESHOLD = 0.98
 BLOCK_ROWS = 1024
@@ -96,21 +96,6 @@ def links_in_tile(x: np.ndarray, left: np.ndarray, right: np.ndarray, axes: np.n
     return np.concatenate(kept) if kept else np.zeros((0, 2), dtype=np.int64)
 
 
-def tied(n: int, pairs: np.ndarray) -> np.ndarray:
-    """For each of ``n`` nodes the smallest one that ``pairs`` tie it to."""
-    root = np.arange(n)
-    while len(pairs):
-        low = np.minimum(root[pairs[:, 0]], root[pairs[:, 1]])
-        before = root.copy()
-        for side in (0, 1):
-            np.minimum.at(root, root[pairs[:, side]], low)
-            np.minimum.at(root, pairs[:, side], low)
-        root = root[root]
-        if np.array_equal(before, root):
-            break
-    return root
-
-
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors`` (vec_id, embedding, label)."""
     spark = vectors.sparkSession

@@ -8,6 +8,7 @@ from tripmill.llm.language import op2_language_id
 from tripmill.llm.lexicon import op7_bpe_lexicon
 from tripmill.llm.line_chunks import op5_line_chunks
 from tripmill.llm.minhash import op6_minhash_near_dedup
+from tripmill.llm.oracles import ORACLES as ORACLES
 from tripmill.llm.packing import op3_best_fit_packing
 from tripmill.llm.scoring import op8_lm_scoring
 from tripmill.llm.token_files import op1_token_files
@@ -25,5 +26,3 @@ QUERIES = {
     "op9_chat_formatting": op9_chat_formatting,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
-
-ORACLES: dict[str, str] = {}

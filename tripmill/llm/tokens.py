@@ -24,7 +24,7 @@ SPACE_FIRST_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 PLAIN_BELOW = "ɐ"
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
-_LIMIT = 250_000
+_LIMIT = 320_000
 
 
 def byte_letters() -> list[str]:
@@ -96,7 +96,7 @@ class TextEncoder:
         return packed(self.library.encode(text, add_special_tokens=False).ids)
 
     def _word(self, word: str) -> bytes:
-        bare = word[1:] if word[0] == " " else word
+        bare = word.removeprefix(" ")
         if bare.isascii() and bare.isalpha():  # such letters stand for themselves
             mapped = self.letters[0x20] + bare if bare is not word else word
         else:
@@ -108,13 +108,14 @@ class TextEncoder:
             return b""
         if not part.isascii() and max(part) >= PLAIN_BELOW:
             return self.whole(part)
-        if self.lower:
-            part = part.lower()
-        letters = part[1:] if part[0] == " " else part
+        given, part = part, part.lower() if self.lower else part
+        spaced = part[0] == " "
+        letters = part[1:] if spaced else part
         if letters.isalpha():
-            return self.words[part]
+            return self._word(part) if part == given else self.parts[part]
         if letters[-1:] in (".", ",") and letters[:-1].isalpha():
-            return self.words[part[:-1]] + self.words[letters[-1]]
+            bare = self.spaced[letters[:-1]] if spaced else self.parts[part[:-1]]
+            return bare + self.words[letters[-1]]
         if self.marked(part):
             return self.whole(part)
         return b"".join(map(self.words.__getitem__, self.find(part)))

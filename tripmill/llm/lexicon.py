@@ -16,6 +16,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import struct
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -28,12 +29,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tripmill.llm.common import frequent, mapped, shared_file, table, text_or_empty, to_file, written
-from tripmill.llm.tokens import PLAIN_BELOW, SPACE_FIRST_PATTERN, byte_letters
+from tripmill.llm.common import frequent, mapped, shared_file, slices, table, text_or_empty, to_file, written
+from tripmill.llm.tokens import PLAIN_BELOW, SPACE_FIRST_PATTERN, byte_letters, parts_of
 
 #: Most words the lexicon takes; the rest are merged.
 LEXICON_WORDS = 1 << 16
 _FLUSH = 200_000
+#: Bytes of text, or ids, that a task takes apart at a time.
+_SLICE = 1 << 21
 
 
 class Vocabulary:
@@ -211,19 +214,24 @@ def vocabulary_maker(spark: SparkSession, path: str) -> Callable[[], Vocabulary]
 def word_counts(docs: DataFrame, make: Callable[[], Vocabulary]) -> DataFrame:
     """(word, n) over all texts, summed in the task before the shuffle."""
 
-    def rows(counts: Counter) -> pa.RecordBatch:
+    def rows(parts: Counter) -> pa.RecordBatch:
+        find, counts = make().words, Counter()
+        for part, n in parts.items():
+            for word in find(part):
+                counts[word] += n
         return pa.RecordBatch.from_arrays(
             [pa.array([w.encode("utf-8") for w in counts], pa.binary()), pa.array(list(counts.values()), pa.int64())],
             names=["word", "n"],
         )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # No word reaches over a space between two others: parts are counted, and cut into words once.
         vocabulary, counts = make(), Counter()
         for batch in batches:
             for text in batch.column(0):
                 for piece in vocabulary.cut(text.as_py()):
-                    if piece and piece not in vocabulary.special:
-                        counts.update(vocabulary.words(piece))
+                    if piece not in vocabulary.special:
+                        counts.update(parts_of(piece))
                 if len(counts) > _FLUSH:
                     yield rows(counts)
                     counts = Counter()
@@ -248,6 +256,36 @@ def build_lexicon(docs: DataFrame, path: str, most: int = LEXICON_WORDS) -> str:
     return shared_file(spark, to_file(compile_lexicon(words, [vocabulary.merge(w) for w in words])), "lexicon")
 
 
+class _PartEncoder:
+    """Ids of parts of texts: their words walk the lexicon together, those that it lacks are merged.
+
+    Parts met lately are remembered, two generations of ``_FLUSH``.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon) -> None:
+        self.vocabulary, self.lexicon = vocabulary, lexicon
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def ids_of(self, parts: set[str]) -> dict[str, bytes]:
+        """Ids as 32-bit integers for each of ``parts``."""
+        if len(self.recent) > _FLUSH:
+            self.recent, self.older = {}, self.recent
+        found = {p: self.recent.get(p) or self.older.get(p) for p in parts}
+        new = [p for p, ids in found.items() if ids is None]
+        words = [self.vocabulary.words(p) for p in new]
+        different = list(set().union(*words))
+        coded = [w.encode("utf-8") for w in different]
+        ids = {}
+        for word, code, place in zip(different, coded, self.lexicon.places(coded).tolist(), strict=True):
+            merged = self.vocabulary.merge(code) if place < 0 else self.lexicon.output(place)
+            ids[word] = struct.pack(f"<{len(merged)}i", *merged)
+        for part, own in zip(new, words, strict=True):
+            found[part] = b"".join([ids[w] for w in own])
+        self.recent.update((p, i) for p, i in found.items() if len(p) < 200)
+        return found
+
+
 def encode_texts(docs: DataFrame, path: str, lexicon: str) -> DataFrame:
     """(doc_id, ids) of every text."""
     make = vocabulary_maker(docs.sparkSession, path)
@@ -256,34 +294,17 @@ def encode_texts(docs: DataFrame, path: str, lexicon: str) -> DataFrame:
         vocabulary = make()
         if lexicon not in _LEXICONS:
             _LEXICONS[lexicon] = Lexicon(SparkFiles.get(lexicon))
-        known, merged = _LEXICONS[lexicon], {}
-        for batch in batches:
+        encode = _PartEncoder(vocabulary, _LEXICONS[lexicon])
+        special = {string: np.array([i], np.int32).tobytes() for string, i in vocabulary.special.items()}
+        for batch in (part for whole in batches for part in slices(whole, 1, _SLICE)):
             texts = []
             for text in batch.column(1):
-                words: list[str | int] = []
+                parts: list[str] = []
                 for piece in vocabulary.cut(text.as_py()):
-                    if piece in vocabulary.special:
-                        words.append(vocabulary.special[piece])
-                    elif piece:
-                        words.extend(vocabulary.words(piece))
-                texts.append(words)
-            different = list(set().union(*texts))
-            plain = [w for w in different if isinstance(w, str)]
-            ids = {w: np.array([w], np.int32).tobytes() for w in different if not isinstance(w, str)}
-            coded = [w.encode("utf-8") for w in plain]
-            for word, code, place in zip(plain, coded, known.places(coded).tolist(), strict=True):
-                if place >= 0:
-                    found = known.output(place)
-                else:
-                    found = merged.get(word)
-                    if found is None:
-                        found = vocabulary.merge(code)
-                        if len(merged) > _FLUSH:
-                            merged.clear()
-                        if len(word) < 200:
-                            merged[word] = found
-                ids[word] = np.array(found, np.int32).tobytes()
-            flat = [b"".join(map(ids.__getitem__, words)) for words in texts]
+                    parts.extend([piece] if piece in special else parts_of(piece))
+                texts.append(parts)
+            ids = encode.ids_of(set().union(*texts) - special.keys()) | special
+            flat = [b"".join(map(ids.__getitem__, parts)) for parts in texts]
             ends = np.cumsum([0, *(len(f) // 4 for f in flat)], dtype=np.int64)
             values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(flat))])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
@@ -299,7 +320,7 @@ def decode_ids(encoded: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = make().bytes_of.__getitem__
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1, _SLICE)):
             ids = batch.column(1)
             values, ends = ids.flatten().to_numpy().tolist(), np.diff(ids.offsets.to_numpy()).cumsum()
             texts, start = [], 0

@@ -24,10 +24,11 @@ from typing import NamedTuple
 
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import possibly_in, table, written
+from tripmill.llm.common import FILTER_BITS, bit_array, table, written
 
 WINDOW, DIVISOR = 2, 3
 PASSAGE_WORDS, LEAST_WORDS = 50, 12
@@ -93,15 +94,23 @@ def chunks_of(text: str) -> list[Chunk]:
     return found
 
 
-def chunk_table(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
-    """(doc_id, chunk, high, low) of every chunk that counts, with its bytes if asked for."""
+def chunk_table(docs: DataFrame, repeated: Broadcast | None = None) -> DataFrame:
+    """(doc_id, chunk, high, low) of every chunk that counts.
+
+    With ``repeated``, bits set at digests, only chunks that may have one of these, with their bytes.
+    """
+    with_bytes = repeated is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = repeated.value if with_bytes else None
         for batch in batches:
             ids, numbers, highs, lows, parts = [], [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py()
                 for number, chunk in enumerate(chunks_of(text)):
+                    place = chunk.high & (FILTER_BITS - 1)
+                    if with_bytes and not int(bits[place >> 6]) >> (place & 63) & 1:
+                        continue
                     ids.append(doc_id)
                     numbers.append(number)
                     highs.append(chunk.high)
@@ -125,10 +134,10 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     found = written(chunk_table(docs), "line-chunks")
     shared = found.groupBy("high", "low").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     shared = written(shared.where("first <> last").select("high", "low", "first"), "shared-chunks")
-    # Places of shared chunks, the first one among them, without the bytes of any other chunk.
-    places = found.join(shared, ["high", "low"], "left_semi").select("doc_id").distinct()
-    texts = docs.where(possibly_in(F.col("doc_id"), places))
-    seen = chunk_table(texts, with_bytes=True).where(possibly_in(F.col("high"), shared.select("high")))
+    # Bytes of shared chunks only: a filter of fixed size leaves out most others before the shuffle.
+    places = shared.select(F.pmod("high", F.lit(FILTER_BITS)))
+    bits = docs.sparkSession.sparkContext.broadcast(bit_array(places, FILTER_BITS))
+    seen = chunk_table(docs, bits)
     seen = seen.join(shared, ["high", "low"]).withColumn("is_first", place == F.col("first"))
     seen = written(seen.select("doc_id", "chunk", "high", "low", "is_first", "bytes"), "shared-bytes")
     first = seen.where("is_first").select("high", "low", F.col("bytes").alias("first_bytes")).dropDuplicates(["high", "low"])

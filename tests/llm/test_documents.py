@@ -11,7 +11,7 @@ import pytest
 
 import corpus_pipeline
 from tripmill.llm import fingerprint, language, line_chunks, minhash, scoring
-from tripmill.llm.common import components
+from tripmill.llm.common import components, frequent
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -51,6 +51,16 @@ def test_components(spark, kind):
     assert len(got) == len(wanted) and {r.node: r.component for r in got} == wanted
 
 
+@pytest.mark.parametrize("most", [0, 1, 30, 250, 1000])
+def test_frequent_uses_its_whole_budget(spark, most):
+    """Ties at the edge are cut by hash, and counts above 65,536 are told apart."""
+    rows = [(i, 3, 70_000 + i) for i in range(20)] + [(i, 4, 2) for i in range(20, 320)]
+    counts = spark.createDataFrame(rows, "a long, b long, n long")
+    got = {tuple(r) for r in frequent(counts, most).collect()}
+    assert len(got) == min(most, 320) and got == {tuple(r) for r in frequent(counts.repartition(3), most).collect()}
+    assert sorted((r[2] for r in got), reverse=True) == sorted((r[2] for r in rows), reverse=True)[:most]
+
+
 # Language
 
 

@@ -84,17 +84,29 @@ def starts_part(key: Column, bounds: list[int]) -> Column:
 
 
 def frequent(counts: DataFrame, most: int) -> DataFrame:
-    """The rows of ``counts`` (..., n) with the largest n, at most ``most``: rows of equal n together.
+    """The ``most`` rows of ``counts`` (..., n) with the largest n; of the rows of the last n, those of smallest hash.
 
-    The driver gets the number of rows for each n, not the rows.
+    The driver gets the number of rows for each n and for each of 65,536 ranges of hashes of the last n, and the
+    hashes in one of these ranges. Rows of equal hash at the edge stay out together.
     """
-    sizes = counts.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.count("*").alias("rows")).collect()
-    kept, least = 0, None
+    sizes = counts.groupBy("n").agg(F.count("*").alias("rows")).collect()
+    left = most
     for row in sorted(sizes, key=lambda r: -r.n):
-        if kept + row.rows > most:
+        if row.rows > left:
             break
-        kept, least = kept + row.rows, row.n
-    return counts.where(F.lit(False) if least is None else F.col("n") >= least)
+        left -= row.rows
+    else:
+        return counts
+    digest = F.xxhash64(*(F.col(c) for c in counts.columns if c != "n"))
+    part = F.shiftrightunsigned(digest, 48)
+    tied = counts.where(F.col("n") == row.n).select(digest.alias("digest"), part.alias("part"))
+    for edge in sorted(tied.groupBy("part").agg(F.count("*").alias("rows")).collect(), key=lambda r: r.part):
+        if edge.rows > left:
+            break
+        left -= edge.rows
+    digests = sorted(r.digest for r in tied.where(F.col("part") == edge.part).select("digest").collect())
+    inside = (part < edge.part) | ((part == edge.part) & (digest < digests[left]))
+    return counts.where((F.col("n") > row.n) | ((F.col("n") == row.n) & inside))
 
 
 def to_file(arrays: dict[str, np.ndarray]) -> bytes:

@@ -365,6 +365,39 @@ def test_scores_do_not_depend_on_stretches(spark, documents, monkeypatch):
     assert {r.score for r in scoring.score(docs, empty).collect()} == {0.0}
 
 
+def by_definition(texts, train):
+    """Trigram scores of ``texts`` by interpolated absolute discounting over all n-grams, without an automaton."""
+    tokens = lambda t: [*t.lower().split(), None]
+    counts = [Counter(tuple(ws[i : i + k]) for ws in map(tokens, train) for i in range(len(ws) - k + 1)) for k in (1, 2, 3)]
+    total, distinct = sum(counts[0].values()), len(counts[0])
+
+    def chance(gram):
+        if len(gram) == 1:
+            return (counts[0][gram] + 1) / (total + distinct + 1)
+        n = counts[len(gram) - 1]
+        ones, twos = (sum(v == x for v in n.values()) for x in (1, 2))
+        off = ones / (ones + 2 * twos)
+        kept = {g: v for g, v in n.items() if g[:-1] == gram[:-1] and v > 1}
+        history = counts[len(gram) - 2][gram[:-1]]
+        rest = 1 - sum(v - off for v in kept.values()) / history if kept else 1.0
+        return (kept[gram] - off if gram in kept else 0) / max(history, 1) + rest * chance(gram[1:])
+
+    return [sum(math.log10(chance(tuple(ws[max(0, i - 2) : i + 1]))) for i in range(len(ws))) for ws in map(tokens, texts)]
+
+
+@pytest.mark.parametrize("bounds", [(1 << 17, 1 << 19), (10, 12), (0, 0)])
+def test_scores_do_not_depend_on_bounds(spark, documents, monkeypatch, bounds):
+    monkeypatch.setattr(scoring, "LEXICON_WORDS", bounds[0])
+    monkeypatch.setattr(scoring, "ARCS", bounds[1])
+    rng = random.Random(12)
+    words = some_words(rng, 40)
+    texts = [" ".join(rng.choices(words, range(1, 41), k=rng.randint(0, 30))) for _ in range(40)]
+    docs = documents([(i, t, "en") for i, t in enumerate([*texts, "never seen " + texts[3]])])
+    model = scoring.LanguageModel(docs.where("doc_id < 30").select("text"))
+    got = [r.score for r in scoring.score(docs, model).orderBy("doc_id").collect()]
+    assert got == pytest.approx(by_definition([*texts, "never seen " + texts[3]], texts[:30]), abs=1e-9)
+
+
 # Pipeline
 
 

@@ -1,9 +1,9 @@
 """Language-model scores from a weighted backoff automaton.
 
 Words are runs of anything but space and the controls 9 to 13, with A-Z in lower case; a text's last token is
-its end. All tokens and, among the words of the lexicon, all n-grams of the training texts are counted. An
-n-gram is kept if it occurs at least twice and its shorter parts are kept. Interpolated absolute discounting
-gives the probabilities: what the kept followers of a history lose is its backoff weight, which is shared out
+its end. All tokens and all n-grams of the training texts are counted. An n-gram is kept if it occurs at least
+twice, and so do its shorter parts then. Interpolated absolute discounting, by the numbers of all n-grams that
+occur once and twice, gives the probabilities: what the kept followers of a history lose is its backoff weight, which is shared out
 by the distribution one word shorter, down to add-one estimates of single words, in which all unseen words
 together count as one more.
 
@@ -13,10 +13,14 @@ carries the backoff weight to the next shorter history. A text's tokens are read
 of many texts in step; a stretch begins as many tokens early as a history is long, so its state is the one that
 a walk from the beginning has there.
 
-The lexicon and the arcs of each order are bounded (``LEXICON_WORDS``, ``ARCS``; most frequent first), so the
-automaton is a file of fixed greatest size that executors memory-map. Words beyond the lexicon have no arcs but
-at the root, where they cost what their full count says: these counts are joined, not sent to every task. So
-counts of all words are exact and single-word scores do not depend on the bounds.
+All kept n-grams over all words are in tables, whose size follows the input. The automaton holds the most frequent
+of them only (``LEXICON_WORDS``, ``ARCS`` of each order, and the words these n-grams bring with them), so it is a file
+of fixed greatest size that executors memory-map. A score is a sum over the n-grams of a text: the log probability
+of an n-gram less that of the same word after the shorter history, and less the backoff weight of its history; as each
+history is followed by one token, its own backoff weight counts with it. What the automaton lacks is therefore a
+sum of weights that are joined from the tables, and scores do not depend on the automaton's bounds.
+
+Words in tables of n-grams are 64-bit hashes; two of 50 million words share one with a chance of 1 in 14,000.
 
 A NULL or empty text is its end alone. Rows with NULL id are learned from. Repeated rows count and are
 scored each. Over an empty table the result is empty; with nothing to learn from, every token costs 0.
@@ -29,21 +33,23 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkFiles, TaskContext
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark import Broadcast, SparkFiles, TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import frequent, mapped, shared_file, table, text_or_empty, to_file, written
+from tripmill.llm.common import FILTER_BITS, bit_array, frequent, mapped, shared_file, slices, table, text_or_empty, to_file, written
 from tripmill.llm.language import remainder
 
 ORDER = 3
 LEXICON_WORDS = 1 << 17
 ARCS = 1 << 19
 #: Words are numbered below this, and a state and a word make one key.
-_WORD_BITS = 18
+_WORD_BITS = 22
 STRETCH = 128
 _FLUSH_WORDS = 200_000
-_FLUSH_GRAMS = 1 << 21
+_FLUSH_GRAMS = 1 << 20
+_SLICE = 1 << 21
 END = b""
 
 
@@ -80,6 +86,7 @@ class Automaton:
     def __init__(self, arrays: dict[str, np.ndarray]) -> None:
         self.keys, self.targets, self.costs = arrays["keys"], arrays["targets"], arrays["costs"]
         self.fails, self.backoffs = arrays["fails"], arrays["backoffs"]
+        self.hashes = arrays["hashes"]
 
     def arc(self, states: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of the arc that reads each word in its state, and whether there is one."""
@@ -126,39 +133,6 @@ class Automaton:
         return np.bincount(owner, totals, len(tokens)) if len(tokens) else np.zeros(0)
 
 
-def grown(
-    automaton: dict[str, np.ndarray], grams: np.ndarray, counts: np.ndarray, history_counts: np.ndarray, discount: float, last: bool
-) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """``automaton`` with arcs for n-grams of the next order, and the counts of its states.
-
-    ``grams`` are keys (state of the history, word), sorted. Each n-gram becomes a state of its own unless
-    it is of the last order.
-    """
-    walk = Automaton(automaton)
-    states, words = grams >> _WORD_BITS, grams & ((1 << _WORD_BITS) - 1)
-    # The same word after the history without its first word: an arc that there is, as parts of n-grams are kept.
-    place, _ = walk.arc(automaton["fails"][states], words)
-    shorter, shorter_cost = automaton["targets"][place], automaton["costs"][place]
-    share = (counts - discount) / history_counts[states]
-    spent = np.bincount(states, share, len(history_counts))
-    rest = np.maximum(1.0 - spent, 1e-12)
-    costs = np.log10(share + rest[states] * 10.0**shorter_cost)
-    backoffs = automaton["backoffs"].copy()
-    had = np.unique(states)
-    backoffs[had] = np.log10(rest[had])
-    made = len(automaton["fails"]) + np.arange(len(grams))
-    keys = np.concatenate([automaton["keys"], grams])
-    order = np.argsort(keys, kind="stable")
-    new = {
-        "keys": keys[order],
-        "targets": np.concatenate([automaton["targets"], shorter if last else made])[order],
-        "costs": np.concatenate([automaton["costs"], costs])[order],
-        "fails": automaton["fails"] if last else np.concatenate([automaton["fails"], shorter]),
-        "backoffs": backoffs if last else np.concatenate([backoffs, np.zeros(len(grams))]),
-    }
-    return new, history_counts if last else np.concatenate([history_counts, counts])
-
-
 _AUTOMATA: dict[str, Automaton] = {}
 
 
@@ -168,137 +142,318 @@ def _opened(name: str) -> Automaton:
     return _AUTOMATA[name]
 
 
-def gram_counts(texts: DataFrame, number: Callable[[], dict[bytes, int]], name: str, order: int) -> DataFrame:
-    """(gram, n) of the n-grams of ``order`` whose shorter parts the automaton has; gram is (history, word)."""
+class _Hashes(dict):
+    """Hashes of words, as F.xxhash64 has them; kept while they are few."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > _FLUSH_WORDS:
+            self.clear()
+        digest = xxhash.xxh64_intdigest(word, seed=42)
+        self[word] = digest - (digest >> 63 << 64)
+        return self[word]
+
+
+def _place(words: list[np.ndarray] | list[Column]) -> np.ndarray | Column:
+    """The bit of a word, or of an n-gram given by its words' hashes, in a filter."""
+    if isinstance(words[0], Column):
+        mixed = F.shiftright(words[0], 3)
+        for word, bits in zip(words[1:], (29, 17), strict=False):
+            mixed = mixed.bitwiseXOR(F.shiftright(word, bits))
+        return mixed.bitwiseAND(F.lit(FILTER_BITS - 1))
+    mixed = words[0] >> 3
+    for word, bits in zip(words[1:], (29, 17), strict=False):
+        mixed = mixed ^ (word >> bits)
+    return mixed & (FILTER_BITS - 1)
+
+
+def _bits(grams: DataFrame, order: int) -> Broadcast:
+    places = grams.select(_place([F.col(c) for c in "abc"[:order]]))
+    return grams.sparkSession.sparkContext.broadcast(bit_array(places, FILTER_BITS))
 
-    def rows(parts: list[np.ndarray]) -> pa.RecordBatch:
-        grams, n = np.unique(np.concatenate([np.zeros(0, np.int64), *parts]), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(grams), pa.array(n.astype(np.int64))], names=["gram", "n"])
+
+def _may_be(bits: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
+    p = _place(words)
+    return (bits[p >> 6] >> (p & 63)) & 1 == 1
+
+
+def _starts(sizes: np.ndarray, order: int) -> np.ndarray:
+    """Places in texts of ``sizes`` tokens, one after the other, at which an n-gram starts."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    return np.flatnonzero(owner[: max(len(owner) - order + 1, 0)] == owner[order - 1 :])
+
+
+def gram_counts(texts: DataFrame, shorter: Broadcast, order: int) -> DataFrame:
+    """(a, b[, c], n) of all n-grams of ``order`` that occur at least twice, by hashes of their words.
+
+    Rows without words have the numbers of n-grams that occur once. ``shorter`` has the bits of the next
+    shorter n-grams that occur at least twice: one with another part occurs once and is counted in its task.
+    """
+    names = list("abc"[:order])
+    schema = ", ".join(f"{c} long" for c in names) + ", n long"
+
+    def rows(parts: list[list[np.ndarray]], once: int) -> pa.RecordBatch:
+        columns = [np.concatenate([np.zeros(0, np.int64), *(p[k] for p in parts)]) for k in range(order)]
+        found = pa.table(columns, names=names).group_by(names, use_threads=False).aggregate([([], "count_all")])
+        found = found.select([*names, "count_all"]).combine_chunks()
+        arrays = [pa.concat_arrays([*found.column(c).chunks, pa.nulls(1, pa.int64())]) for c in names]
+        n = pa.concat_arrays([*found.column("count_all").chunks, pa.array([once], pa.int64())])
+        return pa.RecordBatch.from_arrays([*arrays, n], names=[*names, "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, automaton = number(), _opened(name)
-        parts: list[np.ndarray] = []
-        held = 0
+        bits, hashes = shorter.value, _Hashes()
+        parts: list[list[np.ndarray]] = []
+        held = once = 0
         for batch in batches:
-            for text in batch.column(0):
-                ids = np.array([words.get(w, -1) for w in words_of(text.as_py())], dtype=np.int64)
-                # The state of each history of order - 1 words, by arcs alone: none where a part is missing.
-                state = np.where(ids[: len(ids) - order + 1] >= 0, ids[: len(ids) - order + 1] + 1, -1)
-                for k in range(1, order - 1):
-                    place, found = automaton.arc(np.maximum(state, 0), ids[k : len(ids) - order + 1 + k])
-                    state = np.where(found & (state > 0), automaton.targets[place], -1) if len(state) else state
-                word = ids[order - 1 :]
-                _, known = automaton.arc(automaton.fails[np.maximum(state, 0)], word)
-                good = (state > 0) & known
-                parts.append(state[good] << _WORD_BITS | word[good])
-                held += int(good.sum())
+            for piece in slices(batch, 0, _SLICE):
+                texts = [words_of(t.as_py()) for t in piece.column(0)]
+                flat = np.array([hashes[w] for words in texts for w in words], dtype=np.int64)
+                at = _starts(np.array([len(t) for t in texts]), order)
+                words = [flat[at + k] for k in range(order)]
+                good = _may_be(bits, words[:-1]) & _may_be(bits, words[1:])
+                parts.append([w[good] for w in words])
+                held, once = held + int(good.sum()), once + int((~good).sum())
                 if held > _FLUSH_GRAMS:
-                    yield rows(parts)
-                    parts, held = [], 0
-        yield rows(parts)
+                    yield rows(parts, once)
+                    parts, held, once = [], 0, 0
+        yield rows(parts, once)
 
-    return texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once = 0
+        for batch in batches:
+            n, null = batch.column(order).to_numpy(), batch.column(0).is_null().to_numpy(zero_copy_only=False)
+            once += int(n[null].sum()) + int((n[~null] == 1).sum())
+            yield batch.filter(pa.array(~null & (n > 1)))
+        yield rows([], once)
+
+    counted = texts.mapInArrow(count, schema).groupBy(*names).agg(F.sum("n").alias("n"))
+    return counted.mapInArrow(repeated, schema)
+
+
+def _discounted(counted: DataFrame) -> tuple[DataFrame, float]:
+    """The n-grams of a table of ``gram_counts``, and what is taken from the count of each."""
+    once, twice = counted.agg(
+        F.sum(F.when(F.col("a").isNull(), F.col("n"))), F.sum(F.when(F.col("a").isNotNull() & (F.col("n") == 2), 1))
+    ).first()
+    once, twice = int(once or 0), int(twice or 0)
+    return counted.where("a IS NOT NULL"), once / max(once + 2 * twice, 1) or 0.5
+
+
+def _rest(grams: DataFrame, history: list[str], histories: DataFrame, discount: float) -> DataFrame:
+    """(history, rest): what the kept followers of each history that has some leave to the shorter one."""
+    spent = grams.groupBy(*history).agg((F.sum("n") - F.count("*") * F.lit(discount)).alias("spent"))
+    rest = F.greatest(1.0 - F.col("spent") / F.col("n"), F.lit(1e-12))
+    return spent.join(histories, history).select(*history, rest.alias("rest"))
+
+
+def _turned(word: np.ndarray | Column, bits: int) -> np.ndarray | Column:
+    if isinstance(word, Column):
+        return F.shiftleft(word, bits).bitwiseOR(F.shiftrightunsigned(word, 64 - bits))
+    word = word.view(np.uint64)
+    return (word << np.uint64(bits) | word >> np.uint64(64 - bits)).view(np.int64)
+
+
+def _key(words: list) -> tuple:
+    """128 bits for an n-gram of two or three words."""
+    if len(words) == 2:
+        return words[0], words[1]
+    a, b, c = words
+    high, low = _turned(b, 21), _turned(b, 43)
+    return (a.bitwiseXOR(high), c.bitwiseXOR(low)) if isinstance(a, Column) else (a ^ high, c ^ low)
 
 
-def _arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _numpy(rows: DataFrame) -> dict[str, np.ndarray]:
     found = rows.toArrow()
-    grams, n = found.column("gram").to_numpy(), found.column("n").to_numpy()
-    order = np.argsort(grams)
-    return grams[order].astype(np.int64), n[order].astype(np.float64)
+    return {name: found.column(name).to_numpy() for name in found.column_names}
 
 
 class LanguageModel:
-    """Counts of all training tokens, the automaton's file, and the lexicon's numbers."""
+    """Counts of all training tokens, weights of all kept n-grams, the automaton's file, and its words' numbers."""
 
-    def __init__(self, texts: DataFrame, order: int = ORDER) -> None:
+    def __init__(self, texts: DataFrame) -> None:
         spark = texts.sparkSession
-        self.order = order
+        self.order = ORDER
         self.counts = written(token_counts(texts), "token-counts")
         tokens, distinct = self.counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
         self.tokens, self.outcomes = int(tokens), int(tokens) + int(distinct) + 1
-        lexicon = {bytes(r.word): r.n for r in frequent(self.counts.where("n > 1"), LEXICON_WORDS).collect()}
-        names = sorted(lexicon)
-        self.number = {word: i for i, word in enumerate(names)}
-        n = np.array([lexicon[w] for w in names], dtype=np.float64)
-        size = len(names)
-        arrays = {
-            "keys": np.arange(size, dtype=np.int64),
-            "targets": np.arange(size, dtype=np.int64) + 1,
-            "costs": np.log10((n + 1) / self.outcomes),
-            "fails": np.zeros(size + 1, dtype=np.int64),
-            "backoffs": np.zeros(size + 1),
-        }
-        histories = np.concatenate([[self.tokens or 1], n])
+        cost = F.log10((F.col("n") + 1) / F.lit(float(self.outcomes)))
+        words = self.counts.where("n > 1").select(F.xxhash64("word").alias("a"), "word", "n", cost.alias("cost"))
+
+        pairs = written(gram_counts(texts, _bits(words, 1), 2), "gram-counts")
+        pairs, discount = _discounted(pairs)
+        rest = written(_rest(pairs, ["a"], words.select("a", "n"), discount), "backoffs")
+        words = words.join(rest, "a", "left").withColumn("back", F.coalesce(F.log10("rest"), F.lit(0.0)))
+        words = written(words, "weighted-words")
+        first = words.select("a", F.col("n").alias("n_a"), F.col("rest").alias("rest_a"))
+        second = words.select(F.col("a").alias("b"), F.col("cost").alias("cost_b"))
+        share = (F.col("n") - F.lit(discount)) / F.col("n_a") + F.col("rest_a") * F.pow(F.lit(10.0), F.col("cost_b"))
+        pairs = pairs.join(first, "a").join(second, "b").withColumn("cost", F.log10(share))
+        pairs = pairs.withColumn("more", F.col("cost") - F.log10("rest_a") - F.col("cost_b"))
+        pairs = written(pairs.select("a", "b", "n", "cost", "more"), "pairs")
+
+        triples = written(gram_counts(texts, _bits(pairs, 2), 3), "gram-counts")
+        triples, discount = _discounted(triples)
+        rest = _rest(triples, ["a", "b"], pairs.select("a", "b", "n"), discount)
+        pairs = pairs.join(rest, ["a", "b"], "left").withColumn("back", F.coalesce(F.log10("rest"), F.lit(0.0)))
+        pairs = written(pairs, "weighted-pairs")
+        first = pairs.select("a", "b", F.col("n").alias("n_a"), F.col("rest").alias("rest_a"))
+        second = pairs.select(F.col("a").alias("b"), F.col("b").alias("c"), F.col("cost").alias("cost_b"))
+        share = (F.col("n") - F.lit(discount)) / F.col("n_a") + F.col("rest_a") * F.pow(F.lit(10.0), F.col("cost_b"))
+        triples = triples.join(first, ["a", "b"]).join(second, ["b", "c"]).withColumn("cost", F.log10(share))
+        triples = triples.withColumn("more", F.col("cost") - F.log10("rest_a") - F.col("cost_b"))
+        triples = written(triples.select("a", "b", "c", "n", "cost", "more"), "triples")
+
+        self.words = words.select("word", F.col("back").alias("word_back"))
+        two, three = [F.col(c) for c in "ab"], [F.col(c) for c in "abc"]
+        self.weights = pairs.select(*(k.alias(n) for k, n in zip(_key(two), ("high", "low"), strict=True)), (F.col("more") + F.col("back")).alias("weight")).union(
+            triples.select(*_key(three), "more")
+        )
+        self.repeated = {2: _bits(pairs, 2), 3: _bits(triples, 3)}
+        arrays = self._frequent(words, pairs, triples)
         sent = spark.sparkContext.broadcast(self.number)
         self.numbers: Callable[[], dict[bytes, int]] = lambda: sent.value
         self.name = shared_file(spark, to_file(arrays), "backoff")
-        for k in range(2, order + 1):
-            counted = written(gram_counts(texts, self.numbers, self.name, k), "gram-counts")
-            of = {r.n: r.grams for r in counted.where("n <= 2").groupBy("n").agg(F.count("*").alias("grams")).collect()}
-            discount = of.get(1, 0) / max(of.get(1, 0) + 2 * of.get(2, 0), 1) or 0.5
-            grams, seen = _arrays(frequent(counted.where("n > 1"), ARCS))
-            arrays, histories = grown(arrays, grams, seen, histories, discount, k == order)
-            self.name = shared_file(spark, to_file(arrays), "backoff")
+
+    def _frequent(self, words: DataFrame, pairs: DataFrame, triples: DataFrame) -> dict[str, np.ndarray]:
+        """The automaton of the most frequent n-grams and their words; costs and backoff weights are those of all."""
+        often = frequent(pairs.select("a", "b", "n"), ARCS)
+        brought = often.select("a").union(often.select("b")).distinct()
+        lexicon = words.join(brought, "a", "left_semi").union(frequent(words.select("a", "n"), LEXICON_WORDS).join(words.drop("n"), "a").select(words.columns))
+        lexicon = sorted({bytes(r.word): (r.a, r.cost, r.back) for r in lexicon.collect()}.items())
+        self.number = {word: i for i, (word, _) in enumerate(lexicon)}
+        hashes = np.array([x[0] for _, x in lexicon], dtype=np.int64)
+        size = len(lexicon)
+        order = np.argsort(hashes)
+
+        def numbers(column: np.ndarray) -> np.ndarray:
+            place = np.minimum(np.searchsorted(hashes, column, sorter=order), max(size - 1, 0))
+            found = order[place] if size else np.zeros(len(column), np.int64)
+            return np.where(hashes[found] == column, found, -1) if size else found - 1
+
+        two = _numpy(often.join(pairs.drop("n"), ["a", "b"]).select("a", "b", "cost", "back"))
+        a, b = numbers(two["a"]), numbers(two["b"])
+        keys = a + 1 << _WORD_BITS | b
+        by_key = np.argsort(keys)
+        keys, ends = keys[by_key], b[by_key] + 1
+        three = _numpy(frequent(triples.select("a", "b", "c", "n"), ARCS).join(triples.drop("n"), ["a", "b", "c"]).select("a", "b", "c", "cost"))
+        a, b, c = (numbers(three[x]) for x in "abc")
+
+        def pair(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+            key = first + 1 << _WORD_BITS | last
+            place = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+            return np.where((keys[place] == key) & (first >= 0) & (last >= 0), place, -1) if len(keys) else np.full(len(key), -1)
+
+        left, right = pair(a, b), pair(b, c)
+        whole = (left >= 0) & (right >= 0)
+        states = size + 1 + left[whole]
+        triple_keys = states << _WORD_BITS | c[whole]
+        by_triple = np.argsort(triple_keys)
+        return {
+            "keys": np.concatenate([np.arange(size, dtype=np.int64), keys, triple_keys[by_triple]]),
+            "targets": np.concatenate([np.arange(size, dtype=np.int64) + 1, size + 1 + np.arange(len(keys)), size + 1 + right[whole][by_triple]]),
+            "costs": np.concatenate([np.array([x[1] for _, x in lexicon], dtype=np.float64), two["cost"][by_key], three["cost"][whole][by_triple]]),
+            "fails": np.concatenate([np.zeros(size + 1, dtype=np.int64), ends]),
+            "backoffs": np.concatenate([[0.0], np.array([x[2] for _, x in lexicon], dtype=np.float64), two["back"][by_key]]),
+            "hashes": hashes,
+        }
 
 
 def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every text of ``docs``."""
-    numbers, name, order, outcomes = model.numbers, model.name, model.order, model.outcomes
+    numbers, name, order, outcomes, repeated = model.numbers, model.name, model.order, model.outcomes, model.repeated
     size = len(model.number)
 
+    def others(automaton: Automaton, sizes: np.ndarray, ids: np.ndarray, hashes: np.ndarray) -> list[pa.Array]:
+        """For each text the keys of n-grams that the automaton lacks and the tables may have."""
+        places, highs, lows = [], [], []
+        state, found = ids + 1, ids >= 0  # the states of histories, by arcs alone
+        for k in range(2, order + 1):
+            at = _starts(sizes, k)
+            place, hit = automaton.arc(state[at], ids[at + k - 1])
+            hit &= found[at]
+            words = [hashes[at + i] for i in range(k)]
+            lacking = ~hit & _may_be(repeated[k].value, words)
+            high, low = _key([w[lacking] for w in words])
+            places.append(at[lacking])
+            highs.append(high)
+            lows.append(low)
+            state, found = np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
+            found[at] = hit
+            if k < order and len(automaton.targets):
+                state[at] = np.where(hit, automaton.targets[place], 0)
+        place, high, low = np.concatenate(places), np.concatenate(highs), np.concatenate(lows)
+        by_place = np.argsort(place, kind="stable")
+        offsets = np.searchsorted(place[by_place], np.concatenate([[0], np.cumsum(sizes)])).astype(np.int32)
+        return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x[by_place])) for x in (high, low)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, automaton = numbers(), _opened(name)
         alone = np.asarray(automaton.costs[:size])  # the root's arcs have the smallest keys
+        hashed = _Hashes()
         row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            tokens, known, base, rare, times = [], [], [], [], []
+        for batch in (piece for batch in batches for piece in slices(batch, 1, _SLICE)):
+            tokens, hashes, known, base, rare, times = [], [], [], [], [], []
             for text in batch.column(1):
                 words = words_of(text.as_py())
                 ids = np.array([number.get(w, -1) for w in words], dtype=np.int64)
-                others = Counter([words[i] for i in np.flatnonzero(ids < 0).tolist()])
+                unknown = np.flatnonzero(ids < 0)
+                digests = np.asarray(automaton.hashes[ids]) if size else np.zeros(len(ids), np.int64)
+                digests[unknown] = [hashed[words[i]] for i in unknown.tolist()]
+                missing = Counter([words[i] for i in unknown.tolist()])
                 tokens.append(ids)
+                hashes.append(digests)
                 known.append(int((ids >= 0).sum()))
                 base.append(float(alone[ids[ids >= 0]].sum()))
-                rare.append(list(others))
-                times.append(list(others.values()))
+                rare.append(list(missing))
+                times.append(list(missing.values()))
             n = len(tokens)
+            sizes = np.array([len(t) for t in tokens], dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(row, row + n)),
                     batch.column(0),
-                    pa.array([len(t) for t in tokens], pa.int64()),
+                    pa.array(sizes),
                     pa.array(known, pa.int64()),
                     pa.array(base, pa.float64()),
                     pa.array(automaton.read(tokens, order), pa.float64()),
                     pa.array(rare, pa.list_(pa.binary())),
                     pa.array(times, pa.list_(pa.int64())),
+                    *others(automaton, sizes, np.concatenate(tokens), np.concatenate(hashes)),
                 ],
-                names=["row", "doc_id", "n_tokens", "known", "base", "walk", "rare", "times"],
+                names=["row", "doc_id", "n_tokens", "known", "base", "walk", "rare", "times", "highs", "lows"],
             )
             row += n
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     schema = (
         "row long, doc_id long, n_tokens long, known long, base double, walk double, "
-        "rare array<binary>, times array<long>"
+        "rare array<binary>, times array<long>, highs array<long>, lows array<long>"
     )
     walked = written(rows.mapInArrow(run, schema), "walked")
     rare = walked.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(
         "row", F.col("w.rare").alias("word"), F.col("w.times").alias("times")
     )
-    counted = rare.join(model.counts, "word", "left")
-    more = counted.groupBy("row").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(outcomes)))).alias("more"),
+    counted = rare.join(model.counts.join(model.words, "word", "left"), "word", "left")
+    grams = walked.select("row", F.explode(F.arrays_zip("highs", "lows")).alias("g")).select(
+        "row", F.col("g.highs").alias("high"), F.col("g.lows").alias("low")
+    )
+    weighed = grams.join(model.weights, ["high", "low"])
+    parts = counted.select(
+        "row",
+        F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("known_part"),
+        (F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(outcomes)))).alias("base_part"),
+        (F.col("times") * F.coalesce("word_back", F.lit(0.0))).alias("walk_part"),
+    ).union(weighed.select("row", F.lit(0).cast("long"), F.lit(0.0), "weight"))
+    more = parts.groupBy("row").agg(
+        F.sum("known_part").alias("more_known"), F.sum("base_part").alias("more"), F.sum("walk_part").alias("more_walk")
     )
-    done = walked.drop("rare", "times").join(more, "row", "left")
+    done = walked.drop("rare", "times", "highs", "lows").join(more, "row", "left")
     rest = F.coalesce("more", F.lit(0.0))
     return done.select(
         "doc_id",
         "n_tokens",
         (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         (F.col("base") + rest).alias("base_score"),
-        (F.col("walk") + rest).alias("score"),
+        (F.col("walk") + rest + F.coalesce("more_walk", F.lit(0.0))).alias("score"),
     )
 
 

@@ -191,6 +191,24 @@ def test_repeated_passages_go(documents):
     assert all(r.removed == "r" and r.part == 1 for r in got)
 
 
+@pytest.mark.parametrize("joint", ["\n", " "])
+def test_whole_passages_go_wherever_they_stand(documents, joint):
+    """Sixty words on three to ten lines, or as sentences or plain words within a longer line, go as a whole."""
+    rng = random.Random(10)
+    made = lambda n, end=".": " ".join(some_words(rng, n)) + end
+    rows, wanted = [], []
+    for k in (3, 4, 6, 8, 10, 1):
+        passage = joint.join(made(60 // k, "" if k == 1 and joint == " " else ".") for _ in range(k))
+        glue = " " if k == 1 and joint == " " else joint
+        for copy in range(3):
+            around = [joint.join(made(9, "" if glue != joint or k == 1 else ".") for _ in range(7)) for _ in range(2)]
+            rows.append((len(rows), f"{around[0]}{glue}{passage}{glue}{around[1]}", "en"))
+            wanted.append(rows[-1][1].replace(passage + glue, "") if copy else rows[-1][1])
+    got = line_chunks.without_repeated_chunks(documents(rows)).orderBy("doc_id").collect()
+    assert [r.text for r in got] == wanted
+    assert [r.removed_chars for r in got] == [len(t) - len(w) for (_, t, _), w in zip(rows, wanted, strict=True)]
+
+
 def test_line_chunks_of_odd_texts(documents, odd_rows):
     got = line_chunks.without_repeated_chunks(documents(odd_rows)).collect()
     assert len(got) == len(odd_rows)

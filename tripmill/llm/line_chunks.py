@@ -1,14 +1,15 @@
-"""Removal of passages that repeat across documents: content-defined chunks of lines.
+"""Removal of passages that repeat across documents: overlapping chunks of neighbouring lines.
 
-A text is a sequence of lines; a line of at least ``PASSAGE_WORDS`` words is a run of its own, parted into its
-sentences, so that a passage written on one line is several lines too. A hash of each line rolls over the last
-``WINDOW`` lines, and a chunk of at least two lines ends where it is divisible by ``DIVISOR``: where chunks end
-depends on the lines just before, so passages shifted by other text are cut alike. A chunk counts if it has at
-least ``LEAST_WORDS`` words and two lines, or is a passage without sentences.
+A text is a sequence of lines; a line of at least ``PASSAGE_WORDS`` words is parted into its sentences, so that a
+passage written on one line is several lines too. From each line on, and up to each line, the shortest stretch of at
+least two lines and ``LEAST_WORDS`` words is a chunk. Every stretch of lines that long is thus made up of chunks
+wholly inside it, whatever stands around it: if it repeats, it goes as a whole. A sentence of ``PASSAGE_WORDS`` words
+or more is taken apart from its neighbours, and each stretch of so many words in it is a chunk.
 
 A chunk whose bytes occur in several places stays in the first of them (smallest doc_id, then place) and is
 removed from the others. Digests find the candidates; chunks are removed only if their bytes equal those of the
-first place. What stays of a text keeps its bytes and order.
+first place. What stays of a text keeps its bytes and order. Each line that goes is at an earlier place too. Of a
+passage that begins or ends within a sentence of fewer words, that part of the sentence stays.
 
 NULL text stays NULL and has no chunks. Rows with NULL doc_id stay as they are and take no part. Rows that repeat
 a doc_id are one document: a chunk at the same place of each is one place. Repeats within a document are
@@ -30,11 +31,10 @@ from pyspark.sql import functions as F
 
 from tripmill.llm.common import FILTER_BITS, bit_array, table, written
 
-WINDOW, DIVISOR = 2, 3
 PASSAGE_WORDS, LEAST_WORDS = 50, 12
 _SENTENCE_END = re.compile(r"(?<=[.!?]) ")
+_WORD = re.compile(r"\S+\s*")
 _MASK = (1 << 64) - 1
-_STEP = 0x9E3779B97F4A7C15
 
 
 class Chunk(NamedTuple):
@@ -44,53 +44,61 @@ class Chunk(NamedTuple):
     low: int
 
 
-def _runs(text: str) -> Iterator[list[tuple[int, int]]]:
-    """Runs of lines within which chunks lie, as ranges of characters."""
-    run: list[tuple[int, int]] = []
+def _runs(text: str) -> Iterator[tuple[list[tuple[int, int, int]], int, int]]:
+    """Runs of lines within which chunks lie, as ranges of characters and numbers of words; least lines and words."""
+    run: list[tuple[int, int, int]] = []
     at = 0
     for line in text.split("\n"):
         end = min(at + len(line) + 1, len(text))  # with its line feed
+        parts = [(at, end)]
         if len(line) >= 2 * PASSAGE_WORDS - 1 and len(line.split()) >= PASSAGE_WORDS:
-            if run:
-                yield run
-            run, start = [], at
-            for mark in _SENTENCE_END.finditer(line):
-                run.append((start, at + mark.end()))
-                start = at + mark.end()
-            run.append((start, end))
-            yield run
-            run = []
-        elif end > at:
-            run.append((at, end))
+            marks = [at, *(at + mark.end() for mark in _SENTENCE_END.finditer(line)), end]
+            parts = list(zip(marks, marks[1:], strict=False))
+        for start, stop in parts:
+            words = len(text[start:stop].split())
+            if words >= PASSAGE_WORDS:
+                if run:
+                    yield run, 2, LEAST_WORDS
+                yield [(m.start(), m.end(), 1) for m in _WORD.finditer(text, start, stop)], 1, PASSAGE_WORDS
+                run = []
+            elif words:
+                run.append((start, stop, words))
+            elif run:  # white space belongs to the line before
+                run[-1] = (run[-1][0], stop, run[-1][2])
         at = end
     if run:
-        yield run
+        yield run, 2, LEAST_WORDS
+
+
+def _stretches(words: list[int], lines: int, least: int) -> list[tuple[int, int]]:
+    """The shortest stretches of enough lines and words from each line and up to each line, ends included, in order."""
+    found, held, first = set(), 0, 0
+    for last, n in enumerate(words):
+        held += n
+        shortest = None
+        while last - first + 1 >= lines and held >= least:
+            found.add((first, last))  # the first line is in no shorter one
+            shortest = first
+            held -= words[first]
+            first += 1
+        if shortest is None and first:  # up to this line
+            start, more = first, held
+            while last - start + 1 < lines or more < least:
+                start -= 1
+                more += words[start]
+            found.add((start, last))
+    return sorted(found)
 
 
 def chunks_of(text: str) -> list[Chunk]:
-    """The chunks of a text that count, in order."""
+    """The chunks of a text, by their starts; their ends do not fall."""
     found = []
-    for run in _runs(text):
-        cuts, first, rolled = [], 0, [0] * WINDOW
-        for i, (start, end) in enumerate(run):
-            rolled = [*rolled[1:], xxhash.xxh3_64_intdigest(text[start:end].strip().encode("utf-8"))]
-            mixed = 0
-            for line in rolled:
-                mixed = ((mixed ^ line) * _STEP) & _MASK
-            if i - first >= 1 and (mixed >> 40) % DIVISOR == 0:
-                cuts.append((first, i))
-                first = i + 1
-        if first < len(run):
-            if len(run) - first == 1 and cuts:  # no chunk of a single line
-                first = cuts.pop()[0]
-            cuts.append((first, len(run) - 1))
-        for a, b in cuts:
+    for run, lines, least in _runs(text):
+        for a, b in _stretches([words for _, _, words in run], lines, least):
             start, end = run[a][0], run[b][1]
-            words = len(text[start:end].split())
-            if words >= (LEAST_WORDS if b > a else PASSAGE_WORDS):
-                digest = xxhash.xxh3_128_intdigest(text[start:end].strip().encode("utf-8"))
-                high, low = digest >> 64, digest & _MASK
-                found.append(Chunk(start, end, high - (high >> 63 << 64), low - (low >> 63 << 64)))
+            digest = xxhash.xxh3_128_intdigest(text[start:end].strip().encode("utf-8"))
+            high, low = digest >> 64, digest & _MASK
+            found.append(Chunk(start, end, high - (high >> 63 << 64), low - (low >> 63 << 64)))
     return found
 
 
@@ -164,7 +172,8 @@ def without_repeated_chunks(docs: DataFrame) -> DataFrame:
             for number, chunk in enumerate(chunks_of(text)):
                 if (number, chunk.high) in gone:
                     kept.append(text[at : chunk.start])
-                    at, chars, count = chunk.end, chars + chunk.end - chunk.start, count + 1
+                    chars += chunk.end - max(at, chunk.start)
+                    at, count = chunk.end, count + 1
             rows.append(("".join([*kept, text[at:]]), count, chars))
         return pd.DataFrame(rows, columns=["text", "chunks", "chars"])
 

@@ -11,20 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm.common import table, written
-from tripmill.llm.language import UNKNOWN, predict, trained_on
+from tripmill.llm.language import UNKNOWN, buckets_of, predict, trained_on
 from tripmill.llm.line_chunks import without_repeated_chunks
 from tripmill.llm.minhash import near_duplicates
 from tripmill.llm.packing import pack
 
-#: Documents whose best language has a smaller chance are rejected.
-LEAST_SCORE = 0.5
 END_ID = 2
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that can be told; texts that are NULL or have no letter go."""
-    known = predict(docs, trained_on(docs))
-    return known.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
+    """Documents with a letter, whatever the chance of their best language, and also if there is none to learn."""
+    model = trained_on(docs)
+    if not model.languages:
+        letter = F.udf(lambda text: text is not None and len(buckets_of(text)) > 0, "boolean")
+        return docs.where(letter("text"))
+    return predict(docs, model).where(F.col("lang_pred") != UNKNOWN).select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

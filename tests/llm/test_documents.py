@@ -429,6 +429,14 @@ def test_pipeline_stages(spark, documents, odd_rows):
     assert {r.doc_id for r in docs.collect()} == {1, 5, 8, 9, 10, None}
 
 
+@pytest.mark.parametrize("labelled", [True, False])
+def test_language_stage_keeps_every_document_with_a_letter(spark, documents, odd_rows, labelled):
+    rows = [(i, t, f"l{i % 5}" if labelled else None) for i, t in enumerate(["the same words in all", "q"] * 20)]
+    docs = documents([*rows, *((100 + (i or 0), t, None) for i, t, _ in odd_rows)])
+    kept = [r.doc_id for r in corpus_pipeline.language_id(spark, docs, SF_DIR).collect()]
+    assert sorted(kept) == [*range(40), 100, 101, 101, 102, 105, 108, 109, 110]
+
+
 def test_pipeline_keeps_one_of_each_group(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     kept = corpus_pipeline.minhash_dedup(spark, docs, SF_DIR).collect()

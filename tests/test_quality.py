@@ -24,7 +24,14 @@ from tripmill.plans import checks
 from tripmill.plans.checks import COLUMN_CHECKS, ChecksFailed, raise_on_failures, run_checks
 from tripmill.plans.gold import daily_trip_summary
 from tripmill.plans.silver import clean
-from tripmill.schema import BRONZE_TRIPS, GOLD_DAILY, RUN_EVENTS, RUN_LOG, SILVER_TRIPS
+from tripmill.schema import (
+    BRONZE_TEXT_LIMITS,
+    BRONZE_TRIPS,
+    GOLD_DAILY,
+    RUN_EVENTS,
+    RUN_LOG,
+    SILVER_TRIPS,
+)
 
 
 def failing(report):
@@ -112,7 +119,11 @@ def test_report_on_broken_tables(spark, bronze, raw_row):
         "gold_coverage": (1, "warn"),
         "run_reference": (1, "warn"),
     }
-    assert report.count() == 8 + 18 + 14 + 4
+    declared = {c.name for t in tables for c in checks.checks_of(t)}
+    limits = {f"text_limit_{c}" for c in BRONZE_TEXT_LIMITS}
+    others = {"dropoff_after_pickup", "total_gte_fare", "gold_coverage", "run_reference"}
+    assert {r.check_name for r in report.collect()} == declared | limits | others
+    assert report.count() == len(declared) + len(limits) + len(others)
     with pytest.raises(ChecksFailed, match="total_gte_fare"):
         raise_on_failures(report)
     raise_on_failures(report.where("check_name <> 'total_gte_fare'"))

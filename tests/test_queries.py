@@ -44,3 +44,9 @@ def test_results_do_not_depend_on_the_session_zone(spark, connection, name):
 
 def test_flagship(spark):
     assert driver.entry(spark).count() == 161
+
+
+def test_the_rest_stands_without_its_optional_part(monkeypatch):
+    monkeypatch.setattr(driver, "find_spec", lambda name: None)
+    assert driver.queries() == QUERIES
+    assert set(driver.oracle_sql()) <= set(QUERIES)

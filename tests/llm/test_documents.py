@@ -314,7 +314,7 @@ def test_scores_equal_counts_and_sum_to_one(spark, documents, odd_rows, monkeypa
     words = some_words(rng, 80)
     texts = [" ".join(rng.choices(words, range(1, 81), k=rng.randint(0, 60))) for _ in range(60)]
     texts += [texts[0]] * 5
-    docs = documents([*((i, t, "en") for i, t in enumerate(texts)), *((1000 if i is None else 1000 + i, t, x) for i, t, x in odd_rows)])
+    docs = documents([*((i, t, "en") for i, t in enumerate(texts)), *((1000 + i, t, x) for i, (_, t, x) in enumerate(odd_rows))])
     train = docs.where("doc_id < 50").selectExpr("coalesce(text, '') AS text")
     model = scoring.LanguageModel(train)
     got = scoring.score(docs, model).collect()

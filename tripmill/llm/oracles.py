@@ -76,8 +76,45 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(l.component, s
        coalesce(l.component, s.doc_id) = s.doc_id AS kept
 FROM sets s LEFT JOIN low l ON s.doc_id = l.node"""
 
+FILL_IN_MIDDLE = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+),
+units AS (
+    SELECT doc_id, text,
+           regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+           list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS BIGINT)) AS draws
+    FROM texts
+),
+placed AS (
+    SELECT doc_id, text, u, len(u) AS n,
+           least(draws[1] % (len(u) + 1), draws[2] % (len(u) + 1)) AS a,
+           greatest(draws[1] % (len(u) + 1), draws[2] % (len(u) + 1)) AS b,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                     OR draws[3] % 100 >= 50 THEN 'plain'
+                WHEN draws[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM units
+),
+cut AS (
+    SELECT doc_id, text, n, form,
+           array_to_string(list_slice(u, 1, a), '') AS prefix,
+           array_to_string(list_slice(u, a + 1, b), '') AS middle,
+           array_to_string(list_slice(u, b + 1, n), '') AS suffix
+    FROM placed
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                        ELSE text END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut"""
+
+
 ORACLES = {
     "op6_minhash_near_dedup": NEAR_DUPLICATES,
     "op9_chat_formatting": CHAT,
     "op10_embedding_near_dedup": VECTORS,
+    "op12_fill_in_middle": FILL_IN_MIDDLE,
 }

@@ -112,9 +112,53 @@ SELECT doc_id, n, form,
 FROM cut"""
 
 
+def _vector_codes(rounds: int = 6) -> str:
+    """Lloyd rounds over all parts and entries, one pair of tables each."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""near{r} AS MATERIALIZED (
+    SELECT v, p, CAST(min(d * 16 + e) % 16 AS BIGINT) AS e, min(d) AS d FROM (
+        SELECT q.v, q.p, b.e,
+               coalesce(list_sum(list_transform(range(1, len(q.x) + 1), lambda i: (q.x[i] - b.c[i]) * (q.x[i] - b.c[i]))), 0) AS d
+        FROM parts q JOIN book{r} b ON q.p = b.p)
+    GROUP BY v, p
+)""")
+        if r < rounds:
+            steps.append(f"""book{r + 1} AS MATERIALIZED (
+    SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{r} b LEFT JOIN (
+        SELECT p, e, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS c FROM (
+            SELECT n.p, n.e, i, sum(q.x[i]) AS s, count(*) AS n
+            FROM near{r} n JOIN parts q ON n.v = q.v AND n.p = q.p, unnest(range(1, len(q.x) + 1)) t(i)
+            GROUP BY ALL)
+        GROUP BY p, e) m ON m.p = b.p AND m.e = b.e
+)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS v,
+           list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS z
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+parts AS MATERIALIZED (
+    SELECT v, p, z[p * len(z) // 8 + 1 : (p + 1) * len(z) // 8] AS x FROM kept, unnest(range(8)) t(p)
+),
+book0 AS MATERIALIZED (SELECT p, v AS e, x AS c FROM parts WHERE v < 16),
+{(","+chr(10)).join(steps)},
+coded AS (
+    SELECT v, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+    FROM near{rounds} GROUP BY v
+),
+books AS (
+    SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded ON kept.v = coded.v CROSS JOIN books"""
+
+
 ORACLES = {
     "op6_minhash_near_dedup": NEAR_DUPLICATES,
     "op9_chat_formatting": CHAT,
     "op10_embedding_near_dedup": VECTORS,
     "op12_fill_in_middle": FILL_IN_MIDDLE,
+    "op13_vector_codes": _vector_codes(),
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tripmill.llm.chat import op9_chat_formatting
+from tripmill.llm.cover_trees import op13_vector_codes
 from tripmill.llm.fim import op12_fill_in_middle
 from tripmill.llm.fingerprint import op4_content_chunks
 from tripmill.llm.language import op2_language_id
@@ -29,4 +30,5 @@ QUERIES = {
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
     "op11_piece_backtracking": op11_piece_backtracking,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_vector_codes": op13_vector_codes,
 }

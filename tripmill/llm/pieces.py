@@ -104,6 +104,12 @@ class PieceEncoder:
             self.automaton.add_word(piece, len(piece))
         self.automaton.make_automaton()
         self.longest = max(map(len, self.whole), default=1)
+        #: For each piece the longest shorter one that it begins with.
+        self.shorter: dict[str, str | None] = {}
+        for piece in self.whole:
+            heads = (piece[:n] for n in range(len(piece) - 1, 0, -1))
+            self.shorter[piece] = next((head for head in heads if head in self.whole), None)
+        self.packed = Filled(self._packed, _REMEMBERED)
         # Whether a text can be cut before every space that follows another character.
         self.cut_at_spaces = not any(a != SPACE and b == SPACE for a, b in model.beside)
         self.fits = Filled(lambda pair: model.merged(pair[0] + pair[1]) == [*pair], _REMEMBERED)
@@ -131,63 +137,68 @@ class PieceEncoder:
         first = self.parts[part[1 : cuts[0]]] if part[0] == SPACE else stretches[part[: cuts[0]]]
         return first + b"".join([stretches[part[a:b]] for a, b in zip(cuts, [*cuts[1:], len(part)], strict=True)])
 
-    def _stretch(self, text: str) -> bytes:
-        of, byte_ids = self.model.id_of, self.model.byte_ids
-        pieces = self.pieces(text)
-        try:
-            ids = [of[piece] for piece in pieces]
-        except KeyError:
-            coded = [(of[p],) if p in of else [byte_ids[b] for b in p.encode("utf-8")] for p in pieces]
-            ids = [i for some in coded for i in some]
+    def _packed(self, piece: str) -> bytes:
+        number = self.model.id_of.get(piece)
+        ids = [number] if number is not None else [self.model.byte_ids[b] for b in piece.encode("utf-8")]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _lengths(self, text: str, start: int) -> list[list[int]]:
-        """For each place of a window, the lengths of pieces that begin there, the longest last."""
+    def _stretch(self, text: str) -> bytes:
+        return b"".join(map(self.packed.__getitem__, self.pieces(text)))
+
+    def _longest(self, text: str, start: int) -> list[int]:
+        """For each place of a window, the length of the longest piece that begins there."""
+        if len(text) <= WINDOW:
+            found = [1] * len(text)
+            for end, length in self.automaton.iter(text):  # by their ends, so the longest comes last
+                found[end + 1 - length] = length
+            return found
         stop = min(start + WINDOW, len(text))
-        found: list[list[int]] = [[] for _ in range(stop - start)]
+        found = [1] * (stop - start + self.longest)
         for end, length in self.automaton.iter(text[start : stop + self.longest - 1]):
-            begin = end + 1 - length
-            if begin < len(found):
-                found[begin].append(length)
-        return found
+            found[end + 1 - length] = length
+        return found[: stop - start]
 
     def pieces(self, text: str) -> list[str]:
         """The pieces of a text that is one character or has characters of pieces only."""
         if text in self.whole or len(text) == 1:
             return [text]
-        fits, taken, tries = self.fits, [], []
-        failed = bytearray((len(text) >> 3) + 1)
-        windows: dict[int, list[list[int]]] = {}
-        at = tried = base = 0
-        window: list[list[int]] = []
-        while at < len(text):
-            if not base <= at < base + len(window):
-                base = at // WINDOW * WINDOW
-                if base not in windows:
-                    if len(windows) > 1:
-                        windows.clear()
-                    windows[base] = self._lengths(text, base)
-                window = windows[base]
-            lengths = window[at - base]
-            before = taken[-1] if taken else None
-            while tried < len(lengths):
-                end = at + lengths[-1 - tried]
-                if not failed[end >> 3] >> (end & 7) & 1:
-                    piece = text[at:end]
-                    if before is None or fits[before, piece]:
-                        break
-                tried += 1
+        fits, shorter, taken = self.fits, self.shorter, []
+        failed, any_failed = bytearray((len(text) >> 3) + 1), False
+        windows: dict[int, list[int]] = {}
+        window, base, at, size = self._longest(text, 0), 0, 0, len(text)
+        windows[0] = window
+        before = None
+        piece: str | None = text[: window[0]]
+        while True:
+            # ``piece`` is the longest one at ``at`` that has not been tried after ``before``.
+            while piece is not None:
+                end = at + len(piece)
+                open_ = not any_failed or not failed[end >> 3] >> (end & 7) & 1
+                if open_ and (before is None or fits[before, piece]):
+                    break
+                piece = shorter[piece]
             else:
                 if before is None:
                     raise RuntimeError("pieces that no merges lead to")
                 failed[at >> 3] |= 1 << (at & 7)
-                at -= len(taken.pop())
-                tried = tries.pop() + 1
+                any_failed = True
+                piece = taken.pop()
+                at -= len(piece)
+                before = taken[-1] if taken else None
+                piece = shorter[piece]
                 continue
             taken.append(piece)
-            tries.append(tried)
-            at, tried = end, 0
-        return taken
+            before, at = piece, end
+            if at == size:
+                return taken
+            if not base <= at < base + len(window):
+                base = at // WINDOW * WINDOW
+                if base not in windows:
+                    if len(windows) > 1:
+                        windows.clear()
+                    windows[base] = self._longest(text, base)
+                window = windows[base]
+            piece = text[at : at + window[at - base]]
 
 
 def decoded(model: PieceModel, ids: list[int]) -> str:

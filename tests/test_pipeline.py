@@ -25,6 +25,7 @@ from tripmill.schema import (
     SILVER_TRIPS,
 )
 from tripmill.session import build_session
+from tripmill.sources.landing import Landing
 from tripmill.streaming.landing import ingest_new_pages
 from tests.conftest import columns_of
 
@@ -254,13 +255,13 @@ def test_sizing_reaches_the_session(spark, landed, monkeypatch):
     from tripmill import session
 
     set_by_hand = spark.conf.get("spark.sql.shuffle.partitions")
-    session.size_to_input(spark, landed)
+    session.size_to_input(spark, Landing(spark, landed).bytes)
     assert spark.conf.get("spark.sql.shuffle.partitions") == set_by_hand
     monkeypatch.setattr(type(spark.sparkContext.getConf()), "contains", lambda self, key: False)
     keys = session.sized_for(1)
     before = {key: spark.conf.get(key) for key in keys}
     try:
-        session.size_to_input(spark, landed)
+        session.size_to_input(spark, Landing(spark, landed).bytes)
         assert {key: spark.conf.get(key) for key in keys} == session.sized_for(1)
     finally:
         for key, value in before.items():

@@ -14,6 +14,7 @@ from tripmill.plans.checks import raise_on_failures
 from tripmill.plans.pipeline import check_warehouse, run_pipeline
 from tripmill.session import build_session, size_to_input
 from tripmill.sources.feed import PAGE_SIZE
+from tripmill.sources.landing import Landing
 from tripmill.sources.warehouse import Warehouse
 
 
@@ -29,6 +30,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     run.add_argument("--max-pages", type=int, help="ingest pages below this number only")
     run.add_argument("--stop-at-short-page", action="store_true", help="end at a short page")
     run.add_argument("--set-malformed-times-aside", action="store_true", help="do not fail on them")
+    run.add_argument("--buckets", type=int, help="number of buckets of the trip state and silver")
+    run.add_argument("--from-scratch", action="store_true", help="rebuild silver from all of bronze")
     check = commands.add_parser("check", help="report the data-quality checks")
     for command in (run, check):
         command.add_argument(
@@ -48,17 +51,19 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(durable=True)
     warehouse = Warehouse(spark, args.prefix)
     if args.command == "run":
-        size_to_input(spark, args.landing_dir)
+        landing = Landing(
+            spark, args.landing_dir, args.page_size, args.max_pages, args.stop_at_short_page
+        )
+        size_to_input(spark, landing.bytes)
         result = run_pipeline(
             warehouse,
-            args.landing_dir,
+            landing,
             args.day,
             args.source_url,
             severities=dict.fromkeys(args.error, ERROR),
-            page_size=args.page_size,
-            max_pages=args.max_pages,
-            stop_at_short_page=args.stop_at_short_page,
             set_malformed_times_aside=args.set_malformed_times_aside,
+            buckets=args.buckets,
+            from_scratch=args.from_scratch,
         )
         print(f"run {result.run_id}: {result.rows_ingested} rows in batch {result.batch_id}")
         if result.pages_left_out:

@@ -48,6 +48,12 @@ def ingestion_id(run_id: int, page: Column, position: Column, page_size: int) ->
     )
 
 
+def page_of_id(ingestion_id: Column, page_size: int) -> tuple[Column, Column]:
+    """Page number and position that an ``ingestion_id`` was made of."""
+    place = ingestion_id.bitwiseAND(F.lit((1 << _BLOCK_BITS) - 1))
+    return F.floor(place / page_size), place % page_size
+
+
 def stamp(
     df: DataFrame, source_url: str, batch_id: str, run_id: int, ingested_at: datetime
 ) -> DataFrame:

@@ -41,6 +41,14 @@ def all_batch_counts(bronze: DataFrame) -> DataFrame:
     )
 
 
+def gate(batch_id: str, row_count: int, null_critical_count: int) -> Row:
+    """The row of ``batch_counts`` of a batch whose rows were counted as they were written."""
+    passed = row_count > 0 and null_critical_count * 10 <= row_count
+    return Row(
+        batch_id=batch_id, row_count=row_count, null_critical_count=null_critical_count, passed=passed
+    )
+
+
 def _passed() -> Column:
     # More than one row in ten is too many; exactly one in ten is not.
     return (F.col("row_count") > 0) & (F.col("null_critical_count") * 10 <= F.col("row_count"))

@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmill.operators.unique import repeated_ids
+
 WARN, ERROR = "warn", "error"
 NOT_NULL, UNIQUE, ACCEPTED, EXPRESSION = "not_null", "unique", "accepted_values", "expression"
 
@@ -34,7 +36,8 @@ class Check:
         return f"{self.kind}:{self.table}.{self.column}{tail}"
 
 
-def _violates(check: Check) -> Column:
+def violation(check: Check) -> Column:
+    """What a not-null or expression check counts."""
     if check.kind == NOT_NULL:
         return F.col(check.column).isNull()
     # An unknown outcome passes: count_if does not count NULL.
@@ -78,17 +81,21 @@ def unexpected_values(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return values.groupBy("check_name", "value").agg(F.count("*").alias("n"))
 
 
-def unique_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """``(check_name, failing)``: number of values that occur more than once."""
-    return reduce(
-        DataFrame.unionByName,
-        [
-            duplicates(df, c.column)
-            .agg(F.count("*").alias("failing"))
-            .select(F.lit(c.name).alias("check_name"), "failing")
-            for c in checks
-        ],
-    )
+def unique_checks(
+    df: DataFrame, checks: Sequence[Check], batch: str | None = None
+) -> DataFrame:
+    """``(check_name, failing)``: number of values that occur more than once.
+
+    Whole numbers of a table that has batches are compared by intervals and bits first (see ``unique``).
+    """
+    kinds = dict(df.dtypes)
+    parts = []
+    for c in checks:
+        by_batch = batch is not None and kinds[c.column] in ("bigint", "int")
+        found = repeated_ids(df, c.column, batch) if by_batch else duplicates(df, c.column)
+        failing = found.agg(F.count("*").alias("failing"))
+        parts.append(failing.select(F.lit(c.name).alias("check_name"), "failing"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def accepted_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
@@ -100,22 +107,25 @@ def accepted_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
 
 def check_table(
-    df: DataFrame, checks: Iterable[Check], violations: Mapping[str, Column] | None = None
+    df: DataFrame,
+    checks: Iterable[Check],
+    violations: Mapping[str, Column] | None = None,
+    batch: str | None = None,
 ) -> DataFrame:
-    """``(check_name, failing)`` of all checks of one table.
+    """``(check_name, failing)`` of all checks of one table; ``batch`` is the column of its batches, if it has any.
 
     ``violations`` are conditions over several columns, by name; they are counted in the same pass
     as the not-null and expression checks.
     """
     checks = list(checks)
-    rows = {c.name: _violates(c) for c in checks if c.kind in (NOT_NULL, EXPRESSION)}
+    rows = {c.name: violation(c) for c in checks if c.kind in (NOT_NULL, EXPRESSION)}
     unique = [c for c in checks if c.kind == UNIQUE]
     accepted = [c for c in checks if c.kind == ACCEPTED]
     parts = []
     if rows or violations:
         parts.append(count_rows(df, {**rows, **(violations or {})}))
     if unique:
-        parts.append(unique_checks(df, unique))
+        parts.append(unique_checks(df, unique, batch))
     if accepted:
         parts.append(accepted_checks(df, accepted))
     return reduce(DataFrame.unionByName, parts)

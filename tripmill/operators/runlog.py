@@ -52,7 +52,7 @@ def _event(one_row: DataFrame, values: dict) -> DataFrame:
 
 
 def next_run_id(events: DataFrame) -> int:
-    """Id for the next run (runs are opened one at a time)."""
+    """Id after that of all logged runs."""
     return events.agg(F.coalesce(F.max("run_id"), F.lit(0)) + 1).first()[0]
 
 
@@ -128,7 +128,14 @@ class RunLog:
         self._warehouse.append(event, RUN_LOG_EVENTS)
 
     def open(self, dag_id: str, task_id: str, execution_date: str, now: datetime) -> int:
+        """Log a new run; its id is the first after all logged ones that nobody has claimed.
+
+        A claim is a file that only one of several drivers can create, so runs opened at once get ids of
+        their own. A driver lost between claim and log leaves its id unused.
+        """
         run_id = next_run_id(self.events)
+        while not self._warehouse.create_once(RUN_LOG_EVENTS, f"run-{run_id}"):
+            run_id += 1
         spark = self._warehouse.spark
         self._append(open_event(spark, run_id, dag_id, task_id, execution_date, now))
         return run_id

@@ -7,27 +7,16 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmill.operators.conform import to_bronze
-from tripmill.sources.feed import (
-    PAGE_SIZE,
-    count_landed,
-    pages_to_last,
-    read_pages,
-    records,
-)
+from tripmill.sources.feed import PAGE_SIZE, records
+from tripmill.sources.landing import Landing
 
 
-def chosen_pages(
-    spark: SparkSession,
-    landing_dir: str,
-    page_size: int = PAGE_SIZE,
-    max_pages: int | None = None,
-    stop_at_short_page: bool = False,
+def bronze_of(
+    landing: Landing, run_id: int, batch_id: str, ingested_at: datetime, source_url: str
 ) -> DataFrame:
-    """The landed pages of an extract: all of them, unless one of the options is set."""
-    pages = read_pages(spark, landing_dir)
-    if stop_at_short_page:
-        return pages_to_last(pages, page_size, max_pages)
-    return pages if max_pages is None else pages.where(pages.page < max_pages)
+    """Bronze rows of the chosen pages of a landed extract."""
+    rows = records(landing.pages())
+    return to_bronze(rows, source_url, batch_id, run_id, ingested_at, landing.page_size)
 
 
 def pages_left_out(
@@ -38,11 +27,7 @@ def pages_left_out(
     stop_at_short_page: bool = False,
 ) -> int:
     """Number of landed pages that these options leave out."""
-    landed = count_landed(spark, landing_dir)
-    if max_pages is None and not stop_at_short_page:
-        return 0
-    options = (page_size, max_pages, stop_at_short_page)
-    return landed - chosen_pages(spark, landing_dir, *options).select("page").count()
+    return Landing(spark, landing_dir, page_size, max_pages, stop_at_short_page).left_out()
 
 
 def ingest(
@@ -62,6 +47,5 @@ def ingest(
     bounds it; ``pages_left_out`` tells how many landed pages that drops. Page numbers are checked from
     file names before anything is read.
     """
-    count_landed(spark, landing_dir)
-    pages = chosen_pages(spark, landing_dir, page_size, max_pages, stop_at_short_page)
-    return to_bronze(records(pages), source_url, batch_id, run_id, ingested_at, page_size)
+    landing = Landing(spark, landing_dir, page_size, max_pages, stop_at_short_page)
+    return bronze_of(landing, run_id, batch_id, ingested_at, source_url)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from functools import reduce
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from tripmill.operators.quality import (
     WARN,
     Check,
     check_table,
+    violation,
     missing_from,
     outcome,
 )
@@ -33,6 +35,9 @@ from tripmill.schema import (
     SILVER_TRIPS,
 )
 
+if TYPE_CHECKING:
+    from tripmill.plans.counted import Counted
+
 _LABELS = (*PAYMENT_LABELS.values(), DEFAULT_PAYMENT_LABEL)
 
 # Table -> column -> its checks. A bare word is a kind, a tuple the accepted values,
@@ -157,24 +162,43 @@ _REFERENCES = {
 }
 
 
+def row_conditions(table: str) -> dict[str, Column]:
+    """What each check of single rows of a table counts, by check name."""
+    checks = {c.name: violation(c) for c in checks_of(table, NOT_NULL, EXPRESSION)}
+    return checks | {name: condition() for name, condition in _ROW_CHECKS.get(table, {}).items()}
+
+
+#: Tables that have batches, and the column that tells them apart.
+_BATCHES = {BRONZE_TRIPS: "batch_id"}
+
+
 def run_checks(
-    tables: Mapping[str, DataFrame], severities: Mapping[str, str] | None = None
+    tables: Mapping[str, DataFrame],
+    severities: Mapping[str, str] | None = None,
+    counted: Mapping[str, Counted] | None = None,
 ) -> DataFrame:
     """Report of every check on the given tables (public table name -> rows).
 
+    ``counted`` has the failures that are known already, by table; these checks do not read it again.
+
     One row per check: ``check_name, table_name, column_name, kind, failing, severity, status``.
     Every severity is ``warn``, which never fails a run; ``severities`` raises it per check name,
     or for all with the key ``"*"``.
     """
-    severities = severities or {}
+    severities, counted = severities or {}, counted or {}
     counts, described = [], []
     for table, df in tables.items():
         checks = checks_of(table)
+        known = counted[table].names if table in counted else frozenset()
         rows = {name: condition() for name, condition in _ROW_CHECKS.get(table, {}).items()}
-        if checks or rows:
-            counts.append(check_table(df, checks, rows))
         described += [(c.name, table, c.column, c.kind) for c in checks]
         described += [(name, table, None, "rows") for name in rows]
+        if known:
+            counts.append(counted[table].rows)
+        left = [c for c in checks if c.name not in known]
+        rows = {name: condition for name, condition in rows.items() if name not in known}
+        if left or rows:
+            counts.append(check_table(df, left, rows, _BATCHES.get(table)))
     for name, (missing, table, other) in _REFERENCES.items():
         if table in tables and other in tables:
             failing = missing(tables[table], tables[other]).agg(F.count("*").alias("failing"))

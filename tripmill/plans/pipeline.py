@@ -3,22 +3,31 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.operators import runlog
 from tripmill.operators.conform import new_batch_id
-from tripmill.operators.gates import batch_counts, require_passed
+from tripmill.operators.gates import gate, require_passed
 from tripmill.operators.runlog import RunLog
 from tripmill.plans import gold
-from tripmill.plans.bronze import ingest, pages_left_out
+from tripmill.plans.bronze import bronze_of
 from tripmill.plans.checks import raise_on_failures, run_checks
+from tripmill.plans.counted import (
+    NULL_CRITICAL,
+    ROWS,
+    known_counts,
+    observed_bronze,
+    observed_silver,
+    record,
+)
 from tripmill.plans.silver import derived, latest_valid, without_malformed_times
+from tripmill.plans.state import advance_state, silver_of
 from tripmill.schema import (
     BRONZE_TRIPS,
     GOLD_DAILY,
@@ -27,9 +36,11 @@ from tripmill.schema import (
     GOLD_ROLLUP,
     RUN_LOG,
     SILVER_TRIPS,
+    TRIP_STATE,
 )
 from tripmill.sources.feed import PAGE_SIZE
-from tripmill.sources.warehouse import Warehouse
+from tripmill.sources.landing import Landing
+from tripmill.sources.warehouse import Warehouse, utc_now
 
 DAG_ID = "trip_pipeline"
 TASK_ID = "full_pipeline"
@@ -48,14 +59,29 @@ class PipelineResult:
     pages_left_out: int = 0
 
 
-def _utc_now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+# Columns of silver that queries filter or group by; their statistics size such queries' plans.
+SILVER_STATISTICS = (
+    "trip_id",
+    "pickup_date",
+    "pickup_datetime",
+    "pickup_hour",
+    "vendor_id",
+    "payment_type_code",
+    "payment_type_label",
+    "batch_id",
+    "total_amount",
+)
+# Silver is looked up by trip as well as by time: files carry a Bloom filter of the trip ids.
+SILVER_OPTIONS = {"parquet.bloom.filter.enabled#trip_id": "true"}
 
 
 def build_silver(
-    warehouse: Warehouse, version: int, set_malformed_times_aside: bool = False
+    warehouse: Warehouse,
+    version: int,
+    set_malformed_times_aside: bool = False,
+    statistics: Sequence[str] | str = SILVER_STATISTICS,
 ) -> DataFrame:
-    """Rebuild silver from all of bronze, laid out by pickup date and time.
+    """Rebuild silver from all of bronze, without a state, laid out by pickup date and time.
 
     The layout shuffles parsed columns; keys, measures and calendar parts are derived after it.
     """
@@ -64,7 +90,39 @@ def build_silver(
         bronze = without_malformed_times(bronze)
     dated = latest_valid(bronze).withColumn("pickup_date", F.to_date("pickup_datetime"))
     laid_out = dated.hint("rebalance", "pickup_date").sortWithinPartitions("pickup_datetime")
-    return warehouse.publish(derived(laid_out), SILVER_TRIPS, version, statistics="*")
+    return warehouse.publish(
+        derived(laid_out), SILVER_TRIPS, version, statistics=statistics, options=SILVER_OPTIONS
+    )
+
+
+def update_silver(
+    warehouse: Warehouse,
+    version: int,
+    also: Sequence[str] = (),
+    buckets: int | None = None,
+    from_scratch: bool = False,
+    set_malformed_times_aside: bool = False,
+    statistics: Sequence[str] | str = SILVER_STATISTICS,
+) -> DataFrame:
+    """Publish silver with the batches that it lacks, by way of the trip state; its row checks are counted on the way.
+
+    Nothing that is stored is shuffled: state and silver stay in the state's buckets, each in order of
+    pickup. See ``advance_state`` for the arguments.
+    """
+    state = advance_state(warehouse, version, also, buckets, from_scratch, set_malformed_times_aside)
+    number = warehouse.buckets_of(TRIP_STATE, warehouse.version_of(TRIP_STATE))
+    observed = observed_silver(silver_of(state))
+    silver = warehouse.publish(
+        observed.df,
+        SILVER_TRIPS,
+        version,
+        sort_by=("pickup_datetime",),
+        statistics=statistics,
+        buckets=(number, "trip_id"),
+        options=SILVER_OPTIONS,
+    )
+    record(warehouse, SILVER_TRIPS, version, observed.counts)
+    return silver
 
 
 def build_gold(warehouse: Warehouse, version: int, now: datetime) -> None:
@@ -90,14 +148,17 @@ def build_gold(warehouse: Warehouse, version: int, now: datetime) -> None:
 def check_warehouse(
     warehouse: Warehouse, severities: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Check report of the published tables."""
-    names = (BRONZE_TRIPS, SILVER_TRIPS, GOLD_DAILY, GOLD_HEATMAP, GOLD_PAYMENT, RUN_LOG)
-    return run_checks({name: warehouse.read(name) for name in names}, severities)
+    """Check report of the published tables; rows whose checks were counted as they were written are not read."""
+    names = (BRONZE_TRIPS, GOLD_DAILY, GOLD_HEATMAP, GOLD_PAYMENT, RUN_LOG)
+    tables = {name: warehouse.read(name) for name in names}
+    # Silver as stored: what its view does not show to the planner is that it stands in buckets.
+    tables[SILVER_TRIPS] = warehouse.stored(SILVER_TRIPS, warehouse.version_of(SILVER_TRIPS))
+    return run_checks(tables, severities, known_counts(warehouse))
 
 
 def run_pipeline(
     warehouse: Warehouse,
-    landing_dir: str,
+    landing: Landing | str,
     day: str,
     source_url: str,
     batch_id: str | None = None,
@@ -106,14 +167,18 @@ def run_pipeline(
     max_pages: int | None = None,
     stop_at_short_page: bool = False,
     set_malformed_times_aside: bool = False,
-    clock: Callable[[], datetime] = _utc_now,
+    clock: Callable[[], datetime] = utc_now,
+    buckets: int | None = None,
+    from_scratch: bool = False,
 ) -> PipelineResult:
-    """Ingest one landed extract and rebuild everything from it.
+    """Ingest one landed extract and bring everything up to it.
 
     All landed pages are ingested; pages that ``max_pages`` or ``stop_at_short_page`` leave out are counted
-    in the result and in the run log, with a warning. The run is logged as failed if any stage raises,
-    with the error's text; the error is raised on, also if logging it fails. A malformed time is an
-    error unless ``set_malformed_times_aside``: then silver lacks those rows.
+    in the result and in the run log, with a warning. (A ``Landing`` brings these options and the page size with
+    it.) Silver is brought up to date by the batches it lacks, or built from all of bronze if ``from_scratch``;
+    both give the same rows. The run is logged as failed if any stage raises, with the error's text; the error is
+    raised on, also if logging it fails. A malformed time is an error unless ``set_malformed_times_aside``:
+    then silver lacks those rows.
     """
     warehouse.create()
     log = RunLog(warehouse)
@@ -121,25 +186,19 @@ def run_pipeline(
     run_id = log.open(DAG_ID, TASK_ID, day, clock())
     rows = left_out = 0
     try:
-        options = (page_size, max_pages, stop_at_short_page)
-        left_out = pages_left_out(warehouse.spark, landing_dir, *options)
+        if isinstance(landing, str):
+            landing = Landing(warehouse.spark, landing, page_size, max_pages, stop_at_short_page)
+        left_out = landing.left_out()
         if left_out:
             warnings.warn(f"{left_out} landed pages are left out", stacklevel=2)
-        landed = ingest(
-            warehouse.spark,
-            landing_dir,
-            run_id,
-            batch_id,
-            clock(),
-            source_url,
-            *options,
-        )
-        warehouse.append(landed, BRONZE_TRIPS)
-        found = batch_counts(warehouse.bronze(), batch_id).first()
-        rows = found.row_count
+        landed = observed_bronze(bronze_of(landing, run_id, batch_id, clock(), source_url))
+        warehouse.append(landed.df, BRONZE_TRIPS)
+        counts = landed.counts
+        rows = counts[ROWS]
         log.mark_ingested(run_id, rows)
-        require_passed(found)
-        build_silver(warehouse, run_id, set_malformed_times_aside)
+        record(warehouse, BRONZE_TRIPS, run_id, counts, batch_id)
+        require_passed(gate(batch_id, rows, counts[NULL_CRITICAL]))
+        update_silver(warehouse, run_id, (batch_id,), buckets, from_scratch, set_malformed_times_aside)
         build_gold(warehouse, run_id, clock())
         report = warehouse.publish(check_warehouse(warehouse, severities), "metadata.checks", run_id)
         raise_on_failures(report)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,12 +63,13 @@ def without_malformed_times(bronze: DataFrame) -> DataFrame:
 
 
 def enriched(trips: DataFrame) -> DataFrame:
-    """Typed rows with key, measures and calendar parts."""
+    """Typed rows with key (unless they have it), measures and calendar parts."""
     pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
     distance, total = F.col("trip_distance_miles"), F.col("total_amount")
+    has_key = "trip_id" in trips.columns
     return trips.withColumns(
         {
-            "trip_id": surrogate_key(*[F.col(c) for c in TRIP_KEY]),
+            "trip_id": F.col("trip_id") if has_key else surrogate_key(*[F.col(c) for c in TRIP_KEY]),
             "pickup_date": F.to_date(pickup),
             "pickup_hour": calendar.hour(pickup),
             "pickup_day_of_week": calendar.day_name(pickup),
@@ -97,3 +100,14 @@ def derived(trips: DataFrame) -> DataFrame:
 def clean(bronze: DataFrame) -> DataFrame:
     """The silver table. Derived columns come last, so the one shuffle carries parsed columns only."""
     return derived(latest_valid(bronze))
+
+
+def picked_up_between(silver: DataFrame, start: datetime, end: datetime) -> DataFrame:
+    """Trips with a pickup from ``start`` on and before ``end``.
+
+    The bounds are put on the pickup date as well: Parquet readers skip row groups by dates, but not by times
+    without a zone.
+    """
+    times = [F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz") for at in (start, end)]
+    days = F.col("pickup_date").between(F.to_date(times[0]), F.to_date(times[1]))
+    return silver.where(days & (F.col("pickup_datetime") >= times[0]) & (F.col("pickup_datetime") < times[1]))

@@ -18,6 +18,11 @@ RUN_LOG = "metadata.pipeline_runs"
 # Tables of our own.
 RUN_LOG_EVENTS = "metadata.pipeline_run_events"
 GOLD_ROLLUP = "gold.trip_rollup"
+TRIP_STATE = "silver.trip_state"
+TRIP_STATE_BATCHES = "metadata.trip_state_batches"
+CHECK_COUNTS = "metadata.check_counts"
+READ_LEASES = "metadata.read_leases"
+TAKEN_PAGES = "metadata.taken_pages"
 
 # Key of a feed record -> bronze column.
 FEED_COLUMNS = {

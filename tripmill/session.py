@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 # Wall-clock times are stored without a zone, money is exact and never wraps
 # round silently, and the physical plan is sized at run time.
@@ -13,6 +12,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Filters and joins are sized by the statistics of published tables.
+    "spark.sql.cbo.enabled": "true",
+    "spark.sql.cbo.joinReorder.enabled": "true",
     # The JVM does not compile methods beyond 8000 bytes of code. Parsing twenty columns in one
     # generated method would run interpreted; beyond the limit Spark generates smaller ones.
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -37,13 +39,11 @@ def sized_for(input_bytes: int) -> dict[str, str]:
     }
 
 
-def size_to_input(spark: SparkSession, path: str) -> None:
-    """Apply ``sized_for`` to the files under ``path``, unless the session's task count was set by hand."""
+def size_to_input(spark: SparkSession, input_bytes: int) -> None:
+    """Apply ``sized_for`` to so much input, unless the session's task count was set by hand."""
     if spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
         return
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    size = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    for key, value in sized_for(size).items():
+    for key, value in sized_for(input_bytes).items():
         spark.conf.set(key, value)
 
 

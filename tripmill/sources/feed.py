@@ -37,39 +37,8 @@ def read_pages(spark: SparkSession, landing_dir: str) -> DataFrame:
     return spark.read.text(landing_dir, wholetext=True).select(*page_columns())
 
 
-def count_landed(spark: SparkSession, landing_dir: str) -> int:
-    """Number of landed pages, from file names alone: no page is read.
-
-    An extract whose page 0 is absent, or with a page number that occurs twice, is an error: records
-    are numbered by page and position.
-    """
-    numbers = spark.read.format("binaryFile").load(landing_dir).select(_page_number().alias("page"))
-    found = (
-        numbers.groupBy("page")
-        .agg(F.count("*").alias("files"))
-        .agg(
-            F.coalesce(F.sum("files"), F.lit(0)).alias("files"),
-            F.min("page").alias("first"),
-            F.min(F.when(F.col("files") > 1, F.col("page"))).alias("repeated"),
-        )
-        .first()
-    )
-    if found.files and found.first != 0:
-        raise ValueError(f"landed pages begin at {found.first}: page 0 is absent in {landing_dir}")
-    if found.repeated is not None:
-        raise ValueError(f"page number {found.repeated} occurs twice in {landing_dir}")
-    return found.files
-
-
-def pages_to_last(
-    pages: DataFrame, page_size: int = PAGE_SIZE, max_pages: int | None = None
-) -> DataFrame:
-    """Pages up to and including the first that is short, empty or absent; at most ``max_pages``.
-
-    The end is the lowest page number that is 0 or follows a full page, and is not full itself.
-    """
-    if max_pages is not None:
-        pages = pages.where(F.col("page") < max_pages)
+def _ends(pages: DataFrame, page_size: int) -> DataFrame:
+    """One row ``page``: the lowest number that is 0 or follows a full page, and is not full itself."""
     mark = "struct<page: bigint, follows: boolean, full: boolean>"
     is_full = F.struct("page", F.lit(False), F.lit(True)).cast(mark)
     follows = F.struct(F.col("page") + 1, F.lit(True), F.lit(False)).cast(mark)
@@ -79,14 +48,30 @@ def pages_to_last(
     start = pages.sparkSession.range(1).select(
         F.col("id").alias("page"), F.lit(True).alias("follows"), F.lit(False).alias("full")
     )
-    end = (
+    return (
         marks.unionByName(start)
         .groupBy("page")
         .agg(F.max("follows").alias("follows"), F.max("full").alias("full"))
         .where("follows AND NOT full")
-        .agg(F.min("page"))
+        .agg(F.min("page").alias("page"))
     )
-    return pages.where(F.col("page") <= end.scalar())
+
+
+def last_page(pages: DataFrame, page_size: int = PAGE_SIZE, max_pages: int | None = None) -> int:
+    """Number of the page with which an extract ends: the first that is short, empty or absent."""
+    if max_pages is not None:
+        pages = pages.where(F.col("page") < max_pages)
+    end = _ends(pages, page_size).first().page
+    return end if max_pages is None else min(end, max_pages - 1)
+
+
+def pages_to_last(
+    pages: DataFrame, page_size: int = PAGE_SIZE, max_pages: int | None = None
+) -> DataFrame:
+    """Pages up to and including the first that is short, empty or absent; at most ``max_pages``."""
+    if max_pages is not None:
+        pages = pages.where(F.col("page") < max_pages)
+    return pages.where(F.col("page") <= _ends(pages, page_size).scalar())
 
 
 def records(pages: DataFrame, record: T.StructType = FEED_RECORD) -> DataFrame:

@@ -7,6 +7,9 @@ stored ratio; every quotient is of non-negative numbers and rounded half up.
 
 from __future__ import annotations
 
+from tripmill.schema import BRONZE_TRIPS, GOLD_DAILY, GOLD_HEATMAP, GOLD_PAYMENT, SILVER_TRIPS
+from verification.damage import damage_sql
+
 E16 = "10000000000000000"
 
 
@@ -354,7 +357,7 @@ _TO_TYPED = (_RAW, _PARSED)
 _TO_TRIPS = (*_TO_TYPED, _LATEST, _TRIPS)
 
 _NOT_NULL = {
-    ("bronze.raw_taxi_trips", "lost"): [
+    ("bronze.raw_taxi_trips", "bad_raw"): [
         "ingestion_id",
         "vendor_id",
         "tpep_pickup_datetime",
@@ -363,7 +366,7 @@ _NOT_NULL = {
         "batch_id",
         "ingested_at",
     ],
-    ("silver.cleaned_taxi_trips", "broken"): [
+    ("silver.cleaned_taxi_trips", "bad_trips"): [
         "trip_id",
         "vendor_id",
         "pickup_datetime",
@@ -375,7 +378,7 @@ _NOT_NULL = {
         "total_amount",
         "trip_duration_mins",
     ],
-    ("gold.daily_trip_summary", "daily_gap"): [
+    ("gold.daily_trip_summary", "bad_daily"): [
         "summary_id",
         "pickup_date",
         "total_trips",
@@ -385,14 +388,14 @@ _NOT_NULL = {
         "vendor_name",
         "payment_type_label",
     ],
-    ("gold.hourly_demand_heatmap", "heat"): ["pickup_hour", "trip_count"],
-    ("gold.payment_analysis", "payment"): ["payment_type_label"],
+    ("gold.hourly_demand_heatmap", "bad_heat"): ["pickup_hour", "trip_count"],
+    ("gold.payment_analysis", "bad_payment"): ["payment_type_label"],
 }
 _UNIQUE = [
-    ("bronze.raw_taxi_trips", "lost", "ingestion_id"),
-    ("silver.cleaned_taxi_trips", "broken", "trip_id"),
-    ("gold.daily_trip_summary", "daily_gap", "summary_id"),
-    ("gold.payment_analysis", "payment", "payment_type_label"),
+    ("bronze.raw_taxi_trips", "bad_raw", "ingestion_id"),
+    ("silver.cleaned_taxi_trips", "bad_trips", "trip_id"),
+    ("gold.daily_trip_summary", "bad_daily", "summary_id"),
+    ("gold.payment_analysis", "bad_payment", "payment_type_label"),
 ]
 _ACCEPTED = [
     ("vendor_id", "(1, 2)"),
@@ -403,22 +406,32 @@ _ACCEPTED = [
     ),
 ]
 _EXPRESSIONS = [
-    ("silver.cleaned_taxi_trips", "broken", "fare_amount", ">= 0"),
-    ("silver.cleaned_taxi_trips", "broken", "total_amount", "> 0"),
-    ("silver.cleaned_taxi_trips", "broken", "trip_duration_mins", "> 0"),
-    ("silver.cleaned_taxi_trips", "broken", "tip_percentage", "BETWEEN 0 AND 1"),
-    ("gold.daily_trip_summary", "daily_gap", "total_trips", "> 0"),
-    ("gold.daily_trip_summary", "daily_gap", "total_revenue", "> 0"),
-    ("gold.daily_trip_summary", "daily_gap", "avg_fare_per_trip", "> 0"),
-    ("gold.daily_trip_summary", "daily_gap", "avg_tip_rate", "BETWEEN 0 AND 1"),
-    ("gold.daily_trip_summary", "daily_gap", "avg_duration_mins", "> 0"),
-    ("gold.hourly_demand_heatmap", "heat", "pickup_hour", "BETWEEN 0 AND 23"),
-    ("gold.hourly_demand_heatmap", "heat", "trip_count", "> 0"),
-    ("gold.payment_analysis", "payment", "pct_of_total_trips", "BETWEEN 0 AND 100"),
-    ("gold.payment_analysis", "payment", "tip_frequency_pct", "BETWEEN 0 AND 100"),
+    ("silver.cleaned_taxi_trips", "bad_trips", "fare_amount", ">= 0"),
+    ("silver.cleaned_taxi_trips", "bad_trips", "total_amount", "> 0"),
+    ("silver.cleaned_taxi_trips", "bad_trips", "trip_duration_mins", "> 0"),
+    ("silver.cleaned_taxi_trips", "bad_trips", "tip_percentage", "BETWEEN 0 AND 1"),
+    ("gold.daily_trip_summary", "bad_daily", "total_trips", "> 0"),
+    ("gold.daily_trip_summary", "bad_daily", "total_revenue", "> 0"),
+    ("gold.daily_trip_summary", "bad_daily", "avg_fare_per_trip", "> 0"),
+    ("gold.daily_trip_summary", "bad_daily", "avg_tip_rate", "BETWEEN 0 AND 1"),
+    ("gold.daily_trip_summary", "bad_daily", "avg_duration_mins", "> 0"),
+    ("gold.hourly_demand_heatmap", "bad_heat", "pickup_hour", "BETWEEN 0 AND 23"),
+    ("gold.hourly_demand_heatmap", "bad_heat", "trip_count", "> 0"),
+    ("gold.payment_analysis", "bad_payment", "pct_of_total_trips", "BETWEEN 0 AND 100"),
+    ("gold.payment_analysis", "bad_payment", "tip_frequency_pct", "BETWEEN 0 AND 100"),
 ]
 # Ratios of silver are there scaled; a sign or a null is the same, and 1 becomes E16.
 _STAND_IN = {"trip_duration_mins": "duration_e", "tip_percentage": f"tip_e / {E16}"}
+_HELD = {"trip_duration_mins": "duration_e", "tip_percentage": "tip_e"}
+_BAD = ",".join(
+    [
+        damage_sql("lost", BRONZE_TRIPS, "bad_raw"),
+        damage_sql("broken", SILVER_TRIPS, "bad_trips", _HELD),
+        damage_sql("daily_gap", GOLD_DAILY, "bad_daily"),
+        damage_sql("heat", GOLD_HEATMAP, "bad_heat"),
+        damage_sql("payment", GOLD_PAYMENT, "bad_payment"),
+    ]
+)
 
 
 def _union(selects: list[str]) -> str:
@@ -446,7 +459,7 @@ def _accepted_counts() -> list[str]:
     table = "silver.cleaned_taxi_trips"
     return [
         f"SELECT 'accepted_values:{table}.{c}', '{table}', "
-        f"COUNT(DISTINCT CASE WHEN {c} NOT IN {values} THEN {c} END) FROM broken"
+        f"COUNT(DISTINCT CASE WHEN {c} NOT IN {values} THEN {c} END) FROM bad_trips"
         for c, values in _ACCEPTED
     ]
 
@@ -468,11 +481,12 @@ _UNKNOWN_RUNS = """SELECT DISTINCT pipeline_run_id AS run_id FROM lost
     WHERE pipeline_run_id NOT IN (SELECT run_id FROM runs WHERE run_id <> 2)"""
 
 _TABLE_COUNTS = [
-    "SELECT 'dropoff_after_pickup', 'silver.cleaned_taxi_trips', COUNT(*) FROM broken "
+    "SELECT 'dropoff_after_pickup', 'silver.cleaned_taxi_trips', COUNT(*) FROM bad_trips "
     f"WHERE {_ENDS_EARLY}",
-    f"SELECT 'total_gte_fare', 'silver.cleaned_taxi_trips', COUNT(*) FROM broken "
+    f"SELECT 'total_gte_fare', 'silver.cleaned_taxi_trips', COUNT(*) FROM bad_trips "
     f"WHERE {_BELOW_FARE}",
-    f"SELECT 'gold_coverage', 'silver.cleaned_taxi_trips', COUNT(*) FROM ({_UNCOVERED})",
+    "SELECT 'gold_coverage', 'silver.cleaned_taxi_trips', COUNT(*) FROM "
+    f"({_UNCOVERED.replace('FROM daily_gap', 'FROM bad_daily WHERE pickup_date IS NOT NULL')})",
     f"SELECT 'run_reference', 'bronze.raw_taxi_trips', COUNT(*) FROM ({_UNKNOWN_RUNS})",
 ]
 
@@ -487,6 +501,7 @@ _ALL_TABLES = (
     _PAY,
     _BROKEN,
     _RUNS,
+    _BAD,
 )
 
 
@@ -520,6 +535,28 @@ _TEXT_COLUMNS = (
 )
 
 
+_FEED_COLUMNS = """ SELECT page, position, vendor_id AS "VendorID", tpep_pickup_datetime,
+            tpep_dropoff_datetime, passenger_count, trip_distance, rate_code_id AS "RatecodeID",
+            store_and_fwd_flag, pu_location_id AS "PULocationID", do_location_id AS "DOLocationID",
+            payment_type, fare_amount, extra, mta_tax, tip_amount, tolls_amount,
+            improvement_surcharge, total_amount, congestion_surcharge, airport_fee
+        FROM records"""
+
+
+def _silver_columns(money: str) -> str:
+    return f""" SELECT trip_id, ingestion_id, batch_id, CAST(ingested_at AS VARCHAR) AS ingested_at,
+            vendor_id, CAST(pickup_datetime AS VARCHAR) AS pickup_datetime,
+            CAST(dropoff_datetime AS VARCHAR) AS dropoff_datetime,
+            CAST(pickup_date AS VARCHAR) AS pickup_date, pickup_hour, pickup_day_of_week,
+            pickup_month, pickup_year, passenger_count,
+            CAST(trip_distance_miles AS DOUBLE) AS trip_distance_miles, pickup_location_id,
+            dropoff_location_id, rate_code_id, store_and_fwd_flag, payment_type_code,
+            payment_type_label, {money},
+            {_six_places("duration_e")} AS trip_duration_mins,
+            {_six_places("speed_e")} AS avg_speed_mph, {_six_places("mile_e")} AS cost_per_mile,
+            {_six_places("tip_e")} AS tip_percentage FROM trips"""
+
+
 def oracle_sql() -> dict[str, str]:
     typed, trips = _with(*_TO_TYPED), _with(*_TO_TRIPS)
     daily = _with(*_TO_TRIPS, _DAILY) + " SELECT "
@@ -527,19 +564,44 @@ def oracle_sql() -> dict[str, str]:
     everything = _with(*_ALL_TABLES) + " "
     newest = "ORDER BY tpep_pickup_datetime DESC NULLS LAST, ingestion_id DESC"
     money = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _MONEY)
+    # Raw trips numbered by page and place, as a run that takes all pages numbers them.
+    numbered = """numbered AS (
+        SELECT * EXCLUDE (page, position) REPLACE (CAST(page * 1100 + position AS BIGINT) AS ingestion_id)
+        FROM records)"""
+    rerun = _with(
+        _RAW, _RECORDS, numbered, _PARSED.replace("FROM raw ", "FROM numbered "), _LATEST, _TRIPS, _DAILY
+    )
+    silver = trips + _silver_columns(money)
+    in_parts = f"""WITH {_RAW.replace("raw AS (", "once AS (")}, raw AS (
+        SELECT * REPLACE (CASE WHEN batch_id = 'batch_redo' OR ingestion_id % 3 = 2 THEN 'batch_2'
+                               WHEN ingestion_id % 3 = 1 THEN 'batch_1' ELSE 'batch_0' END AS batch_id)
+        FROM once), {",".join((_PARSED, _LATEST, _TRIPS))}"""
     return {
+        "landed_files": _with(_RAW, _RECORDS) + _FEED_COLUMNS,
+        "stored_silver": in_parts + _silver_columns(money),
+        "whole_run": rerun + " SELECT *, CAST(2 AS BIGINT) AS runs FROM daily",
+        "stored_tables": in_parts
+        + f""", {_DAILY}, {_HEAT}, {_PAY},
+        shown(table_name, place, key1, key2, n) AS (
+            SELECT 'gold.hourly_demand_heatmap',
+                   row_number() OVER (ORDER BY day_of_week_num, pickup_hour),
+                   CAST(day_of_week_num AS BIGINT), pickup_hour, trip_count FROM heat
+            UNION ALL
+            SELECT 'gold.payment_analysis',
+                   row_number() OVER (ORDER BY trip_count DESC, payment_type_label, payment_type_code),
+                   CAST(payment_type_code AS BIGINT), length(payment_type_label), trip_count FROM payment
+            UNION ALL SELECT 'silver.cleaned_taxi_trips', NULL, NULL, NULL, COUNT(*) FROM trips
+            UNION ALL SELECT 'gold.daily_trip_summary', NULL, NULL, NULL, COUNT(*) FROM daily
+            UNION ALL
+            SELECT 'bronze.raw_taxi_trips', NULL, CAST(right(batch_id, 1) AS BIGINT), NULL, COUNT(*)
+            FROM raw GROUP BY batch_id)
+        SELECT * FROM shown""",
         "newest_trips_topn": _with(_RAW)
         + f" SELECT ingestion_id, tpep_pickup_datetime, total_amount FROM raw {newest} LIMIT 10000",
         "feed_page_slice": _with(_RAW)
         + f" SELECT ingestion_id, tpep_pickup_datetime, total_amount FROM raw {newest} "
         "LIMIT 1000 OFFSET 3000",
-        "feed_pages": _with(_RAW, _RECORDS)
-        + """ SELECT page, position, vendor_id AS "VendorID", tpep_pickup_datetime,
-            tpep_dropoff_datetime, passenger_count, trip_distance, rate_code_id AS "RatecodeID",
-            store_and_fwd_flag, pu_location_id AS "PULocationID", do_location_id AS "DOLocationID",
-            payment_type, fare_amount, extra, mta_tax, tip_amount, tolls_amount,
-            improvement_surcharge, total_amount, congestion_surcharge, airport_fee
-        FROM records""",
+        "feed_pages": _with(_RAW, _RECORDS) + _FEED_COLUMNS,
         "conform_columns": _with(_RAW, _RECORDS)
         + """ SELECT * EXCLUDE (page, position) REPLACE (
             CAST(7 * 1099511627776 + page * 1100 + position AS BIGINT) AS ingestion_id,
@@ -607,18 +669,7 @@ def oracle_sql() -> dict[str, str]:
             CAST(total_amount AS DOUBLE) AS total_amount, MAX(ingestion_id) AS ingestion_id
         FROM typed GROUP BY typed.pickup_datetime, typed.dropoff_datetime, vendor_id,
             typed.total_amount""",
-        "silver_trips": trips
-        + f""" SELECT trip_id, ingestion_id, batch_id, CAST(ingested_at AS VARCHAR) AS ingested_at,
-            vendor_id, CAST(pickup_datetime AS VARCHAR) AS pickup_datetime,
-            CAST(dropoff_datetime AS VARCHAR) AS dropoff_datetime,
-            CAST(pickup_date AS VARCHAR) AS pickup_date, pickup_hour, pickup_day_of_week,
-            pickup_month, pickup_year, passenger_count,
-            CAST(trip_distance_miles AS DOUBLE) AS trip_distance_miles, pickup_location_id,
-            dropoff_location_id, rate_code_id, store_and_fwd_flag, payment_type_code,
-            payment_type_label, {money},
-            {_six_places("duration_e")} AS trip_duration_mins,
-            {_six_places("speed_e")} AS avg_speed_mph, {_six_places("mile_e")} AS cost_per_mile,
-            {_six_places("tip_e")} AS tip_percentage FROM trips""",
+        "silver_trips": silver,
         "trip_rollup": trips
         + f""" SELECT CAST(pickup_date AS VARCHAR) AS pickup_date, pickup_hour, vendor_id,
             payment_type_code, payment_type_label, COUNT(*) AS trips,
@@ -695,8 +746,8 @@ def oracle_sql() -> dict[str, str]:
                 + _expression_counts()
                 + _TABLE_COUNTS
                 + [
-                    f"SELECT 'text_limit_{c}', 'bronze.raw_taxi_trips', COUNT(*) FROM lost "
-                    f"WHERE {c} IS NOT NULL AND ingestion_id % 107 = {k}"
+                    f"SELECT 'text_limit_{c}', 'bronze.raw_taxi_trips', COUNT(*) FROM bad_raw "
+                    f"WHERE {c} IS NOT NULL AND number % 107 = {k}"
                     for k, c in enumerate(_TEXT_COLUMNS)
                 ]
             )

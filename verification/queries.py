@@ -62,6 +62,9 @@ from tripmill.schema import (
 )
 from tripmill.sources.feed import newest, page_slice, pages_to_last, records
 
+from verification import stored
+from verification.damage import damaged
+
 RATIOS = ("trip_duration_mins", "avg_speed_mph", "cost_per_mile", "tip_percentage")
 
 # Landed pages of the fixture: a thousand events each, every tenth of them delivered twice.
@@ -207,6 +210,12 @@ def broken_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, Da
     return {name: made[name]() for name in names}
 
 
+def damaged_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """``broken_tables`` in which every check finds something."""
+    made = broken_tables(spark, sf_dir, *names)
+    return {name: damaged(df, name) if name in CHECKED_TABLES else df for name, df in made.items()}
+
+
 def _columns_of_raw(names: list[str]) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         parsed = typed_columns()
@@ -220,7 +229,7 @@ def _columns_of_raw(names: list[str]) -> Callable[[SparkSession, str], DataFrame
 def _column_checks(*kinds: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         declared = {t: checks.checks_of(t, *kinds) for t in CHECKED_TABLES}
-        tables = broken_tables(spark, sf_dir, *[t for t, some in declared.items() if some])
+        tables = damaged_tables(spark, sf_dir, *[t for t, some in declared.items() if some])
         found = [check_table(df, declared[table]) for table, df in tables.items()]
         return reduce(DataFrame.unionByName, found)
 
@@ -401,7 +410,7 @@ def dq_text_limits(spark, sf_dir):
 
 
 def dq_report(spark, sf_dir):
-    tables = broken_tables(spark, sf_dir, *CHECKED_TABLES, RUN_LOG)
+    tables = damaged_tables(spark, sf_dir, *CHECKED_TABLES, RUN_LOG)
     report = checks.run_checks(tables, {checks.TOTAL_GTE_FARE: "error"})
     return report.select("check_name", "table_name", "failing", "severity", "status")
 
@@ -429,6 +438,14 @@ def latest_five_runs(spark, sf_dir):
     return latest_runs(current_state(run_events(spark, sf_dir)))
 
 
+def landed_files(spark, sf_dir):
+    return stored.landed_files(spark, landed_pages(spark, sf_dir))
+
+
+def whole_run(spark, sf_dir):
+    return stored.whole_run(spark, landed_pages(spark, sf_dir), PAGE_ROWS)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "newest_trips_topn": newest_trips_topn,
     "feed_page_slice": feed_page_slice,
@@ -494,6 +511,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_log_state": run_log_state,
     "run_log_events": run_log_events,
     "latest_runs": latest_five_runs,
+    "landed_files": landed_files,
+    "stored_silver": stored.stored_silver,
+    "stored_tables": stored.stored_tables,
+    "whole_run": whole_run,
 }
 
 

@@ -154,17 +154,26 @@ def test_next_document_of_nothing(documents):
 # Line chunks
 
 
-def without_repeats(rows):
-    """Brute force: texts in order of doc_id, chunks seen before taken out."""
-    seen, result = {}, []
-    for place, (i, text, _) in enumerate(sorted(rows, key=lambda r: r[0])):
-        out, at, gone = [], 0, 0
-        for number, c in enumerate(line_chunks.chunks_of(text or "")):
-            part = text[c.start : c.end].strip()
-            if seen.setdefault(part, (i, number)) != (i, number):
-                out.append(text[at : c.start])
-                at, gone = c.end, gone + 1
-        result.append((i, None if text is None else "".join([*out, text[at:]]), gone))
+def stretches(text, size):
+    """Every stretch of ``size`` words of a text, from its first word to the end of its last, with its place."""
+    words = [m.span() for m in re.finditer(r"[^\x20\x09-\x0d]+", text or "")]
+    return [(i, text[words[i][0] : words[i + size - 1][1]]) for i in range(len(words) - size + 1)]
+
+
+def without_repeats(rows, size=line_chunks.PASSAGE_LINES):
+    """Brute force: words in a stretch of ``size`` that stands at an earlier place go, with the white space behind them."""
+    first, result = {}, []
+    for i, text, _ in sorted(rows, key=lambda r: r[0]):
+        for at, part in stretches(text, size):
+            first.setdefault(part, (i, at))
+    for i, text, _ in sorted(rows, key=lambda r: r[0]):
+        starts = [m.start() for m in re.finditer(r"[^\x20\x09-\x0d]+", text or "")]
+        gone = {at + k for at, part in stretches(text, size) if first[part] != (i, at) for k in range(size)}
+        ends = [*starts[1:], len(text or "")]
+        kept = (text or "")[: starts[0] if starts else None]
+        kept += "".join(text[a:b] for n, (a, b) in enumerate(zip(starts, ends, strict=False)) if n not in gone)
+        runs = sum(n in gone and n - 1 not in gone for n in range(len(starts)))
+        result.append((i, None if text is None else kept if starts else text, runs))
     return result
 
 
@@ -220,10 +229,87 @@ def test_line_chunks_of_odd_texts(documents, odd_rows):
 
 
 def test_line_chunks_of_given_documents(spark):
+    """Whatever goes stands at an earlier place, in stretches of a chunk's size; hardly anything repeated stays."""
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     rows = [(r.doc_id, r.text, r.lang) for r in docs.collect()]
-    got = line_chunks.op5_line_chunks(spark, SF_DIR).collect()
-    assert sorted((r.doc_id, r.text, r.removed_chunks) for r in got) == without_repeats(rows)
+    got = {r.doc_id: r for r in line_chunks.op5_line_chunks(spark, SF_DIR).collect()}
+    assert len(got) == len(rows)
+    size, first = line_chunks.CHUNK_LINES, {}
+    for i, text, _ in sorted(rows):
+        for at, part in stretches(text, size):
+            first.setdefault(part, (i, at))
+    removed, repeated, lost = 0, Counter(), Counter()
+    where = {}
+    for i, text, _ in sorted(rows):
+        for at, part in stretches(text, line_chunks.PASSAGE_LINES):
+            where.setdefault(part, (i, at))
+    most = {i: text for i, text, _ in without_repeats(rows, size)}
+    least = {i: text for i, text, _ in without_repeats(rows)}
+    for i, text, _ in rows:
+        if text is None:
+            assert got[i].text is None
+            continue
+        # No word goes that is in no stretch at an earlier place: what must stay is there, in order.
+        left = iter(got[i].text.split())
+        assert all(word in left for word in most[i].split()), i
+        assert got[i].removed_chars == len(text) - len(got[i].text)
+        removed += got[i].removed_chars
+        apart = any(where[part][0] != i for _, part in stretches(text, line_chunks.PASSAGE_LINES))
+        repeated[apart] += len(text) - len(least[i])
+        lost[apart] += max(len(got[i].text) - len(least[i]), 0)
+    # Of a text that repeats itself in circles more than one round may stay.
+    assert removed > 0 and lost[True] <= 0.01 * repeated[True] and lost[False] <= 0.1 * repeated[False]
+
+
+def test_a_passage_goes_from_lines_of_any_length(documents):
+    """Neither the length of the line around it nor its own parting decides; a shorter passage stays everywhere."""
+    rng = random.Random(4)
+    long, short = " ".join(some_words(rng, 48)), " ".join(some_words(rng, 30))
+    rows = []
+    for n in (0, 1, 15, 19, 40):
+        for passage in (long, short):
+            around = [" ".join(some_words(rng, n)) for _ in range(2)]
+            rows.append((len(rows), f"{' '.join(some_words(rng, 20))}.\n{around[0]} {passage} {around[1]}\nend {len(rows)}", "en"))
+    got = {r.doc_id: r.text for r in line_chunks.without_repeated_chunks(documents(rows)).collect()}
+    assert [i for i, t in got.items() if long in t] == [0]
+    assert sorted(i for i, t in got.items() if short in t) == [1, 3, 5, 7, 9]
+    assert sorted((i, t) for i, t in got.items()) == [(i, t) for i, t, _ in without_repeats(rows)]
+
+
+def test_a_text_that_goes_round_in_circles(documents):
+    rows = [(0, "one two three " * 4000, "en"), (1, "a line " * 3, "en"), (2, "start " + "one two three " * 40 + "end", "en")]
+    got = {r.doc_id: r for r in line_chunks.without_repeated_chunks(documents(rows)).collect()}
+    assert got[1].text == rows[1][1]
+    assert got[0].text.startswith("one two three ") and len(got[0].text) < 1000
+    assert got[2].text in ("start end", "start " + "one two three " + "end")
+    assert len(line_chunks.chunk_places(rows[0][1].encode().split())[0]) < 12_000 / 25
+
+
+def test_places_of_chunks_follow_content():
+    rng = random.Random(2)
+    passage = [w.encode() for w in some_words(rng, line_chunks.PASSAGE_LINES)]
+    for _ in range(200):
+        around = [[w.encode() for w in some_words(rng, rng.randint(0, 80))] for _ in range(4)]
+        one, two = around[0] + passage + around[1], around[2] + passage + around[3]
+        inside = []
+        for lines, lead in ((one, len(around[0])), (two, len(around[2]))):
+            places, hashes = line_chunks.chunk_places(lines)
+            last = lead + len(passage) - line_chunks.CHUNK_LINES
+            inside.append({(p - lead, h) for p, h in zip(places.tolist(), hashes.tolist(), strict=True) if lead <= p <= last})
+        assert inside[0] & inside[1]
+
+
+def test_repeated_lines_columns_and_rows(spark):
+    """Columns with the module's own names stay; a crowded chunk is joined apart."""
+    rng = random.Random(3)
+    passage = " ".join(some_words(rng, 60))
+    data = [(i, f"{i} words of its own here\n{passage}", i, "f", "n", 5, 6) for i in range(300)] + [(None, passage, 0, "f", "n", 5, 6)]
+    docs = spark.createDataFrame(data, "doc_id int, text string, place int, `__found` string, n string, chunk int, removed_chunks int")
+    got = line_chunks.without_repeated_chunks(docs).collect()
+    assert got[0].asDict().keys() == {"doc_id", "text", "place", "__found", "n", "chunk", "removed_chunks", "removed_chars"}
+    assert sorted(r.doc_id for r in got if r.doc_id is not None and r.removed_chunks == 0) == [0]
+    assert all(r["__found"] == "f" and (r.doc_id in (0, None) or r.text == f"{r.doc_id} ") for r in got)
+    assert len(got) == 301
 
 
 # Near-duplicates

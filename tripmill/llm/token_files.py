@@ -144,41 +144,56 @@ def _ids(packed: bytes) -> np.ndarray:
 
 
 def encoded(docs: DataFrame, path: str, kind: str | None, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids): ids compressed, each row's document by itself."""
+    """(doc_id, n_tokens, ids): ids compressed, each row's document by itself; counts of ids come last of each task.
+
+    Such a row has n_tokens -1; its ids are how often the task met each id, from 0 on, as compressed 64-bit integers.
+    """
     make = encoder_maker(docs.sparkSession.sparkContext, path, kind)
     end = np.array([end_id], dtype="<u4").tobytes()
+    names = ["doc_id", "n_tokens", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, pack = make(), zstandard.ZstdCompressor(level=1)
+        total = np.zeros(0, dtype=np.int64)
         for batch in batches:
             plain = [encode(t.as_py()) + end for t in batch.column(1)]
+            found = np.bincount(np.frombuffer(b"".join(plain), "<u4"), minlength=len(total))
+            found[: len(total)] += total
+            total = found
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array([len(p) // 4 for p in plain], pa.int64()),
                     pa.array([pack.compress(p) for p in plain], pa.binary()),
                 ],
-                names=["doc_id", "n_tokens", "ids"],
+                names=names,
             )
+        counts = [pack.compress(total.astype("<i8").tobytes())]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None], pa.int64()), pa.array([-1], pa.int64()), pa.array(counts, pa.binary())], names=names
+        )
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
 
 def id_counts(ids: DataFrame) -> np.ndarray:
-    """Count of every id over all rows. The driver gets one number per id of the vocabulary."""
+    """Count of every id over all rows of ``encoded``. The driver gets one number per id of the vocabulary."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
             for packed in batch.column(0):
-                found = np.bincount(_ids(packed.as_py()), minlength=len(total))
+                found = np.frombuffer(zstandard.decompress(packed.as_py()), "<i8").copy()
+                if len(found) < len(total):
+                    found, total = total, found
                 found[: len(total)] += total
                 total = found
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["id", "n"])
 
-    rows = ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    of_tasks = ids.where("n_tokens < 0").select("ids").mapInArrow(count, "id long, n long")
+    rows = of_tasks.groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r.id for r in rows), default=0) + 1, dtype=np.int64)
     for r in rows:
         counts[r.id] = r.n
@@ -237,7 +252,7 @@ def write_token_files(
         if parts:
             yield block()
 
-    parted = ids.withColumn("part", part_of(F.col("doc_id"), bounds)).repartitionById(len(bounds), "part")
+    parted = ids.where("n_tokens >= 0").withColumn("part", part_of(F.col("doc_id"), bounds)).repartitionById(len(bounds), "part")
     ordered = parted.sortWithinPartitions("doc_id", "ids").select("doc_id", "ids")
     ordered.mapInArrow(blocks, _BLOCKS).write.parquet(f"{folder}/blocks")
     made = spark.read.parquet(f"{folder}/blocks").groupBy("part").agg(F.sum("n_tokens").alias("n_tokens"))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tripmill.llm.common import frequent, mapped, shared_file, slices, table, text_or_empty, to_file, written
-from tripmill.llm.tokens import PLAIN_BELOW, SPACE_FIRST_PATTERN, byte_letters, parts_of
+from tripmill.llm.tokens import PLAIN_BELOW, SPACE_FIRST_PATTERN, byte_letters, parts_of, split_parts
 
 #: Most words the lexicon takes; the rest are merged.
 LEXICON_WORDS = 1 << 16
@@ -46,7 +46,7 @@ class Vocabulary:
         self.library = Tokenizer.from_str(definition)
         model = json.loads(definition)["model"]
         numbers = model["vocab"]
-        letters = byte_letters()
+        self.letters = letters = byte_letters()
         back = {letter: byte for byte, letter in enumerate(letters)}
         self.byte_ids = [numbers.get(letter, -1) for letter in letters]
         self.ranks: dict[tuple[int, int], tuple[int, int]] = {}
@@ -98,6 +98,10 @@ class Vocabulary:
                     heapq.heappush(heap, (*self.ranks[pair], before[i], *pair))
         return [i for i in ids if i >= 0]
 
+    def merge_unseen(self, word: bytes) -> list[int]:
+        """The same by the library's merges alone, a word at a time: cheaper for the many words met once."""
+        return [token.id for token in self.library.model.tokenize("".join([self.letters[b] for b in word]))]
+
 
 def compile_lexicon(words: list[bytes], outputs: list[list[int]]) -> dict[str, np.ndarray]:
     """Flat arrays of the minimal automaton of ``words`` (sorted, distinct) with the ids of each.
@@ -256,62 +260,107 @@ def build_lexicon(docs: DataFrame, path: str, most: int = LEXICON_WORDS) -> str:
     return shared_file(spark, to_file(compile_lexicon(words, [vocabulary.merge(w) for w in words])), "lexicon")
 
 
-class _PartEncoder:
-    """Ids of parts of texts: their words walk the lexicon together, those that it lacks are merged.
+class _TextEncoder:
+    """Ids of texts: their parts' words walk the lexicon together, those that it lacks are merged.
 
-    Parts met lately are remembered, two generations of ``_FLUSH``.
+    Parts met lately are remembered by themselves, in two generations of ``_FLUSH``; those behind a space apart from
+    those that begin a text, by their text without that space.
     """
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon) -> None:
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def ids_of(self, parts: set[str]) -> dict[str, bytes]:
-        """Ids as 32-bit integers for each of ``parts``."""
-        if len(self.recent) > _FLUSH:
-            self.recent, self.older = {}, self.recent
-        found = {p: self.recent.get(p) or self.older.get(p) for p in parts}
-        new = [p for p, ids in found.items() if ids is None]
-        words = [self.vocabulary.words(p) for p in new]
+        self.special = {string: struct.pack("<i", i) for string, i in vocabulary.special.items()}
+        self.known: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
+        self.aside: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
+
+    def _learn(self, lead: str, parts: set[str]) -> dict[str, bytes]:
+        """Ids of parts that are not known, each after ``lead``; they are known from then on, but for long ones."""
+        known, aside = self.known[lead], self.aside[lead]
+        if len(known) > _FLUSH:
+            self.aside[lead], self.known[lead] = known, {}
+            known, aside = self.known[lead], known
+        found = {p: aside[p] for p in parts if p in aside}
+        new = [p for p in parts if p not in found]
+        words = [self.vocabulary.words(lead + p) for p in new]
         different = list(set().union(*words))
         coded = [w.encode("utf-8") for w in different]
         ids = {}
         for word, code, place in zip(different, coded, self.lexicon.places(coded).tolist(), strict=True):
-            merged = self.vocabulary.merge(code) if place < 0 else self.lexicon.output(place)
+            merged = self.vocabulary.merge_unseen(code) if place < 0 else self.lexicon.output(place)
             ids[word] = struct.pack(f"<{len(merged)}i", *merged)
         for part, own in zip(new, words, strict=True):
             found[part] = b"".join([ids[w] for w in own])
-        self.recent.update((p, i) for p, i in found.items() if len(p) < 200)
+        known.update((p, i) for p, i in found.items() if len(p) < 200)
         return found
 
-
-def encode_texts(docs: DataFrame, path: str, lexicon: str) -> DataFrame:
-    """(doc_id, ids) of every text."""
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as 32-bit integers."""
+        pieces = []  # of a text: (first part, further parts), or the ids of a special token
+        for text in texts:
+            strings = self.vocabulary.cut(text) if any(s in text for s in self.special) else [text]
+            pieces.append([self.special.get(s) or split_parts(s) for s in strings if s])
+        lacking: dict[str, set[str]] = {"": set(), " ": set()}
+        first, later = self.known[""], self.known[" "]
+        for piece in (p for own in pieces for p in own if isinstance(p, list)):
+            if piece[0] not in first:
+                lacking[""].add(piece[0])
+            lacking[" "].update([p for p in piece[1:] if p not in later])
+        more = {lead: self._learn(lead, parts) if parts else {} for lead, parts in lacking.items()}
+        starts, follows = more[""], more[" "]
+        out = []
+        for own in pieces:
+            found = []
+            for piece in own:
+                if isinstance(piece, bytes):
+                    found.append(piece)
+                    continue
+                head = piece[0]
+                found.append(first[head] if head in first else starts[head])
+                try:
+                    found += list(map(later.__getitem__, piece[1:]))
+                except KeyError:
+                    found += [later[p] if p in later else follows[p] for p in piece[1:]]
+            out.append(b"".join(found))
+        return out
+
+
+def _lists(ids: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int64)
+    values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+
+
+def _decoded(vocabulary: Vocabulary, ids: pa.ListArray) -> pa.StringArray:
+    of = vocabulary.bytes_of.__getitem__
+    values, ends = ids.flatten().to_numpy().tolist(), np.diff(ids.offsets.to_numpy()).cumsum()
+    texts, start = [], 0
+    for end in ends.tolist():
+        texts.append(b"".join(map(of, values[start:end])).decode("utf-8", "replace"))
+        start = end
+    return pa.array(texts, pa.string())
+
+
+def _encoder(make: Callable[[], Vocabulary], lexicon: str) -> _TextEncoder:
+    if lexicon not in _LEXICONS:
+        _LEXICONS[lexicon] = Lexicon(SparkFiles.get(lexicon))
+    return _TextEncoder(make(), _LEXICONS[lexicon])
+
+
+def encode_texts(docs: DataFrame, path: str, lexicon: str, decode: bool = False) -> DataFrame:
+    """(doc_id, ids) of every text; with ``decode`` also ``text``, what the ids stand for."""
     make = vocabulary_maker(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = make()
-        if lexicon not in _LEXICONS:
-            _LEXICONS[lexicon] = Lexicon(SparkFiles.get(lexicon))
-        encode = _PartEncoder(vocabulary, _LEXICONS[lexicon])
-        special = {string: np.array([i], np.int32).tobytes() for string, i in vocabulary.special.items()}
+        encode = _encoder(make, lexicon)
         for batch in (part for whole in batches for part in slices(whole, 1, _SLICE)):
-            texts = []
-            for text in batch.column(1):
-                parts: list[str] = []
-                for piece in vocabulary.cut(text.as_py()):
-                    parts.extend([piece] if piece in special else parts_of(piece))
-                texts.append(parts)
-            ids = encode.ids_of(set().union(*texts) - special.keys()) | special
-            flat = [b"".join(map(ids.__getitem__, parts)) for parts in texts]
-            ends = np.cumsum([0, *(len(f) // 4 for f in flat)], dtype=np.int64)
-            values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(flat))])
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["doc_id", "ids"])
+            ids = _lists(encode([text.as_py() for text in batch.column(1)]))
+            columns = {"doc_id": batch.column(0), "ids": ids}
+            if decode:
+                columns["text"] = _decoded(encode.vocabulary, ids)
+            yield pa.RecordBatch.from_pydict(columns)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>")
+    return rows.mapInArrow(run, "doc_id long, ids array<int>" + (", text string" if decode else ""))
 
 
 def decode_ids(encoded: DataFrame, path: str) -> DataFrame:
@@ -319,15 +368,10 @@ def decode_ids(encoded: DataFrame, path: str) -> DataFrame:
     make = vocabulary_maker(encoded.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = make().bytes_of.__getitem__
         for batch in (part for whole in batches for part in slices(whole, 1, _SLICE)):
             ids = batch.column(1)
-            values, ends = ids.flatten().to_numpy().tolist(), np.diff(ids.offsets.to_numpy()).cumsum()
-            texts, start = [], 0
-            for end in ends.tolist():
-                texts.append(b"".join(map(of, values[start:end])).decode("utf-8", "replace"))
-                start = end
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
+            columns = {"doc_id": batch.column(0), "ids": ids, "text": _decoded(make(), ids)}
+            yield pa.RecordBatch.from_pydict(columns)
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
 
@@ -336,7 +380,7 @@ def op7_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded."""
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = decode_ids(encode_texts(docs, path, build_lexicon(docs, path)), path)
+    done = encode_texts(docs, path, build_lexicon(docs, path), decode=True)
     decimals = F.array_join(F.col("ids").cast("array<string>"), ",")
     return done.select(
         "doc_id",

@@ -35,13 +35,18 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
-def parts_of(text: str) -> list[str]:
-    """``text`` cut before each space that stands between two characters that are not white space."""
+def split_parts(text: str) -> list[str]:
+    """``text`` cut at each space that stands between two characters that are not white space; these spaces go."""
     if not text:
         return []
     touches = text[0] == " " or text[-1] == " " or "  " in text or "\n " in text or " \n" in text
-    first, *later = _INNER_SPACE.split(text) if touches or _OTHER_SPACE.search(text) else text.split(" ")
-    return [first, *[" " + part for part in later]]
+    return _INNER_SPACE.split(text) if touches or _OTHER_SPACE.search(text) else text.split(" ")
+
+
+def parts_of(text: str) -> list[str]:
+    """``text`` cut before each space that stands between two characters that are not white space."""
+    first, *later = split_parts(text) or [""]
+    return [first, *[" " + part for part in later]] if text else []
 
 
 def packed(ids: list[int]) -> bytes:

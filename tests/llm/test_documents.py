@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tripmill.llm import fingerprint, language, line_chunks, minhash, scoring
@@ -89,6 +90,80 @@ def test_language_of_odd_texts(documents, odd_rows):
     assert {r.lang_pred for r in language.predict(docs, model).collect()} == {"und"}
 
 
+def test_numerals_and_marks_are_no_letters(documents):
+    rows = [(0, "the same words in english", "en"), (4, "ein paar deutsche worte", "de"), (8, "noch mehr worte", "de"), (11, "more words", "en")]
+    odd = ["\u00bd", "\u00b2\u00b3", "\u2160\u2177 12", "\u2460\u2461", "\u3007", "12_3", "\u0301 !"]
+    docs = documents([*rows, *((100 + i, t, None) for i, t in enumerate(odd)), (200, "\u4e2d", None), (201, "\u00bd\u00e9", None)])
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(docs, language.trained_on(docs)).collect()}
+    assert all(got[100 + i] == ("und", 0.0) for i in range(len(odd)))
+    assert got[200][0] != "und" and got[201][0] != "und"
+
+
+def test_too_many_languages_are_refused(documents, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 3)
+    language.trained_on(documents([(4 * i, "some text", f"l{i % 3}") for i in range(8)]))
+    with pytest.raises(ValueError, match="not a column of languages"):
+        language.trained_on(documents([(4 * i, "some text", f"l{i}") for i in range(8)]))
+
+
+def reference_model(texts, labels, classes, kept_apart):
+    """Inverse document frequencies, weights and temperature from dictionaries, a number at a time."""
+    grams = [Counter(language.buckets_of(t).tolist()) for t in texts]
+    seen = Counter(f for g in grams for f in g)
+    idf = {f: math.log((1 + len(texts)) / (1 + n)) + 1 for f, n in seen.items()}
+    vectors = []
+    for g in grams:
+        raw = {f: math.log(1 + n) * idf[f] for f, n in g.items()}
+        length = math.sqrt(sum(v * v for v in raw.values()))
+        vectors.append({f: v / length for f, v in raw.items()})
+    z, n = Counter(), Counter()
+
+    def weight(f, c):
+        here = z[f, c]
+        if abs(here) <= language.L1:
+            return 0.0
+        pull = (language.BETA + math.sqrt(n[f, c])) / language.ALPHA + language.L2
+        return -(here - math.copysign(language.L1, here)) / pull
+
+    def chances(scores):
+        top = [math.exp(s - max(scores)) for s in scores]
+        return [t / sum(top) for t in top]
+
+    def scores(v):
+        return [sum(x * weight(f, c) for f, x in v.items()) for c in range(classes)]
+
+    for _ in range(language.EPOCHS):
+        for i, (v, label) in enumerate(zip(vectors, labels, strict=True)):
+            if i in kept_apart:
+                continue
+            p = chances(scores(v))
+            before = {(f, c): weight(f, c) for f in v for c in range(classes)}
+            for (f, c), w in before.items():
+                gradient = v[f] * (p[c] - (c == label))
+                step = (math.sqrt(n[f, c] + gradient**2) - math.sqrt(n[f, c])) / language.ALPHA
+                z[f, c] += gradient - step * w
+                n[f, c] += gradient**2
+    held = [(scores(vectors[i]), labels[i]) for i in sorted(kept_apart)]
+    loss = lambda t: -sum(math.log(chances([s / t for s in own])[label]) for own, label in held)
+    best = min(np.geomspace(0.05, 5, 93).tolist(), key=loss)
+    return [chances([s / best for s in scores(v)]) for v in vectors]
+
+
+def test_model_equals_a_reference_by_numbers(documents):
+    rng = random.Random(6)
+    rows = [(i, " ".join(some_words(rng, 6)) + " " + "xyz"[i % 3] * 5, "abc"[i % 3]) for i in range(60)]
+    docs = documents(rows)
+    model = language.train(docs.select("doc_id", "text", "lang"))
+    # The order in which the sample is learned is that of its rows' hashes.
+    place = F.xxhash64(F.lit("language sample"), "doc_id", "text").alias("place")
+    order = [r.doc_id for r in docs.select("doc_id", place).orderBy("place").collect()]
+    texts, labels = [rows[i][1] for i in order], ["abc".index(rows[i][2]) for i in order]
+    wanted = reference_model(texts, labels, 3, {i for i in range(60) if i % 5 == 4})
+    for text, chances in zip(texts, wanted, strict=True):
+        name, score = model.predict(text)
+        assert score == pytest.approx(max(chances), rel=1e-4) and name == "abc"[chances.index(max(chances))]
+
+
 def test_ftrl_separates_and_drops_weights():
     rng = np.random.default_rng(0)
     examples = []

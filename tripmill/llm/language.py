@@ -8,7 +8,9 @@ elastic-net penalties, which leaves most weights exactly zero, on a bounded samp
 of each language are expected. A fifth of the sample is kept apart to choose the temperature that divides the
 scores before they become probabilities.
 
-A NULL text or one without a letter gets ``und`` with score 0. Ties between languages go to the one that sorts
+A NULL text or one without a letter (of Unicode's categories of letters) gets ``und`` with score 0. Texts of any length
+are read whole. More than ``MOST_LANGUAGES`` different languages are an error. Of the input's columns lang_pred and score
+are replaced, all others stay. Ties between languages go to the one that sorts
 first. Rows with NULL language are predicted, not learned from; NULL doc_ids too. Repeated rows count as
 they come. With nothing to learn from, every text gets ``und``. An empty table gives an empty result.
 """
@@ -30,6 +32,8 @@ UNKNOWN = "und"
 BUCKETS = 1 << 16
 #: Expected size of the sample of each language that the classifier is fitted on.
 PER_LANGUAGE = 1500
+#: Most different languages; the classifier has as many weights for each feature, and its sample as many parts.
+MOST_LANGUAGES = 256
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
 
@@ -41,7 +45,8 @@ _SHIFT = np.uint64(48)
 def buckets_of(text: str) -> np.ndarray:
     """The feature of every n-gram of a text; empty without a letter."""
     letters = _OTHERS.sub(" ", text.lower()).strip()
-    if not letters:
+    # Numerals such as a half or a Roman eight pass the expression but are no letters.
+    if not any(map(str.isalpha, letters)):
         return np.zeros(0, dtype=np.int64)
     c = np.frombuffer(f" {letters} ".encode("utf-32-le", "replace"), dtype="<u4").astype(np.uint64)
     two = c[:-1] << np.uint64(21) | c[1:]
@@ -134,7 +139,10 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Learn from ``labelled`` (doc_id, text, lang), none of them NULL."""
     frequencies, texts = document_frequencies(labelled)
     idf = np.log((1 + texts) / (1 + frequencies)) + 1
-    sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counted = labelled.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(counted) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} different values of lang: not a column of languages")
+    sizes = {r.lang: r.n for r in counted}
     languages = sorted(sizes)
     if not languages:
         return Model([], idf, np.zeros((BUCKETS, 0), np.float32), 1.0)
@@ -183,8 +191,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         return pd.DataFrame(found, columns=["lang_pred", "score"])
 
     rest = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    done = docs.select(*rest, language("text").alias("__language"))
-    return done.select(*rest, "__language.lang_pred", "__language.score")
+    own = f"__language_{'_'.join(rest)}"  # no column's name
+    done = docs.select(*rest, language("text").alias(own))
+    return done.select(*rest, F.col(own).lang_pred.alias("lang_pred"), F.col(own).score.alias("score"))
 
 
 def remainder(doc_id: Column, divisor: int) -> Column:

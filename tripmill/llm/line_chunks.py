@@ -26,13 +26,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from pandas.util import hash_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.llm.common import possibly_in, shuffle_tasks, slices, table, written
-from tripmill.llm.tokens import Filled
 
 CHUNK_LINES, REACH = 16, 32
 #: Lines that two texts must share in a row to have a chunk in common, and that a run must have to go.
@@ -41,7 +40,6 @@ PASSAGE_LINES = CHUNK_LINES + REACH
 _SHARE = 512
 _SLICE = 1 << 21
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_LINE_HASHES = Filled(xxhash.xxh3_64_intdigest, 200_000)
 
 
 def chunk_places(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -49,7 +47,7 @@ def chunk_places(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     none = np.zeros(0, dtype=np.int64)
     if len(lines) < CHUNK_LINES:
         return none, none
-    rolled = np.fromiter(map(_LINE_HASHES.__getitem__, lines), np.uint64, len(lines))
+    rolled = hash_array(np.array(lines, dtype=object), categorize=False)
     power, covered = _BASE, 1
     with np.errstate(over="ignore"):
         while covered < CHUNK_LINES:  # hashes of two, four, ... lines
@@ -125,6 +123,8 @@ def grown(data: bytes, starts: np.ndarray, ends: np.ndarray, place: int, other:
         to -= 1
     if to - place < CHUNK_LINES:
         return place, place
+    if not other.begin:
+        return place, to
     mine, theirs = data[max(at - other.begin, 0) : at][::-1], other.data[: other.begin][::-1]
     same = _agree(mine, theirs)
     low = int(np.searchsorted(starts, at - same, side="left"))
@@ -233,9 +233,10 @@ def answers(docs: DataFrame, asked: DataFrame) -> DataFrame:
     """(doc_id, found): for every document that asks, the places with the bytes of their chunks' first places."""
     key = ["first_doc", "first_place", "chunk", "before", "behind"]
     copies = F.ceil(F.col("n") / _SHARE).cast("int")
+    fields = ("first_place", "chunk", "before", "behind", "copies")
     wanted = asked.groupBy(key).agg(F.max(copies).alias("copies"))
     of_doc = wanted.groupBy("first_doc").agg(
-        F.collect_list(F.struct("first_place", "chunk", "before", "behind", "copies")).alias("wanted")
+        F.collect_list(F.struct(*fields)).alias("wanted")
     )
     of_doc = written(of_doc.withColumnRenamed("first_doc", "__first"), "chunk-questions")
     texts = docs.where(possibly_in(F.col("doc_id"), of_doc.select("__first")))
@@ -243,17 +244,24 @@ def answers(docs: DataFrame, asked: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, 1, _SLICE)):
-            rows = []
-            for doc_id, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            lists = batch.column(2)
+            flat, edges = lists.flatten(), (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
+            place, chunk, before, behind, _ = (flat.field(i).to_pylist() for i in range(len(fields)))
+            owners, rows, found = [], [], []
+            for doc_id, text, low, high in zip(batch.column(0).to_pylist(), batch.column(1), edges, edges[1:], strict=False):
                 data = text.as_py().encode("utf-8")
                 starts, _ = line_ranges(data)
                 known = dict(zip(*(a.tolist() for a in chunk_places(data.split())), strict=True))
-                for w in wanted.as_py():
-                    place = w["first_place"]
-                    if known.get(place) == w["chunk"]:  # else of another row with this doc_id
-                        found = context(data, starts, place, w["before"], w["behind"])
-                        rows.append({"first_doc": doc_id, **w, "begin": found.begin, "bytes": found.data, "whole": found.whole})
-            yield pa.RecordBatch.from_pylist(rows, schema=_CONTEXTS)
+                for i in range(low, high):
+                    if known.get(place[i]) == chunk[i]:  # else of another row with this doc_id
+                        owners.append(doc_id)
+                        rows.append(i)
+                        found.append(context(data, starts, place[i], before[i], behind[i]))
+            asked = flat.take(pa.array(rows, pa.int64()))
+            begin, given, whole = zip(*found, strict=True) if found else ((), (), ())
+            columns = [pa.array(owners, pa.int64()), *(asked.field(i) for i in range(len(fields)))]
+            columns += [pa.array(begin, pa.int32()), pa.array(given, pa.binary()), pa.array(whole, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=["first_doc", *fields, "begin", "bytes", "whole"])
 
     schema = (
         "first_doc long, first_place int, chunk long, before int, behind int, copies int, begin int, bytes binary, whole boolean"
@@ -265,21 +273,6 @@ def answers(docs: DataFrame, asked: DataFrame) -> DataFrame:
     return met.agg(F.sort_array(F.collect_list(F.struct("place", "begin", "bytes", "whole"))).alias("found"))
 
 
-_CONTEXTS = pa.schema(
-    [
-        ("first_doc", pa.int64()),
-        ("first_place", pa.int32()),
-        ("chunk", pa.int64()),
-        ("before", pa.int32()),
-        ("behind", pa.int32()),
-        ("copies", pa.int32()),
-        ("begin", pa.int32()),
-        ("bytes", pa.binary()),
-        ("whole", pa.bool_()),
-    ]
-)
-
-
 def _cut(docs: DataFrame, found: str) -> DataFrame:
     """``docs`` (..., text) without the runs that the places in column ``found`` tell of; that column goes.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -17,19 +18,33 @@ from pyspark.sql import functions as F
 
 #: Bits of the filters before semi-joins, four megabytes.
 FILTER_BITS = 1 << 25
+#: Bytes of rows that a Python worker gets at a time, unless the session names another number than Spark's default.
+BATCH_BYTES = 4 << 20
+_DEFAULT_BATCH = "67108864b"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send texts to Python workers in batches of few megabytes, so that a worker's memory follows neither rows nor texts."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == _DEFAULT_BATCH:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a test on one machine) gets a folder of its own.
+    A session on one machine without that setting (a test) gets a folder of its own; on a cluster it is an error,
+    as a folder of one machine is none that the others see.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[(?!.*cluster)|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir names no folder that all machines share")
         base = f"file://{tempfile.mkdtemp(prefix='tripmill-llm-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

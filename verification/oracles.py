@@ -7,7 +7,14 @@ stored ratio; every quotient is of non-negative numbers and rounded half up.
 
 from __future__ import annotations
 
-from tripmill.schema import BRONZE_TRIPS, GOLD_DAILY, GOLD_HEATMAP, GOLD_PAYMENT, SILVER_TRIPS
+from tripmill.schema import (
+    BRONZE_TEXT_LIMITS,
+    BRONZE_TRIPS,
+    GOLD_DAILY,
+    GOLD_HEATMAP,
+    GOLD_PAYMENT,
+    SILVER_TRIPS,
+)
 from verification.damage import damage_sql
 
 E16 = "10000000000000000"
@@ -557,6 +564,27 @@ def _silver_columns(money: str) -> str:
             {_six_places("tip_e")} AS tip_percentage FROM trips"""
 
 
+def _checked(more: list[str]) -> str:
+    counts = _not_null_counts() + _unique_counts() + _accepted_counts() + _expression_counts() + more
+    return f"checked(check_name, table_name, failing) AS ({_union(counts)})"
+
+
+def _rated(error: str) -> str:
+    return f""", rated AS (
+            SELECT *, CASE check_name WHEN '{error}' THEN 'error' ELSE 'warn' END AS severity
+            FROM checked)
+        SELECT *, CASE WHEN failing = 0 THEN 'pass' WHEN severity = 'error' THEN 'fail'
+                       ELSE 'warn' END AS status
+        FROM rated"""
+
+
+def _sound(sql: str) -> str:
+    """The same over the tables that were not damaged."""
+    for bad, good in (("raw", "raw"), ("trips", "trips"), ("daily", "daily"), ("heat", "heat"), ("payment", "payment")):
+        sql = sql.replace(f"bad_{bad}", good)
+    return sql
+
+
 def oracle_sql() -> dict[str, str]:
     typed, trips = _with(*_TO_TYPED), _with(*_TO_TRIPS)
     daily = _with(*_TO_TRIPS, _DAILY) + " SELECT "
@@ -738,27 +766,29 @@ def oracle_sql() -> dict[str, str]:
         ),
         "dq_report": _with(
             *_ALL_TABLES,
-            "checked(check_name, table_name, failing) AS ("
-            + _union(
-                _not_null_counts()
-                + _unique_counts()
-                + _accepted_counts()
-                + _expression_counts()
-                + _TABLE_COUNTS
+            _checked(
+                _TABLE_COUNTS
                 + [
                     f"SELECT 'text_limit_{c}', 'bronze.raw_taxi_trips', COUNT(*) FROM bad_raw "
                     f"WHERE {c} IS NOT NULL AND number % 107 = {k}"
                     for k, c in enumerate(_TEXT_COLUMNS)
                 ]
+            ),
+        )
+        + _rated("total_gte_fare"),
+        "stored_report": in_parts
+        + f""", {_DAILY}, {_HEAT}, {_PAY}, daily_gap AS (SELECT * FROM daily), """
+        + _sound(
+            _checked(
+                _TABLE_COUNTS[:3]
+                + ["SELECT 'run_reference', 'bronze.raw_taxi_trips', COUNT(DISTINCT pipeline_run_id) FROM raw"]
+                + [
+                    f"SELECT 'text_limit_{c}', 'bronze.raw_taxi_trips', COUNT(CASE WHEN length({c}) > {n} THEN 1 END) FROM raw"
+                    for c, n in BRONZE_TEXT_LIMITS.items()
+                ]
             )
-            + ")",
         )
-        + """, rated AS (
-            SELECT *, CASE check_name WHEN 'total_gte_fare' THEN 'error' ELSE 'warn' END AS severity
-            FROM checked)
-        SELECT *, CASE WHEN failing = 0 THEN 'pass' WHEN severity = 'error' THEN 'fail'
-                       ELSE 'warn' END AS status
-        FROM rated""",
+        + _rated("run_reference"),
         "run_log_state": _with(_RUNS) + " SELECT * FROM runs",
         "run_log_events": """SELECT CAST(run_id AS INTEGER) AS run_id, 'd' AS dag_id, 't' AS task_id,
             '2024-06-01 00:00:00' AS execution_date, status, rows_ingested,

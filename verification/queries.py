@@ -514,6 +514,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landed_files": landed_files,
     "stored_silver": stored.stored_silver,
     "stored_tables": stored.stored_tables,
+    "stored_report": stored.stored_report,
     "whole_run": whole_run,
 }
 

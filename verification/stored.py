@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tripmill.fixtures import raw_trips
 from tripmill.operators.runlog import RunLog
-from tripmill.plans.pipeline import build_gold, run_pipeline, update_silver
+from tripmill.plans.counted import observed_bronze, record
+from tripmill.plans.pipeline import build_gold, check_warehouse, run_pipeline, update_silver
 from tripmill.schema import BRONZE_TRIPS, GOLD_DAILY, GOLD_HEATMAP, GOLD_PAYMENT, SILVER_TRIPS
 from tripmill.sources.feed import records
 from tripmill.sources.landing import Landing
@@ -84,6 +85,20 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check report of stored tables from counts taken as they were written; one batch has none and is read."""
+    warehouse = new_warehouse(spark)
+    for version, batch in enumerate(in_batches(raw_trips(spark, sf_dir)), 1):
+        observed = observed_bronze(batch)
+        warehouse.append(observed.df, BRONZE_TRIPS)
+        if version != 2:
+            record(warehouse, BRONZE_TRIPS, version, observed.counts, f"batch_{version - 1}")
+        update_silver(warehouse, version, buckets=8 if version == 1 else None)
+    build_gold(warehouse, 1, NOW)
+    report = check_warehouse(warehouse, {"run_reference": "error"})
+    return report.select("check_name", "table_name", "failing", "severity", "status")
+
+
 def landed_files(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Records of pages that were written to files and read by way of their manifest."""
     return records(Landing(spark, landed(spark, pages)).pages())

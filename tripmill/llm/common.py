@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import json
 import re
 import tempfile
@@ -23,6 +24,21 @@ BATCH_BYTES = 4 << 20
 _DEFAULT_BATCH = "67108864b"
 
 
+def give_memory_back() -> None:
+    """Let a worker process return large arrays and batches to the system as soon as they are freed.
+
+    Workers live on from stage to stage; what their allocators keep would add up to what the next stage takes.
+    """
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        ctypes.CDLL("libc.so.6").mallopt(-3, 4 << 20)  # blocks of this size are mapped by themselves
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
+give_memory_back()
+
+
 def small_batches(spark: SparkSession) -> None:
     """Send texts to Python workers in batches of few megabytes, so that a worker's memory follows neither rows nor texts."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -54,7 +70,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read from there: cuts lineage, survives lost executors."""
     path = shared_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.written_to = path
+    return found
+
+
+def let_go(spark: SparkSession) -> None:
+    """Have the driver collect its garbage now: Spark removes the shuffle files of queries that nothing refers to any more.
+
+    Between heavy steps, as otherwise those of all steps pile up on the executors' disks until the driver's memory fills.
+    """
+    spark._jvm.java.lang.System.gc()
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made and that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_tasks(spark: SparkSession) -> int:
@@ -217,7 +251,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b): the smallest node that links reach.
 
     Alternating large-star and small-star steps, each written to the shared folder, until nothing
-    changes. Stars of any size are merged by aggregates; no component meets in one task.
+    changes. Stars of any size are merged by aggregates, whose results are written before they are joined: both sides of a
+    join are then plain shuffles, of which adaptive execution splits those that one hub fills over several tasks.
     """
     now = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b")
     now = written(now.distinct(), name)
@@ -229,13 +264,15 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         before = state
         # Large star: every larger neighbour of a node is tied to the node's smallest neighbour.
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select("b", "a"))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
-        large = large.where("a < b").distinct()
+        lows = written(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), f"{name}-least")
+        large = both.where("v > u").join(lows, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
+        large = written(large.where("a < b").distinct(), f"{name}-large")
         # Small star: a node and its smaller neighbours are tied to the smallest of them.
-        least = large.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m"))
+        least = written(large.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m")), f"{name}-least")
         down = large.withColumnRenamed("b", "u").join(least, "u").select("m", F.col("a").alias("b"))
         small = down.union(least.select("m", F.col("u").alias("b"))).where("m < b").distinct()
-        now = written(small.toDF("a", "b"), name)
+        after = written(small.toDF("a", "b"), name)
+        forget(now, lows, large, least)
+        now = after
     roots = now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     return now.select(F.col("b").alias("node"), F.col("a").alias("component")).union(roots)

@@ -35,10 +35,23 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast, SparkFiles, TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import FILTER_BITS, bit_array, frequent, mapped, shared_file, slices, table, text_or_empty, to_file, written
+from tripmill.llm.common import (
+    FILTER_BITS,
+    bit_array,
+    forget,
+    frequent,
+    let_go,
+    mapped,
+    shared_file,
+    slices,
+    table,
+    text_or_empty,
+    to_file,
+    written,
+)
 from tripmill.llm.language import remainder
 
 ORDER = 3
@@ -183,10 +196,10 @@ def _starts(sizes: np.ndarray, order: int) -> np.ndarray:
 
 
 def gram_counts(texts: DataFrame, shorter: Broadcast, order: int) -> DataFrame:
-    """(a, b[, c], n) of all n-grams of ``order`` that occur at least twice, by hashes of their words.
+    """(a, b[, c], n) of n-grams of ``order``, by hashes of their words.
 
-    Rows without words have the numbers of n-grams that occur once. ``shorter`` has the bits of the next
-    shorter n-grams that occur at least twice: one with another part occurs once and is counted in its task.
+    ``shorter`` has the bits of the next shorter n-grams that occur at least twice: an n-gram with another part
+    occurs once, and is counted in its task with others like it in a row without words.
     """
     names = list("abc"[:order])
     schema = ", ".join(f"{c} long" for c in names) + ", n long"
@@ -217,25 +230,26 @@ def gram_counts(texts: DataFrame, shorter: Broadcast, order: int) -> DataFrame:
                     parts, held, once = [], 0, 0
         yield rows(parts, once)
 
-    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once = 0
-        for batch in batches:
-            n, null = batch.column(order).to_numpy(), batch.column(0).is_null().to_numpy(zero_copy_only=False)
-            once += int(n[null].sum()) + int((n[~null] == 1).sum())
-            yield batch.filter(pa.array(~null & (n > 1)))
-        yield rows([], once)
+    return texts.mapInArrow(count, schema).groupBy(*names).agg(F.sum("n").alias("n"))
 
-    counted = texts.mapInArrow(count, schema).groupBy(*names).agg(F.sum("n").alias("n"))
-    return counted.mapInArrow(repeated, schema)
 
+def repeated_grams(texts: DataFrame, shorter: Broadcast, order: int) -> tuple[DataFrame, float]:
+    """The n-grams of ``order`` that occur at least twice, written, and what is taken from the count of each.
 
-def _discounted(counted: DataFrame) -> tuple[DataFrame, float]:
-    """The n-grams of a table of ``gram_counts``, and what is taken from the count of each."""
-    once, twice = counted.agg(
-        F.sum(F.when(F.col("a").isNull(), F.col("n"))), F.sum(F.when(F.col("a").isNotNull() & (F.col("n") == 2), 1))
-    ).first()
-    once, twice = int(once or 0), int(twice or 0)
-    return counted.where("a IS NOT NULL"), once / max(once + 2 * twice, 1) or 0.5
+    Those that occur once or twice are counted as the others are written, in the write's last stage.
+    """
+    counted = gram_counts(texts, shorter, order)
+    observed = Observation()
+    known = F.col("a").isNotNull()
+    counted = counted.observe(
+        observed,
+        F.sum(F.when(~known | (F.col("n") == 1), F.col("n"))).alias("once"),
+        F.count_if(known & (F.col("n") == 2)).alias("twice"),
+    )
+    kept = written(counted.where(known & (F.col("n") > 1)), "gram-counts")
+    once, twice = int(observed.get["once"] or 0), int(observed.get["twice"])
+    let_go(texts.sparkSession)
+    return kept, once / max(once + 2 * twice, 1) or 0.5
 
 
 def _rest(grams: DataFrame, history: list[str], histories: DataFrame, discount: float) -> DataFrame:
@@ -278,10 +292,10 @@ class LanguageModel:
         cost = F.log10((F.col("n") + 1) / F.lit(float(self.outcomes)))
         words = self.counts.where("n > 1").select(F.xxhash64("word").alias("a"), "word", "n", cost.alias("cost"))
 
-        pairs = written(gram_counts(texts, _bits(words, 1), 2), "gram-counts")
-        pairs, discount = _discounted(pairs)
-        rest = written(_rest(pairs, ["a"], words.select("a", "n"), discount), "backoffs")
-        words = words.join(rest, "a", "left").withColumn("back", F.coalesce(F.log10("rest"), F.lit(0.0)))
+        counted, discount = repeated_grams(texts, _bits(words, 1), 2)
+        pairs = counted
+        rest_of_words = written(_rest(pairs, ["a"], words.select("a", "n"), discount), "backoffs")
+        words = words.join(rest_of_words, "a", "left").withColumn("back", F.coalesce(F.log10("rest"), F.lit(0.0)))
         words = written(words, "weighted-words")
         first = words.select("a", F.col("n").alias("n_a"), F.col("rest").alias("rest_a"))
         second = words.select(F.col("a").alias("b"), F.col("cost").alias("cost_b"))
@@ -289,18 +303,24 @@ class LanguageModel:
         pairs = pairs.join(first, "a").join(second, "b").withColumn("cost", F.log10(share))
         pairs = pairs.withColumn("more", F.col("cost") - F.log10("rest_a") - F.col("cost_b"))
         pairs = written(pairs.select("a", "b", "n", "cost", "more"), "pairs")
+        forget(counted, rest_of_words)
+        let_go(spark)
 
-        triples = written(gram_counts(texts, _bits(pairs, 2), 3), "gram-counts")
-        triples, discount = _discounted(triples)
+        counted, discount = repeated_grams(texts, _bits(pairs, 2), 3)
+        triples, unweighted = counted, pairs
         rest = _rest(triples, ["a", "b"], pairs.select("a", "b", "n"), discount)
         pairs = pairs.join(rest, ["a", "b"], "left").withColumn("back", F.coalesce(F.log10("rest"), F.lit(0.0)))
         pairs = written(pairs, "weighted-pairs")
+        forget(unweighted)
+        let_go(spark)
         first = pairs.select("a", "b", F.col("n").alias("n_a"), F.col("rest").alias("rest_a"))
         second = pairs.select(F.col("a").alias("b"), F.col("b").alias("c"), F.col("cost").alias("cost_b"))
         share = (F.col("n") - F.lit(discount)) / F.col("n_a") + F.col("rest_a") * F.pow(F.lit(10.0), F.col("cost_b"))
         triples = triples.join(first, ["a", "b"]).join(second, ["b", "c"]).withColumn("cost", F.log10(share))
         triples = triples.withColumn("more", F.col("cost") - F.log10("rest_a") - F.col("cost_b"))
         triples = written(triples.select("a", "b", "c", "n", "cost", "more"), "triples")
+        forget(counted)
+        let_go(spark)
 
         self.words = words.select("word", F.col("back").alias("word_back"))
         two, three = [F.col(c) for c in "ab"], [F.col(c) for c in "abc"]
@@ -429,6 +449,7 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
         "rare array<binary>, times array<long>, highs array<long>, lows array<long>"
     )
     walked = written(rows.mapInArrow(run, schema), "walked")
+    let_go(docs.sparkSession)
     rare = walked.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(
         "row", F.col("w.rare").alias("word"), F.col("w.times").alias("times")
     )

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tripmill.llm.common import frequent, mapped, shared_file, slices, table, text_or_empty, to_file, written
-from tripmill.llm.tokens import PLAIN_BELOW, SPACE_FIRST_PATTERN, byte_letters, parts_of, split_parts
+from tripmill.llm.tokens import PLAIN_BELOW, SPACE_FIRST_PATTERN, byte_letters, split_parts
 
 #: Most words the lexicon takes; the rest are merged.
 LEXICON_WORDS = 1 << 16
@@ -72,6 +72,14 @@ class Vocabulary:
         # Where Unicode versions may differ the library says where words end.
         return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
+    def words_in(self, lead: str, part: str) -> list[str]:
+        """The words of a part of a text after ``lead``; letters of ASCII are one word."""
+        return [lead + part] if part.isascii() and part.isalpha() else self.words(lead + part)
+
+    def pieces(self, text: str) -> list[str]:
+        """A text cut at strings of special tokens, which are pieces as well; no empty ones."""
+        return list(filter(None, self.cut(text) if any(s in text for s in self.special) else [text]))
+
     def merge(self, word: bytes) -> list[int]:
         """The ids of one word: the pair of lowest rank is joined first, the leftmost of equal ones."""
         ids = [self.byte_ids[b] for b in word]
@@ -218,11 +226,12 @@ def vocabulary_maker(spark: SparkSession, path: str) -> Callable[[], Vocabulary]
 def word_counts(docs: DataFrame, make: Callable[[], Vocabulary]) -> DataFrame:
     """(word, n) over all texts, summed in the task before the shuffle."""
 
-    def rows(parts: Counter) -> pa.RecordBatch:
-        find, counts = make().words, Counter()
-        for part, n in parts.items():
-            for word in find(part):
-                counts[word] += n
+    def rows(heads: Counter, tails: Counter) -> pa.RecordBatch:
+        words_in, counts = make().words_in, Counter()
+        for lead, parts in (("", heads), (" ", tails)):
+            for part, n in parts.items():
+                for word in words_in(lead, part):
+                    counts[word] += n
         return pa.RecordBatch.from_arrays(
             [pa.array([w.encode("utf-8") for w in counts], pa.binary()), pa.array(list(counts.values()), pa.int64())],
             names=["word", "n"],
@@ -230,16 +239,18 @@ def word_counts(docs: DataFrame, make: Callable[[], Vocabulary]) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # No word reaches over a space between two others: parts are counted, and cut into words once.
-        vocabulary, counts = make(), Counter()
+        vocabulary, heads, tails = make(), Counter(), Counter()
         for batch in batches:
             for text in batch.column(0):
-                for piece in vocabulary.cut(text.as_py()):
+                for piece in vocabulary.pieces(text.as_py()):
                     if piece not in vocabulary.special:
-                        counts.update(parts_of(piece))
-                if len(counts) > _FLUSH:
-                    yield rows(counts)
-                    counts = Counter()
-        yield rows(counts)
+                        first, *later = split_parts(piece)
+                        heads[first] += 1
+                        tails.update(later)
+                if len(heads) + len(tails) > _FLUSH:
+                    yield rows(heads, tails)
+                    heads, tails = Counter(), Counter()
+        yield rows(heads, tails)
 
     return (
         docs.select(text_or_empty().alias("text"))
@@ -281,7 +292,7 @@ class _TextEncoder:
             known, aside = self.known[lead], known
         found = {p: aside[p] for p in parts if p in aside}
         new = [p for p in parts if p not in found]
-        words = [self.vocabulary.words(lead + p) for p in new]
+        words = [self.vocabulary.words_in(lead, p) for p in new]
         different = list(set().union(*words))
         coded = [w.encode("utf-8") for w in different]
         ids = {}
@@ -295,32 +306,36 @@ class _TextEncoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as 32-bit integers."""
-        pieces = []  # of a text: (first part, further parts), or the ids of a special token
-        for text in texts:
-            strings = self.vocabulary.cut(text) if any(s in text for s in self.special) else [text]
-            pieces.append([self.special.get(s) or split_parts(s) for s in strings if s])
+        first, later = self.known[""].get, self.known[" "].get
+        rows = []  # of a text, piece by piece: parts and their ids as far as they are known; or a special token's ids
         lacking: dict[str, set[str]] = {"": set(), " ": set()}
-        first, later = self.known[""], self.known[" "]
-        for piece in (p for own in pieces for p in own if isinstance(p, list)):
-            if piece[0] not in first:
-                lacking[""].add(piece[0])
-            lacking[" "].update([p for p in piece[1:] if p not in later])
+        for text in texts:
+            row: list = []
+            for string in self.vocabulary.pieces(text):
+                if string in self.special:
+                    row.append((None, [self.special[string]]))
+                    continue
+                parts = split_parts(string)
+                found = [first(parts[0]), *map(later, parts[1:])]
+                if found[0] is None:
+                    lacking[""].add(parts[0])
+                if None in found:
+                    lacking[" "].update([p for p, ids in zip(parts[1:], found[1:], strict=True) if ids is None])
+                    row.append((parts, found))
+                else:
+                    row.append((None, found))
+            rows.append(row)
         more = {lead: self._learn(lead, parts) if parts else {} for lead, parts in lacking.items()}
         starts, follows = more[""], more[" "]
         out = []
-        for own in pieces:
-            found = []
-            for piece in own:
-                if isinstance(piece, bytes):
-                    found.append(piece)
-                    continue
-                head = piece[0]
-                found.append(first[head] if head in first else starts[head])
-                try:
-                    found += list(map(later.__getitem__, piece[1:]))
-                except KeyError:
-                    found += [later[p] if p in later else follows[p] for p in piece[1:]]
-            out.append(b"".join(found))
+        for row in rows:
+            for parts, found in row:
+                if parts is not None:
+                    at = -1
+                    for _ in range(found.count(None)):
+                        at = found.index(None, at + 1)
+                        found[at] = follows[parts[at]] if at else starts[parts[0]]
+            out.append(b"".join([ids for _, found in row for ids in found]))
         return out
 
 

@@ -43,12 +43,6 @@ def split_parts(text: str) -> list[str]:
     return _INNER_SPACE.split(text) if touches or _OTHER_SPACE.search(text) else text.split(" ")
 
 
-def parts_of(text: str) -> list[str]:
-    """``text`` cut before each space that stands between two characters that are not white space."""
-    first, *later = split_parts(text) or [""]
-    return [first, *[" " + part for part in later]] if text else []
-
-
 def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
@@ -93,6 +87,7 @@ class TextEncoder:
         added = self.library.get_added_tokens_decoder().values()
         self.marked = re.compile("|".join(sorted({re.escape(token.content[:2]) for token in added})) or r"(?!)").search
         self.model, self.lower = self.library.model, kind == "word_end"
+        self.packed = [struct.pack("<I", i) for i in range(self.library.get_vocab_size())]
         self.words = Filled(self._word, _LIMIT)
         self.parts = Filled(self._part, _LIMIT)
         self.spaced = Filled(self._spaced, _LIMIT)
@@ -106,7 +101,8 @@ class TextEncoder:
             mapped = self.letters[0x20] + bare if bare is not word else word
         else:
             mapped = "".join([self.letters[b] for b in word.encode("utf-8")])
-        return packed([token.id for token in self.model.tokenize(mapped)])
+        of = self.packed
+        return b"".join([of[token.id] for token in self.model.tokenize(mapped)])
 
     def _part(self, part: str) -> bytes:
         if not part:

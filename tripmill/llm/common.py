@@ -22,6 +22,8 @@ FILTER_BITS = 1 << 25
 #: Bytes of rows that a Python worker gets at a time, unless the session names another number than Spark's default.
 BATCH_BYTES = 4 << 20
 _DEFAULT_BATCH = "67108864b"
+#: Rows of two numbers that are worth a task of their own.
+ROWS_A_TASK = 1 << 14
 
 
 def give_memory_back() -> None:
@@ -247,31 +249,42 @@ def slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordB
         start = stop
 
 
+def few_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` of at most about ``rows`` rows, made by as many tasks as these are worth, two at least."""
+    tasks = max(2, -(-rows // ROWS_A_TASK))
+    return df.coalesce(tasks) if tasks < shuffle_tasks(df.sparkSession) else df
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b): the smallest node that links reach.
 
-    Alternating large-star and small-star steps, each written to the shared folder, until nothing
-    changes. Stars of any size are merged by aggregates, whose results are written before they are joined: both sides of a
+    Alternating large-star and small-star steps, each written to the shared folder, until all that is left are stars
+    around their smallest node. Stars of any size are merged by aggregates, whose results are written before they are joined: both sides of a
     join are then plain shuffles, of which adaptive execution splits those that one hub fills over several tasks.
+    No step has more edges than there are links, so small ones are written by few tasks.
     """
     now = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b")
     now = written(now.distinct(), name)
-    before = None
+    rows = now.count()
     while True:
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
         # Large star: every larger neighbour of a node is tied to the node's smallest neighbour.
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select("b", "a"))
-        lows = written(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), f"{name}-least")
-        large = both.where("v > u").join(lows, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
-        large = written(large.where("a < b").distinct(), f"{name}-large")
+        lows = both.groupBy("u").agg(
+            F.least("u", F.min("v")).alias("m"),
+            F.count_if(F.col("v") < F.col("u")).alias("smaller"),
+            F.count_if(F.col("v") > F.col("u")).alias("larger"),
+        )
+        lows = written(few_tasks(lows, rows), f"{name}-least")
+        if not lows.where("smaller > 1 OR (smaller > 0 AND larger > 0)").count():
+            forget(lows)
+            break
+        large = both.where("v > u").join(lows.select("u", "m"), "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
+        large = written(few_tasks(large.where("a < b").distinct(), rows), f"{name}-large")
         # Small star: a node and its smaller neighbours are tied to the smallest of them.
-        least = written(large.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m")), f"{name}-least")
+        least = written(few_tasks(large.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m")), rows), f"{name}-least")
         down = large.withColumnRenamed("b", "u").join(least, "u").select("m", F.col("a").alias("b"))
         small = down.union(least.select("m", F.col("u").alias("b"))).where("m < b").distinct()
-        after = written(small.toDF("a", "b"), name)
+        after = written(few_tasks(small.toDF("a", "b"), rows), name)
         forget(now, lows, large, least)
         now = after
     roots = now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()

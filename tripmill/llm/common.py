@@ -134,12 +134,15 @@ def starts_part(key: Column, bounds: list[int]) -> Column:
     return starts(key.cast("long"))
 
 
-def frequent(counts: DataFrame, most: int) -> DataFrame:
+def frequent(counts: DataFrame, most: int, keys: list[str] | None = None) -> DataFrame:
     """The ``most`` rows of ``counts`` (..., n) with the largest n; of the rows of the last n, those of smallest hash.
 
+    Hashes are those of ``keys``, or of all columns but n.
+
     The driver gets the number of rows for each n and for each of 65,536 ranges of hashes of the last n, and the
     hashes in one of these ranges. Rows of equal hash at the edge stay out together.
     """
+    keys = keys or [c for c in counts.columns if c != "n"]
     sizes = counts.groupBy("n").agg(F.count("*").alias("rows")).collect()
     left = most
     for row in sorted(sizes, key=lambda r: -r.n):
@@ -148,7 +151,7 @@ def frequent(counts: DataFrame, most: int) -> DataFrame:
         left -= row.rows
     else:
         return counts
-    digest = F.xxhash64(*(F.col(c) for c in counts.columns if c != "n"))
+    digest = F.xxhash64(*keys)
     part = F.shiftrightunsigned(digest, 48)
     tied = counts.where(F.col("n") == row.n).select(digest.alias("digest"), part.alias("part"))
     for edge in sorted(tied.groupBy("part").agg(F.count("*").alias("rows")).collect(), key=lambda r: r.part):

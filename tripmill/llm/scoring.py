@@ -20,7 +20,9 @@ of an n-gram less that of the same word after the shorter history, and less the
 history is followed by one token, its own backoff weight counts with it. What the automaton lacks is therefore a
 sum of weights that are joined from the tables, and scores do not depend on the automaton's bounds.
 
-Words in tables of n-grams are 64-bit hashes; two of 50 million words share one with a chance of 1 in 14,000.
+Words in tables of n-grams are 64-bit hashes; two of 50 million words share one with a chance of 1 in 14,000. So are the
+n-grams that texts and weights are joined by: one that is not kept has the weight of one of a billion kept with a chance of
+1 in 18 billion.
 
 A NULL or empty text is its end alone. Rows with NULL id are learned from. Repeated rows count and are
 scored each. Over an empty table the result is empty; with nothing to learn from, every token costs 0.
@@ -266,13 +268,13 @@ def _turned(word: np.ndarray | Column, bits: int) -> np.ndarray | Column:
     return (word << np.uint64(bits) | word >> np.uint64(64 - bits)).view(np.int64)
 
 
-def _key(words: list) -> tuple:
-    """128 bits for an n-gram of two or three words."""
-    if len(words) == 2:
-        return words[0], words[1]
-    a, b, c = words
-    high, low = _turned(b, 21), _turned(b, 43)
-    return (a.bitwiseXOR(high), c.bitwiseXOR(low)) if isinstance(a, Column) else (a ^ high, c ^ low)
+def _key(words: list) -> np.ndarray | Column:
+    """64 bits for an n-gram of two or three words, given by their hashes."""
+    key = words[0]
+    for word, bits in zip(words[1:], (21, 43), strict=False):
+        turned = _turned(word, bits)
+        key = key.bitwiseXOR(turned) if isinstance(key, Column) else key ^ turned
+    return key
 
 
 def _numpy(rows: DataFrame) -> dict[str, np.ndarray]:
@@ -323,21 +325,22 @@ class LanguageModel:
         let_go(spark)
 
         self.words = words.select("word", F.col("back").alias("word_back"))
-        two, three = [F.col(c) for c in "ab"], [F.col(c) for c in "abc"]
-        self.weights = pairs.select(*(k.alias(n) for k, n in zip(_key(two), ("high", "low"), strict=True)), (F.col("more") + F.col("back")).alias("weight")).union(
-            triples.select(*_key(three), "more")
-        )
         self.repeated = {2: _bits(pairs, 2), 3: _bits(triples, 3)}
         arrays = self._frequent(words, pairs, triples)
+        two, three = [F.col(c) for c in "ab"], [F.col(c) for c in "abc"]
+        weights = pairs.select(_key(two).alias("key"), (F.col("more") + F.col("back")).alias("weight"))
+        self.weights = written(weights.union(triples.select(_key(three), "more")), "weights")
+        forget(pairs, triples)
+        let_go(spark)
         sent = spark.sparkContext.broadcast(self.number)
         self.numbers: Callable[[], dict[bytes, int]] = lambda: sent.value
         self.name = shared_file(spark, to_file(arrays), "backoff")
 
     def _frequent(self, words: DataFrame, pairs: DataFrame, triples: DataFrame) -> dict[str, np.ndarray]:
         """The automaton of the most frequent n-grams and their words; costs and backoff weights are those of all."""
-        often = frequent(pairs.select("a", "b", "n"), ARCS)
+        often = frequent(pairs, ARCS, ["a", "b"])
         brought = often.select("a").union(often.select("b")).distinct()
-        lexicon = words.join(brought, "a", "left_semi").union(frequent(words.select("a", "n"), LEXICON_WORDS).join(words.drop("n"), "a").select(words.columns))
+        lexicon = words.join(brought, "a", "left_semi").union(frequent(words, LEXICON_WORDS, ["a"]))
         lexicon = sorted({bytes(r.word): (r.a, r.cost, r.back) for r in lexicon.collect()}.items())
         self.number = {word: i for i, (word, _) in enumerate(lexicon)}
         hashes = np.array([x[0] for _, x in lexicon], dtype=np.int64)
@@ -349,12 +352,12 @@ class LanguageModel:
             found = order[place] if size else np.zeros(len(column), np.int64)
             return np.where(hashes[found] == column, found, -1) if size else found - 1
 
-        two = _numpy(often.join(pairs.drop("n"), ["a", "b"]).select("a", "b", "cost", "back"))
+        two = _numpy(often.select("a", "b", "cost", "back"))
         a, b = numbers(two["a"]), numbers(two["b"])
         keys = a + 1 << _WORD_BITS | b
         by_key = np.argsort(keys)
         keys, ends = keys[by_key], b[by_key] + 1
-        three = _numpy(frequent(triples.select("a", "b", "c", "n"), ARCS).join(triples.drop("n"), ["a", "b", "c"]).select("a", "b", "c", "cost"))
+        three = _numpy(frequent(triples, ARCS, ["a", "b", "c"]).select("a", "b", "c", "cost"))
         a, b, c = (numbers(three[x]) for x in "abc")
 
         def pair(first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -382,9 +385,9 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
     numbers, name, order, outcomes, repeated = model.numbers, model.name, model.order, model.outcomes, model.repeated
     size = len(model.number)
 
-    def others(automaton: Automaton, sizes: np.ndarray, ids: np.ndarray, hashes: np.ndarray) -> list[pa.Array]:
+    def others(automaton: Automaton, sizes: np.ndarray, ids: np.ndarray, hashes: np.ndarray) -> pa.Array:
         """For each text the keys of n-grams that the automaton lacks and the tables may have."""
-        places, highs, lows = [], [], []
+        places, keys = [], []
         state, found = ids + 1, ids >= 0  # the states of histories, by arcs alone
         for k in range(2, order + 1):
             at = _starts(sizes, k)
@@ -392,18 +395,16 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
             hit &= found[at]
             words = [hashes[at + i] for i in range(k)]
             lacking = ~hit & _may_be(repeated[k].value, words)
-            high, low = _key([w[lacking] for w in words])
             places.append(at[lacking])
-            highs.append(high)
-            lows.append(low)
+            keys.append(_key([w[lacking] for w in words]))
             state, found = np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
             found[at] = hit
             if k < order and len(automaton.targets):
                 state[at] = np.where(hit, automaton.targets[place], 0)
-        place, high, low = np.concatenate(places), np.concatenate(highs), np.concatenate(lows)
+        place, key = np.concatenate(places), np.concatenate(keys)
         by_place = np.argsort(place, kind="stable")
         offsets = np.searchsorted(place[by_place], np.concatenate([[0], np.cumsum(sizes)])).astype(np.int32)
-        return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x[by_place])) for x in (high, low)]
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(key[by_place]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, automaton = numbers(), _opened(name)
@@ -437,16 +438,16 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
                     pa.array(automaton.read(tokens, order), pa.float64()),
                     pa.array(rare, pa.list_(pa.binary())),
                     pa.array(times, pa.list_(pa.int64())),
-                    *others(automaton, sizes, np.concatenate(tokens), np.concatenate(hashes)),
+                    others(automaton, sizes, np.concatenate(tokens), np.concatenate(hashes)),
                 ],
-                names=["row", "doc_id", "n_tokens", "known", "base", "walk", "rare", "times", "highs", "lows"],
+                names=["row", "doc_id", "n_tokens", "known", "base", "walk", "rare", "times", "keys"],
             )
             row += n
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     schema = (
         "row long, doc_id long, n_tokens long, known long, base double, walk double, "
-        "rare array<binary>, times array<long>, highs array<long>, lows array<long>"
+        "rare array<binary>, times array<long>, keys array<long>"
     )
     walked = written(rows.mapInArrow(run, schema), "walked")
     let_go(docs.sparkSession)
@@ -454,10 +455,7 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
         "row", F.col("w.rare").alias("word"), F.col("w.times").alias("times")
     )
     counted = rare.join(model.counts.join(model.words, "word", "left"), "word", "left")
-    grams = walked.select("row", F.explode(F.arrays_zip("highs", "lows")).alias("g")).select(
-        "row", F.col("g.highs").alias("high"), F.col("g.lows").alias("low")
-    )
-    weighed = grams.join(model.weights, ["high", "low"])
+    weighed = walked.select("row", F.explode("keys").alias("key")).join(model.weights, "key")
     parts = counted.select(
         "row",
         F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("known_part"),
@@ -467,7 +465,7 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
     more = parts.groupBy("row").agg(
         F.sum("known_part").alias("more_known"), F.sum("base_part").alias("more"), F.sum("walk_part").alias("more_walk")
     )
-    done = walked.drop("rare", "times", "highs", "lows").join(more, "row", "left")
+    done = walked.drop("rare", "times", "keys").join(more, "row", "left")
     rest = F.coalesce("more", F.lit(0.0))
     return done.select(
         "doc_id",

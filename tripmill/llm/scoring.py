@@ -48,6 +48,7 @@ from tripmill.llm.common import (
     let_go,
     mapped,
     shared_file,
+    shuffles_cleaned,
     slices,
     table,
     text_or_empty,
@@ -480,8 +481,10 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scored by a model of six sevenths of them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(remainder(F.col("doc_id"), 7) == 2, F.lit(False))
-    model = LanguageModel(docs.where(~held_out).select(text_or_empty().alias("text")))
-    return score(docs, model).select(
+    with shuffles_cleaned(spark):
+        model = LanguageModel(docs.where(~held_out).select(text_or_empty().alias("text")))
+        scored = score(docs, model)
+    return scored.select(
         "doc_id",
         held_out.alias("held_out"),
         "n_tokens",

@@ -8,7 +8,6 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -86,25 +85,6 @@ def let_go(spark: SparkSession) -> None:
     spark._jvm.java.lang.System.gc()
 
 
-@contextmanager
-def shuffles_cleaned(spark: SparkSession) -> Iterator[None]:
-    """Have Spark delete each query's shuffle files as soon as that query ends, while the block runs.
-
-    For steps that write every table they go on with: no later query reads their shuffles, which would otherwise stay
-    on the executors' disks until the driver collects their last reference.
-    """
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
 def forget(*tables: DataFrame) -> None:
     """Delete tables that ``written`` made and that nothing reads any more."""
     for df in tables:

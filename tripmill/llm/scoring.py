@@ -32,6 +32,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +66,8 @@ STRETCH = 128
 _FLUSH_WORDS = 200_000
 _FLUSH_GRAMS = 1 << 20
 _SLICE = 1 << 21
+#: Slices by key in which the keys of texts are joined with the weights of the tables.
+KEY_SLICES = 4
 END = b""
 
 
@@ -380,6 +383,23 @@ class LanguageModel:
         }
 
 
+def _weighed(walked: DataFrame, weights: DataFrame) -> DataFrame:
+    """(row, weight): per row the sum of the weights of its keys that the tables hold.
+
+    Keys are joined in ``KEY_SLICES`` slices by their value, each summed by row and written before the next, so
+    the shuffle files of one slice only are on disk at a time; every key is in exactly one slice.
+    """
+    spark = walked.sparkSession
+    sums = []
+    for k in range(KEY_SLICES):
+        mine = F.pmod(F.col("key"), F.lit(KEY_SLICES)) == k
+        keys = walked.select("row", F.explode("keys").alias("key")).where(mine)
+        found = keys.join(weights.where(mine), "key").groupBy("row").agg(F.sum("weight").alias("weight"))
+        sums.append(written(found, "weighed"))
+        let_go(spark)
+    return reduce(DataFrame.union, sums)
+
+
 def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every text of ``docs``."""
     numbers, name, order, outcomes, repeated = model.numbers, model.name, model.order, model.outcomes, model.repeated
@@ -455,7 +475,7 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
         "row", F.col("w.rare").alias("word"), F.col("w.times").alias("times")
     )
     counted = rare.join(model.counts.join(model.words, "word", "left"), "word", "left")
-    weighed = walked.select("row", F.explode("keys").alias("key")).join(model.weights, "key")
+    weighed = _weighed(walked, model.weights)
     parts = counted.select(
         "row",
         F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("known_part"),

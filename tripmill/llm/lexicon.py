@@ -61,6 +61,8 @@ class Vocabulary:
             self.bytes_of[number] = bytes(back[c] for c in token)
         for content, number in self.special.items():
             self.bytes_of[number] = content.encode("utf-8")
+        #: The bytes of each id as an Arrow array, for decoding many ids at once.
+        self.byte_strings = pa.array(self.bytes_of, pa.large_binary())
         strings = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.cut = re.compile(f"({'|'.join(strings)})").split if strings else lambda text: [text]
         self.find = regex.compile(SPACE_FIRST_PATTERN).findall
@@ -346,13 +348,18 @@ def _lists(ids: list[bytes]) -> pa.ListArray:
 
 
 def _decoded(vocabulary: Vocabulary, ids: pa.ListArray) -> pa.StringArray:
-    of = vocabulary.bytes_of.__getitem__
-    values, ends = ids.flatten().to_numpy().tolist(), np.diff(ids.offsets.to_numpy()).cumsum()
-    texts, start = [], 0
-    for end in ends.tolist():
-        texts.append(b"".join(map(of, values[start:end])).decode("utf-8", "replace"))
-        start = end
-    return pa.array(texts, pa.string())
+    """The text of each list of ids: the bytes of all ids are taken at once, and the texts cut from them."""
+    values, ends = ids.flatten().to_numpy(zero_copy_only=False), np.diff(ids.offsets.to_numpy()).cumsum()
+    values = np.where(values < 0, values + len(vocabulary.bytes_of), values)  # as a list's index would be
+    taken = vocabulary.byte_strings.take(pa.array(values, pa.int64()))
+    offsets = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1)
+    bounds = offsets[np.concatenate([[0], ends]).astype(np.int64)]
+    data = taken.buffers()[2] or pa.py_buffer(b"")
+    texts = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.array(bounds, pa.int64()).buffers()[1], data])
+    try:
+        return texts.cast(pa.large_string()).cast(pa.string())
+    except pa.ArrowInvalid:  # some bytes are no UTF-8, as where a text ends inside a character
+        return pa.array([b.decode("utf-8", "replace") for b in texts.to_pylist()], pa.string())
 
 
 def _encoder(make: Callable[[], Vocabulary], lexicon: str) -> _TextEncoder:

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from datetime import datetime, timedelta
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -197,8 +198,11 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def broken_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     """The named tables for the checks: gold is sound but lacks a day, silver is broken, raw rows
-    lack fields, run 2 is unknown."""
-    trips = silver(spark, sf_dir)
+    lack fields, run 2 is unknown.
+
+    Silver is worked out once, on the executors, for its checks and the three gold tables made from it.
+    """
+    trips = silver(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     made = {
         BRONZE_TRIPS: lambda: with_over_long(with_lost_fields(raw_trips(spark, sf_dir))),
         SILVER_TRIPS: lambda: broken(trips),

@@ -30,12 +30,13 @@ scored each. Over an empty table the result is empty; with nothing to learn from
 
 from __future__ import annotations
 
-from collections import Counter
+import math
 from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast, SparkFiles, TaskContext
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -49,6 +50,7 @@ from tripmill.llm.common import (
     let_go,
     mapped,
     shared_file,
+    shuffle_tasks,
     slices,
     table,
     text_or_empty,
@@ -63,9 +65,11 @@ ARCS = 1 << 19
 #: Words are numbered below this, and a state and a word make one key.
 _WORD_BITS = 22
 STRETCH = 128
-_FLUSH_WORDS = 200_000
-_FLUSH_GRAMS = 1 << 20
+_FLUSH_WORDS = 1 << 22
+_FLUSH_GRAMS = 1 << 21
 _SLICE = 1 << 21
+#: Tokens of the training texts, or weights, for which there is one more part of n-grams.
+_PART = 1 << 21
 #: Slices by key in which the keys of texts are joined with the weights of the tables.
 KEY_SLICES = 4
 END = b""
@@ -77,25 +81,133 @@ def words_of(text: str) -> list[bytes]:
     return [*text.encode("utf-8").lower().split(), END]
 
 
-def token_counts(texts: DataFrame) -> DataFrame:
-    """(word, n) of every token of ``texts`` (text), summed in the task first."""
+_FOLDED = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
+_SPACE = np.array([bytes([i]).isspace() for i in range(256)])
+#: Keeps so many of eight bytes.
+_MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], dtype=np.uint64)
+#: Longer words are hashed one by one.
+_LONG = 1024
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """64 bits mixed so that each depends on all, one to one."""
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x = x ^ x >> np.uint64(33)
+        x *= np.uint64(factor)
+    return x ^ x >> np.uint64(33)
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64 bits for each of the words that stand in ``data``, behind which there are eight more bytes."""
+    eight = np.ndarray((max(len(data) - 7, 0),), "<u8", data, strides=(1,))
+    found = _mixed((lengths + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ eight[starts] & _MASKS[np.minimum(lengths, 8)])
+    more = np.flatnonzero((lengths > 8) & (lengths <= _LONG))
+    done = 8
+    while len(more):
+        left = lengths[more] - done
+        found[more] = _mixed(found[more] * np.uint64(0x2545F4914F6CDD1D) ^ eight[starts[more] + done] & _MASKS[np.minimum(left, 8)])
+        more, done = more[left > 8], done + 8
+    for i in np.flatnonzero(lengths > _LONG).tolist():
+        found[i] = xxhash.xxh64_intdigest(data[starts[i] : starts[i] + lengths[i]])
+    return found.view(np.int64)
+
+
+END_HASH = int(_hashes(np.zeros(8, np.uint8), np.zeros(1, np.int64), np.zeros(1, np.int64))[0])
+
+
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of many texts as ``words_of`` has them, without ends: their bytes in lower case with eight more behind,
+    where each word starts in them, its length, and the number of words of each text."""
+    n = len(texts)
+    _, offsets, data = texts.buffers()
+    kind = np.dtype(np.int64 if pa.types.is_large_string(texts.type) else np.int32)
+    offsets = np.frombuffer(offsets, kind, n + 1, kind.itemsize * texts.offset).astype(np.int64) if n else np.zeros(1, np.int64)
+    data = np.frombuffer(data, np.uint8, offsets[-1] - offsets[0], offsets[0]) if offsets[-1] else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    word = ~_SPACE[data]
+    first, last = word.copy(), word.copy()
+    first[1:] &= ~word[:-1]
+    last[:-1] &= ~word[1:]
+    edges = offsets[(offsets > 0) & (offsets < len(data))]
+    first[edges], last[edges - 1] = word[edges], word[edges - 1]
+    starts = np.flatnonzero(first)
+    lengths = np.flatnonzero(last) + 1 - starts
+    data = np.concatenate([_FOLDED[data], np.zeros(8, np.uint8)])
+    return data, starts, lengths, np.diff(np.searchsorted(starts, offsets))
+
+
+def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the tokens of many texts, one text after the other with its end, and the tokens of each."""
+    data, starts, lengths, counts = _words(texts)
+    flat = np.full(len(starts) + len(counts), END_HASH, dtype=np.int64)
+    flat[np.arange(len(starts)) + np.repeat(np.arange(len(counts)), counts)] = _hashes(data, starts, lengths)
+    return flat, counts + 1
+
 
-    def rows(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
-        )
+def token_counts(texts: DataFrame) -> DataFrame:
+    """(a, word, n) of every token of ``texts`` (text), a being the hash of its word; summed in the task first."""
+
+    def rows(parts: list[pa.Array], ends: int) -> pa.RecordBatch:
+        found = pc.value_counts(pa.chunked_array([*parts, pa.array([], pa.binary())]))
+        words, n = found.field(0), found.field(1).cast(pa.int64())
+        if ends:
+            words, n = pa.concat_arrays([words, pa.array([END])]), pa.concat_arrays([n, pa.array([ends])])
+        _, offsets, data = words.buffers()
+        offsets = np.frombuffer(offsets, np.int32, len(words) + 1).astype(np.int64) if len(words) else np.zeros(1, np.int64)
+        data = np.concatenate([np.frombuffer(data or b"", np.uint8), np.zeros(8, np.uint8)])
+        hashes = _hashes(data, offsets[:-1], np.diff(offsets))
+        return pa.RecordBatch.from_arrays([pa.array(hashes), words, n], names=["a", "word", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        parts: list[pa.Array] = []
+        held = ends = 0
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(words_of(text.as_py()))
-                if len(counts) > _FLUSH_WORDS:
-                    yield rows(counts)
-                    counts = Counter()
-        yield rows(counts)
-
-    return texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+            for piece in slices(batch, 0, _SLICE):
+                data, starts, lengths, counts = _words(piece.column(0))
+                offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                text = data[:-8][~_SPACE[data[:-8]]]
+                parts.append(pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(text)]))
+                held, ends = held + len(starts), ends + len(counts)
+                if held > _FLUSH_WORDS:
+                    yield rows(parts, ends)
+                    parts, held, ends = [], 0, 0
+        yield rows(parts, ends)
+
+    counted = texts.mapInArrow(count, "a long, word binary, n long")
+    return counted.groupBy("a", "word").agg(F.sum("n").alias("n"))
+
+
+class _Places:
+    """Finds the places of 64-bit keys by open addressing."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = keys
+        bits = max(4, (2 * len(keys)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.table = np.full(1 << bits, -1, dtype=np.int32)
+        slots, left = self._slots(keys), np.arange(len(keys), dtype=np.int32)
+        while len(left):
+            free = left[self.table[slots[left]] < 0]
+            self.table[slots[free]] = free
+            left = left[self.table[slots[left]] != left]
+            slots[left] = slots[left] + 1 & self.last
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        keys = np.ascontiguousarray(keys, dtype=np.int64).view(np.uint64)
+        return (keys * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each of ``keys``, -1 if it is not there."""
+        slots = self._slots(keys)
+        found = self.table[slots].astype(np.int64)
+        open_ = np.flatnonzero(found >= 0)
+        open_ = open_[self.keys[found[open_]] != keys[open_]]
+        while len(open_):
+            slots[open_] = slots[open_] + 1 & self.last
+            found[open_] = self.table[slots[open_]]
+            open_ = open_[found[open_] >= 0]
+            open_ = open_[self.keys[found[open_]] != keys[open_]]
+        return found
 
 
 class Automaton:
@@ -105,13 +217,13 @@ class Automaton:
         self.keys, self.targets, self.costs = arrays["keys"], arrays["targets"], arrays["costs"]
         self.fails, self.backoffs = arrays["fails"], arrays["backoffs"]
         self.hashes = arrays["hashes"]
+        self.arcs, self.words = _Places(self.keys), _Places(self.hashes)
 
     def arc(self, states: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of the arc that reads each word in its state, and whether there is one."""
-        key = states << _WORD_BITS | np.maximum(words, 0)
-        place = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
-        found = (self.keys[place] == key) & (words >= 0) if len(self.keys) else np.zeros(len(key), bool)
-        return place, found
+        place = self.arcs.find(states << _WORD_BITS | np.maximum(words, 0))
+        found = (place >= 0) & (words >= 0)
+        return np.maximum(place, 0), found
 
     def step(self, states: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The states after reading a word each, and the log probabilities met on the way."""
@@ -128,13 +240,11 @@ class Automaton:
             states[open_] = self.fails[states[open_]]
         return states, costs
 
-    def read(self, tokens: list[np.ndarray], order: int) -> np.ndarray:
-        """The summed log probability of each text."""
-        sizes = np.array([len(t) for t in tokens], dtype=np.int64)
-        flat = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
+    def read(self, flat: np.ndarray, sizes: np.ndarray, order: int) -> np.ndarray:
+        """The summed log probability of each of the texts of ``sizes`` tokens that stand in ``flat``."""
         bases = np.cumsum(sizes) - sizes
         pieces = -(-sizes // STRETCH)
-        owner = np.repeat(np.arange(len(tokens)), pieces)
+        owner = np.repeat(np.arange(len(sizes)), pieces)
         first = (np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * STRETCH
         early = np.minimum(first, order - 1)
         begin = bases[owner] + first - early
@@ -148,7 +258,7 @@ class Automaton:
                 active -= 1
             states[:active], costs = self.step(states[:active], flat[begin[:active] + at])
             totals[:active] += np.where(at >= early[:active], costs, 0.0)
-        return np.bincount(owner, totals, len(tokens)) if len(tokens) else np.zeros(0)
+        return np.bincount(owner, totals, len(sizes)) if len(sizes) else np.zeros(0)
 
 
 _AUTOMATA: dict[str, Automaton] = {}
@@ -160,38 +270,44 @@ def _opened(name: str) -> Automaton:
     return _AUTOMATA[name]
 
 
-class _Hashes(dict):
-    """Hashes of words, as F.xxhash64 has them; kept while they are few."""
+def _turned(word: np.ndarray | Column, bits: int) -> np.ndarray | Column:
+    if isinstance(word, Column):
+        return F.shiftleft(word, bits).bitwiseOR(F.shiftrightunsigned(word, 64 - bits))
+    word = word.view(np.uint64)
+    return (word << np.uint64(bits) | word >> np.uint64(64 - bits)).view(np.int64)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > _FLUSH_WORDS:
-            self.clear()
-        digest = xxhash.xxh64_intdigest(word, seed=42)
-        self[word] = digest - (digest >> 63 << 64)
-        return self[word]
 
+#: By how many bits a word is turned in the key of an n-gram that begins a word before.
+_TURN = 21
 
-def _place(words: list[np.ndarray] | list[Column]) -> np.ndarray | Column:
-    """The bit of a word, or of an n-gram given by its words' hashes, in a filter."""
-    if isinstance(words[0], Column):
-        mixed = F.shiftright(words[0], 3)
-        for word, bits in zip(words[1:], (29, 17), strict=False):
-            mixed = mixed.bitwiseXOR(F.shiftright(word, bits))
-        return mixed.bitwiseAND(F.lit(FILTER_BITS - 1))
-    mixed = words[0] >> 3
-    for word, bits in zip(words[1:], (29, 17), strict=False):
-        mixed = mixed ^ (word >> bits)
-    return mixed & (FILTER_BITS - 1)
 
+def _key(words: list) -> np.ndarray | Column:
+    """64 bits for an n-gram of up to three words, given by their hashes.
 
-def _bits(grams: DataFrame, order: int) -> Broadcast:
-    places = grams.select(_place([F.col(c) for c in "abc"[:order]]))
-    return grams.sparkSession.sparkContext.broadcast(bit_array(places, FILTER_BITS))
+    The key gives the last word's hash if one knows the key of the words before it, and the key of the
+    words behind the first one if one knows the first word's hash.
+    """
+    key = words[0]
+    for k, word in enumerate(words[1:], 1):
+        turned = _turned(word, k * _TURN)
+        key = key.bitwiseXOR(turned) if isinstance(key, Column) else key ^ turned
+    return key
+
+
+def _place(key: np.ndarray | Column) -> np.ndarray | Column:
+    """The bit of an n-gram in a filter, by its key."""
+    if isinstance(key, Column):
+        return F.shiftright(key, 3).bitwiseAND(F.lit(FILTER_BITS - 1))
+    return key >> 3 & (FILTER_BITS - 1)
 
 
-def _may_be(bits: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
-    p = _place(words)
-    return (bits[p >> 6] >> (p & 63)) & 1 == 1
+def _bits(keys: DataFrame) -> Broadcast:
+    return keys.sparkSession.sparkContext.broadcast(bit_array(keys.select(_place(F.col(keys.columns[0]))), FILTER_BITS))
+
+
+def _may_be(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    p = _place(keys)
+    return bits[p >> 6] >> (p & 63) & 1 == 1
 
 
 def _starts(sizes: np.ndarray, order: int) -> np.ndarray:
@@ -200,84 +316,268 @@ def _starts(sizes: np.ndarray, order: int) -> np.ndarray:
     return np.flatnonzero(owner[: max(len(owner) - order + 1, 0)] == owner[order - 1 :])
 
 
-def gram_counts(texts: DataFrame, shorter: Broadcast, order: int) -> DataFrame:
-    """(a, b[, c], n) of n-grams of ``order``, by hashes of their words.
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of as many 64-bit numbers, least bytes first, without the bytes that are zero in a whole column."""
+    parts = [len(columns[0]).to_bytes(8, "little")]
+    for column in columns:
+        column = np.ascontiguousarray(column).view(np.uint64)
+        width = (int(column.max(initial=0)).bit_length() + 7) // 8
+        parts += [bytes([width]), column.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()]
+    return b"".join(parts)
+
+
+def _unpacked(packed: bytes) -> list[np.ndarray]:
+    """The columns that ``_packed`` was given, as unsigned numbers."""
+    n, at, columns = int.from_bytes(packed[:8], "little"), 8, []
+    while at < len(packed):
+        width = packed[at]
+        column = np.zeros((n, 8), dtype=np.uint8)
+        column[:, :width] = np.frombuffer(packed, np.uint8, n * width, at + 1).reshape(width, n).T
+        columns.append(column.reshape(-1).view("<u8"))
+        at += 1 + n * width
+    return columns
+
+
+def _edges(parts: int) -> np.ndarray:
+    """The least key of each of ``parts`` parts of all 64-bit keys, by their unsigned values."""
+    return ((np.arange(parts, dtype=np.uint64) << np.uint64(32)) + np.uint64(parts - 1)) // np.uint64(parts) << np.uint64(32)
+
+
+def _dealt(keys: np.ndarray, edges: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Sorted unsigned ``keys`` and what stands beside them: the number of each part that has some, and its rows packed."""
+    ends = np.append(np.searchsorted(keys, edges), len(keys))
+    steps = np.diff(keys, prepend=np.uint64(0))
+    for part in np.flatnonzero(np.diff(ends)).tolist():
+        start, stop = ends[part], ends[part + 1]
+        own = steps[start:stop].copy()
+        own[0] = keys[start] - edges[part]
+        yield part, _packed(own, *(c[start:stop] for c in columns))
+
+
+def _taken(part: int, packed: bytes, edges: np.ndarray) -> list[np.ndarray]:
+    """The rows that ``_dealt`` packed: sorted keys, and the columns beside them."""
+    steps, *columns = _unpacked(packed)
+    return [edges[part] + np.cumsum(steps, dtype=np.uint64), *columns]
+
+
+def _summed(keys: np.ndarray, left: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows (keys, left) in order of keys, once each, with the sum of ``n``, or how often they stand there."""
+    order = np.argsort(keys)
+    if ((keys[order[1:]] == keys[order[:-1]]) & (left[order[1:]] != left[order[:-1]])).any():
+        order = np.lexsort((left, keys))
+    keys, left = keys[order], left[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (left[1:] != left[:-1])
+    first = np.flatnonzero(new)
+    total = np.diff(first, append=len(keys)) if n is None else np.add.reduceat(n[order], first) if len(first) else n[:0]
+    return keys[first], left[first], total
+
+
+def _none(names: int) -> list[np.ndarray]:
+    return [np.zeros(0, np.uint64) for _ in range(names)]
+
+
+def gram_counts(texts: DataFrame, shorter: Broadcast, order: int, parts: int) -> DataFrame:
+    """(key, first, n, once, twice) of n-grams of ``order`` that occur at least twice.
+
+    ``key`` is that of the n-gram and ``first`` that of all its words but the last.
+    Rows without a key have the numbers of n-grams that occur once and twice.
 
     ``shorter`` has the bits of the next shorter n-grams that occur at least twice: an n-gram with another part
-    occurs once, and is counted in its task with others like it in a row without words.
+    occurs once, and is counted in its task without being dealt out. The others are dealt by key to ``parts`` parts,
+    sorted and packed: a shuffle has a row for each part of each task, and a part is sorted by one task.
     """
-    names = list("abc"[:order])
-    schema = ", ".join(f"{c} long" for c in names) + ", n long"
+    edges = _edges(parts)
 
-    def rows(parts: list[list[np.ndarray]], once: int) -> pa.RecordBatch:
-        columns = [np.concatenate([np.zeros(0, np.int64), *(p[k] for p in parts)]) for k in range(order)]
-        found = pa.table(columns, names=names).group_by(names, use_threads=False).aggregate([([], "count_all")])
-        found = found.select([*names, "count_all"]).combine_chunks()
-        arrays = [pa.concat_arrays([*found.column(c).chunks, pa.nulls(1, pa.int64())]) for c in names]
-        n = pa.concat_arrays([*found.column("count_all").chunks, pa.array([once], pa.int64())])
-        return pa.RecordBatch.from_arrays([*arrays, n], names=[*names, "n"])
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shorter.value
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = once = 0
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            keys, first, n = _summed(*(np.concatenate(c) for c in zip(_none(2), *held, strict=True)))
+            for part, packed in _dealt(keys, edges, first, n):
+                yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "once": [0], "grams": [packed]})
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, hashes = shorter.value, _Hashes()
-        parts: list[list[np.ndarray]] = []
-        held = once = 0
         for batch in batches:
             for piece in slices(batch, 0, _SLICE):
-                texts = [words_of(t.as_py()) for t in piece.column(0)]
-                flat = np.array([hashes[w] for words in texts for w in words], dtype=np.int64)
-                at = _starts(np.array([len(t) for t in texts]), order)
-                words = [flat[at + k] for k in range(order)]
-                good = _may_be(bits, words[:-1]) & _may_be(bits, words[1:])
-                parts.append([w[good] for w in words])
-                held, once = held + int(good.sum()), once + int((~good).sum())
-                if held > _FLUSH_GRAMS:
-                    yield rows(parts, once)
-                    parts, held, once = [], 0, 0
-        yield rows(parts, once)
-
-    return texts.mapInArrow(count, schema).groupBy(*names).agg(F.sum("n").alias("n"))
-
-
-def repeated_grams(texts: DataFrame, shorter: Broadcast, order: int) -> tuple[DataFrame, float]:
-    """The n-grams of ``order`` that occur at least twice, written, and what is taken from the count of each.
+                flat, sizes = _tokens(piece.column(0))
+                at = _starts(sizes, order)
+                first = _key([flat[at + k] for k in range(order - 1)])
+                good = _may_be(bits, first) & _may_be(bits, _key([flat[at + k] for k in range(1, order)]))
+                first, last = first[good], flat[at[good] + order - 1]
+                held.append(((first ^ _turned(last, (order - 1) * _TURN)).view(np.uint64), first.view(np.uint64)))
+                size, once = size + len(first), once + len(at) - len(first)
+                if size > _FLUSH_GRAMS:
+                    yield from rows()
+                    held, size = [], 0
+        yield from rows()
+        yield pa.RecordBatch.from_pydict({"part": pa.array([0], pa.int32()), "once": [once], "grams": pa.array([None], pa.binary())})
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list] = {}
+        once = 0
+        for batch in batches:
+            once += pc.sum(batch.column(1)).as_py() or 0
+            for part, packed in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+                if packed.is_valid:
+                    found.setdefault(part, []).append(packed.as_py())
+        twice = 0
+        for part in list(found):
+            rows = [_taken(part, packed, edges) for packed in found.pop(part)]
+            keys, first, n = _summed(*(np.concatenate(c) for c in zip(*rows, strict=True)))
+            del rows
+            n = n.astype(np.int64)
+            once, twice, kept = once + int((n == 1).sum()), twice + int((n == 2).sum()), n > 1
+            arrays = [pa.array(x) for x in (keys[kept].view(np.int64), first[kept].view(np.int64), n[kept])]
+            yield from pa.table([*arrays, *[pa.nulls(len(arrays[0]), pa.int64())] * 2], names=names).to_batches(1 << 16)
+        counts = [pa.array([x], pa.int64()) for x in (None, None, None, once, twice)]
+        yield pa.RecordBatch.from_arrays(counts, names=names)
+
+    names = ["key", "first", "n", "once", "twice"]
+    dealt = texts.mapInArrow(deal, "part int, once long, grams binary")
+    return dealt.repartitionById(parts, F.col("part")).mapInArrow(gather, ", ".join(f"{x} long" for x in names))
+
+
+def repeated_grams(texts: DataFrame, shorter: Broadcast, order: int, parts: int) -> tuple[DataFrame, float]:
+    """(key, first, n) of the n-grams of ``order`` that occur at least twice, written, and what is taken from each n.
 
     Those that occur once or twice are counted as the others are written, in the write's last stage.
     """
-    counted = gram_counts(texts, shorter, order)
     observed = Observation()
-    known = F.col("a").isNotNull()
-    counted = counted.observe(
-        observed,
-        F.sum(F.when(~known | (F.col("n") == 1), F.col("n"))).alias("once"),
-        F.count_if(known & (F.col("n") == 2)).alias("twice"),
-    )
-    kept = written(counted.where(known & (F.col("n") > 1)), "gram-counts")
-    once, twice = int(observed.get["once"] or 0), int(observed.get["twice"])
+    counted = gram_counts(texts, shorter, order, parts)
+    counted = counted.observe(observed, F.sum("once").alias("once"), F.sum("twice").alias("twice"))
+    kept = written(counted.where("key IS NOT NULL").select("key", "first", "n"), "gram-counts")
+    once, twice = int(observed.get["once"] or 0), int(observed.get["twice"] or 0)
     let_go(texts.sparkSession)
     return kept, once / max(once + 2 * twice, 1) or 0.5
 
 
-def _rest(grams: DataFrame, history: list[str], histories: DataFrame, discount: float) -> DataFrame:
-    """(history, rest): what the kept followers of each history that has some leave to the shorter one."""
-    spent = grams.groupBy(*history).agg((F.sum("n") - F.count("*") * F.lit(discount)).alias("spent"))
-    rest = F.greatest(1.0 - F.col("spent") / F.col("n"), F.lit(1e-12))
-    return spent.join(histories, history).select(*history, rest.alias("rest"))
+def _packets(edges: np.ndarray, held: list[list[np.ndarray]], base: int | None) -> Iterator[pa.RecordBatch]:
+    """Rows of a key and other 64-bit columns, packed for each part."""
+    keys, *columns = (np.concatenate(c).view(np.uint64) for c in zip(*held, strict=True))
+    order = np.argsort(keys)
+    for part, packed in _dealt(keys[order], edges, *(c[order] for c in columns)):
+        base_ = pa.array([base], pa.int64())
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "base": base_, "packed": [packed]})
 
 
-def _turned(word: np.ndarray | Column, bits: int) -> np.ndarray | Column:
-    if isinstance(word, Column):
-        return F.shiftleft(word, bits).bitwiseOR(F.shiftrightunsigned(word, 64 - bits))
-    word = word.view(np.uint64)
-    return (word << np.uint64(bits) | word >> np.uint64(64 - bits)).view(np.int64)
+_PACKETS = "part int, base long, packed binary"
 
 
-def _key(words: list) -> np.ndarray | Column:
-    """64 bits for an n-gram of two or three words, given by their hashes."""
-    key = words[0]
-    for word, bits in zip(words[1:], (21, 43), strict=False):
-        turned = _turned(word, bits)
-        key = key.bitwiseXOR(turned) if isinstance(key, Column) else key ^ turned
-    return key
+def _sent(rows: DataFrame, edges: np.ndarray, base: int | None) -> DataFrame:
+    """``rows`` (key, ...) of 64-bit columns without NULL, as packets for the parts that hold their keys."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            if sum(len(h[0]) for h in held) > _FLUSH_GRAMS:
+                yield from _packets(edges, held, base)
+                held = []
+        if held:
+            yield from _packets(edges, held, base)
+
+    return rows.mapInArrow(send, _PACKETS)
+
+
+def _sorted(part: int, packets: list[bytes], edges: np.ndarray, columns: int) -> list[np.ndarray]:
+    """All rows of ``packets``, in order of their keys."""
+    taken = [_none(columns), *(_taken(part, packed, edges) for packed in packets)]
+    keys, *rest = (np.concatenate(c) for c in zip(*taken, strict=True))
+    order = np.argsort(keys)
+    return [keys[order], *(c[order] for c in rest)]
+
+
+def _places(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``wanted`` in sorted ``keys``, and which of them are there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return place, keys[place] == wanted
+
+
+def _met(rows: DataFrame, others: DataFrame, parts: int, join: Callable[[list, list], dict[str, np.ndarray]], schema: str) -> DataFrame:
+    """What ``join`` makes of the columns of ``rows`` (key, ...) and those of ``others`` (key, ...) with the same keys.
+
+    All columns are 64-bit numbers without NULL, which ``join`` gets as unsigned ones, in order of keys. Both sides
+    are dealt by key, sorted and packed, so a shuffle holds few bytes more than the numbers need.
+    """
+    edges, names = _edges(parts), [x.split()[0] for x in schema.split(", ")]
+    sizes = len(rows.columns), len(others.columns)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, tuple[list, list]] = {}
+        for batch in batches:
+            for part, side, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found.setdefault(part, ([], []))[side].append(packed)
+        for part in list(found):
+            sides = [_sorted(part, packets, edges, n) for packets, n in zip(found.pop(part), sizes, strict=True)]
+            made = join(*sides)
+            yield from pa.table([pa.array(made[x]) for x in names], names=names).to_batches(1 << 16)
+
+    both = _sent(rows, edges, 0).union(_sent(others, edges, 1))
+    return both.repartitionById(parts, F.col("part")).mapInArrow(gather, schema)
+
+
+def _shared_out(grams: DataFrame, histories: DataFrame, discount: float, parts: int) -> DataFrame:
+    """(key, after, n, share, rest) of ``grams`` (history, key, n), ``histories`` being (history, n, word), word its first.
+
+    ``after`` is the key of the n-gram's words but the first, ``rest`` what the kept followers of the history leave
+    to the shorter one, and ``share`` the part of the history's followers that the n-gram is, over ``rest``. A row without n has in
+    ``after`` a history and its rest.
+    """
+
+    def join(rows: list[np.ndarray], others: list[np.ndarray]) -> dict[str, np.ndarray]:
+        place, hit = _places(others[0], rows[0])
+        history, key, n, place = *(c[hit] for c in rows), place[hit]
+        new = np.ones(len(history), dtype=bool)
+        new[1:] = history[1:] != history[:-1]
+        first = np.flatnonzero(new)
+        spent = np.add.reduceat(n - discount, first) if len(first) else np.zeros(0)
+        rest = np.maximum(1.0 - spent / others[1][place[first]], 1e-12)
+        own = np.repeat(rest, np.diff(first, append=len(history)))
+        after = _turned((key ^ others[2][place]).view(np.int64), 64 - _TURN)
+        none = np.zeros(len(first), np.int64)
+        return {
+            "key": np.concatenate([key.view(np.int64), none]),
+            "after": np.concatenate([after, history[first].view(np.int64)]),
+            "n": np.concatenate([n.view(np.int64), none]),
+            "share": np.concatenate([(n - discount) / others[1][place] / own, np.zeros(len(first))]),
+            "rest": np.concatenate([own, rest]),
+        }
+
+    schema = "key long, after long, n long, share double, rest double"
+    return _met(grams, histories, parts, join, schema)
+
+
+def _backed_off(shares: DataFrame, shorter: DataFrame, parts: int) -> DataFrame:
+    """(key, after, n, more, cost) of the rows of ``shares`` that have n, ``shorter`` being (key, cost) of what is behind the first word.
+
+    ``cost`` is the log probability, and ``more`` what it is over that of the shorter n-gram with the history's backoff weight.
+    """
+
+    def join(rows: list[np.ndarray], others: list[np.ndarray]) -> dict[str, np.ndarray]:
+        place, hit = _places(others[0], rows[0])
+        after, key, n, share, rest = (c[hit] for c in rows)
+        base = others[1].view(np.float64)[place[hit]]
+        more = np.log10(share.view(np.float64) / 10.0**base + 1.0)
+        return {
+            "key": key.view(np.int64),
+            "after": after.view(np.int64),
+            "n": n.view(np.int64),
+            "more": more,
+            "cost": more + np.log10(rest.view(np.float64)) + base,
+        }
+
+    rows = shares.where("n > 0").select("after", "key", "n", "share", "rest")
+    return _met(rows, shorter, parts, join, "key long, after long, n long, more double, cost double")
+
+
+def _first(key: np.ndarray | Column, after: np.ndarray | Column) -> np.ndarray | Column:
+    """The hash of an n-gram's first word, given its key and that of the words behind it."""
+    turned = _turned(after, _TURN)
+    return key.bitwiseXOR(turned) if isinstance(key, Column) else key ^ turned
 
 
 def _numpy(rows: DataFrame) -> dict[str, np.ndarray]:
@@ -291,121 +591,189 @@ class LanguageModel:
     def __init__(self, texts: DataFrame) -> None:
         spark = texts.sparkSession
         self.order = ORDER
-        self.counts = written(token_counts(texts), "token-counts")
-        tokens, distinct = self.counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+        counts = written(token_counts(texts), "token-counts")
+        tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
         self.tokens, self.outcomes = int(tokens), int(tokens) + int(distinct) + 1
-        cost = F.log10((F.col("n") + 1) / F.lit(float(self.outcomes)))
-        words = self.counts.where("n > 1").select(F.xxhash64("word").alias("a"), "word", "n", cost.alias("cost"))
-
-        counted, discount = repeated_grams(texts, _bits(words, 1), 2)
-        pairs = counted
-        rest_of_words = written(_rest(pairs, ["a"], words.select("a", "n"), discount), "backoffs")
-        words = words.join(rest_of_words, "a", "left").withColumn("back", F.coalesce(F.log10("rest"), F.lit(0.0)))
-        words = written(words, "weighted-words")
-        first = words.select("a", F.col("n").alias("n_a"), F.col("rest").alias("rest_a"))
-        second = words.select(F.col("a").alias("b"), F.col("cost").alias("cost_b"))
-        share = (F.col("n") - F.lit(discount)) / F.col("n_a") + F.col("rest_a") * F.pow(F.lit(10.0), F.col("cost_b"))
-        pairs = pairs.join(first, "a").join(second, "b").withColumn("cost", F.log10(share))
-        pairs = pairs.withColumn("more", F.col("cost") - F.log10("rest_a") - F.col("cost_b"))
-        pairs = written(pairs.select("a", "b", "n", "cost", "more"), "pairs")
-        forget(counted, rest_of_words)
-        let_go(spark)
+        parts = max(shuffle_tasks(spark), self.tokens // _PART)
+        self.counts = counts.withColumn("cost", F.log10((F.col("n") + 1) / F.lit(float(self.outcomes))))
+        words = self.counts.where("n > 1")
 
-        counted, discount = repeated_grams(texts, _bits(pairs, 2), 3)
-        triples, unweighted = counted, pairs
-        rest = _rest(triples, ["a", "b"], pairs.select("a", "b", "n"), discount)
-        pairs = pairs.join(rest, ["a", "b"], "left").withColumn("back", F.coalesce(F.log10("rest"), F.lit(0.0)))
-        pairs = written(pairs, "weighted-pairs")
-        forget(unweighted)
+        counted, discount = repeated_grams(texts, _bits(words.select("a")), 2, parts)
+        grams = counted.select("first", "key", "n")
+        shares = written(_shared_out(grams, words.select("a", "n", F.col("a").alias("word")), discount, parts), "shares")
+        forget(counted)
         let_go(spark)
-        first = pairs.select("a", "b", F.col("n").alias("n_a"), F.col("rest").alias("rest_a"))
-        second = pairs.select(F.col("a").alias("b"), F.col("b").alias("c"), F.col("cost").alias("cost_b"))
-        share = (F.col("n") - F.lit(discount)) / F.col("n_a") + F.col("rest_a") * F.pow(F.lit(10.0), F.col("cost_b"))
-        triples = triples.join(first, ["a", "b"]).join(second, ["b", "c"]).withColumn("cost", F.log10(share))
-        triples = triples.withColumn("more", F.col("cost") - F.log10("rest_a") - F.col("cost_b"))
-        triples = written(triples.select("a", "b", "c", "n", "cost", "more"), "triples")
+        self.word_backs = written(shares.where("n = 0").select(F.col("after").alias("a"), F.log10("rest").alias("back")), "backoffs")
+        pairs = written(_backed_off(shares, words.select("a", "cost"), parts), "pairs")
+        forget(shares)
+        let_go(spark)
+
+        counted, discount = repeated_grams(texts, _bits(pairs), 3, parts)
+        grams, word = counted.select("first", "key", "n"), _first(F.col("key"), F.col("after"))
+        shares = written(_shared_out(grams, pairs.select("key", "n", word.alias("word")), discount, parts), "shares")
         forget(counted)
         let_go(spark)
+        backs = written(shares.where("n = 0").select(F.col("after").alias("key"), F.log10("rest").alias("back")), "backoffs")
+        triples = written(_backed_off(shares, pairs.select("key", "cost"), parts).drop("cost"), "triples")
+        forget(shares)
+        let_go(spark)
 
-        self.words = words.select("word", F.col("back").alias("word_back"))
-        self.repeated = {2: _bits(pairs, 2), 3: _bits(triples, 3)}
-        arrays = self._frequent(words, pairs, triples)
-        two, three = [F.col(c) for c in "ab"], [F.col(c) for c in "abc"]
-        weights = pairs.select(_key(two).alias("key"), (F.col("more") + F.col("back")).alias("weight"))
-        self.weights = written(weights.union(triples.select(_key(three), "more")), "weights")
-        forget(pairs, triples)
+        self.repeated = {2: _bits(pairs), 3: _bits(triples)}
+        arrays = self._frequent(words, pairs, backs, triples)
+        weights = pairs.select("key", F.col("more").alias("weight")).union(backs).union(triples.select("key", "more"))
+        self.weights = written(weights, "weights")
+        forget(pairs, backs, triples)
         let_go(spark)
-        sent = spark.sparkContext.broadcast(self.number)
-        self.numbers: Callable[[], dict[bytes, int]] = lambda: sent.value
         self.name = shared_file(spark, to_file(arrays), "backoff")
 
-    def _frequent(self, words: DataFrame, pairs: DataFrame, triples: DataFrame) -> dict[str, np.ndarray]:
+    def _frequent(self, words: DataFrame, pairs: DataFrame, backs: DataFrame, triples: DataFrame) -> dict[str, np.ndarray]:
         """The automaton of the most frequent n-grams and their words; costs and backoff weights are those of all."""
-        often = frequent(pairs, ARCS, ["a", "b"])
+        pairs = pairs.select("key", "n", "cost", _first(F.col("key"), F.col("after")).alias("a"), F.col("after").alias("b"))
+        often = frequent(pairs, ARCS, ["key"])
         brought = often.select("a").union(often.select("b")).distinct()
-        lexicon = words.join(brought, "a", "left_semi").union(frequent(words, LEXICON_WORDS, ["a"]))
-        lexicon = sorted({bytes(r.word): (r.a, r.cost, r.back) for r in lexicon.collect()}.items())
+        lexicon = words.join(brought, "a", "left_semi").union(frequent(words, LEXICON_WORDS, ["a"])).join(self.word_backs, "a", "left")
+        lexicon = sorted({bytes(r.word): (r.a, r.cost, r.back or 0.0) for r in lexicon.collect()}.items())
         self.number = {word: i for i, (word, _) in enumerate(lexicon)}
         hashes = np.array([x[0] for _, x in lexicon], dtype=np.int64)
         size = len(lexicon)
-        order = np.argsort(hashes)
+        numbers = _Places(hashes).find
 
-        def numbers(column: np.ndarray) -> np.ndarray:
-            place = np.minimum(np.searchsorted(hashes, column, sorter=order), max(size - 1, 0))
-            found = order[place] if size else np.zeros(len(column), np.int64)
-            return np.where(hashes[found] == column, found, -1) if size else found - 1
-
-        two = _numpy(often.select("a", "b", "cost", "back"))
+        two = _numpy(often.join(backs, "key", "left").select("key", "a", "b", "cost", F.coalesce("back", F.lit(0.0)).alias("back")))
         a, b = numbers(two["a"]), numbers(two["b"])
         keys = a + 1 << _WORD_BITS | b
         by_key = np.argsort(keys)
-        keys, ends = keys[by_key], b[by_key] + 1
-        three = _numpy(frequent(triples, ARCS, ["a", "b", "c"]).select("a", "b", "c", "cost"))
-        a, b, c = (numbers(three[x]) for x in "abc")
-
-        def pair(first: np.ndarray, last: np.ndarray) -> np.ndarray:
-            key = first + 1 << _WORD_BITS | last
-            place = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
-            return np.where((keys[place] == key) & (first >= 0) & (last >= 0), place, -1) if len(keys) else np.full(len(key), -1)
-
-        left, right = pair(a, b), pair(b, c)
+        keys, b, two = keys[by_key], b[by_key], {name: column[by_key] for name, column in two.items()}
+        ends = b + 1
+        three = _numpy(frequent(triples, ARCS, ["key"]).select("key", "after", "more"))
+        right = _Places(two["key"]).find(three["after"])
+        middle = np.append(a[by_key], -1)[right]
+        first, c = numbers(_first(three["key"], three["after"])), np.append(b, -1)[right]
+        left = np.where((first >= 0) & (middle >= 0), _Places(keys).find(first + 1 << _WORD_BITS | np.maximum(middle, 0)), -1)
         whole = (left >= 0) & (right >= 0)
         states = size + 1 + left[whole]
         triple_keys = states << _WORD_BITS | c[whole]
+        costs = three["more"][whole] + two["back"][left[whole]] + two["cost"][right[whole]]
         by_triple = np.argsort(triple_keys)
         return {
             "keys": np.concatenate([np.arange(size, dtype=np.int64), keys, triple_keys[by_triple]]),
             "targets": np.concatenate([np.arange(size, dtype=np.int64) + 1, size + 1 + np.arange(len(keys)), size + 1 + right[whole][by_triple]]),
-            "costs": np.concatenate([np.array([x[1] for _, x in lexicon], dtype=np.float64), two["cost"][by_key], three["cost"][whole][by_triple]]),
+            "costs": np.concatenate([np.array([x[1] for _, x in lexicon], dtype=np.float64), two["cost"], costs[by_triple]]),
             "fails": np.concatenate([np.zeros(size + 1, dtype=np.int64), ends]),
-            "backoffs": np.concatenate([[0.0], np.array([x[2] for _, x in lexicon], dtype=np.float64), two["back"][by_key]]),
+            "backoffs": np.concatenate([[0.0], np.array([x[2] for _, x in lexicon], dtype=np.float64), two["back"]]),
             "hashes": hashes,
         }
 
 
+def _looked_up(asked: DataFrame, known: DataFrame) -> DataFrame:
+    """(row, hits, ...): per row of ``asked`` (row, keys) how many of its keys ``known`` (key, ...) has, and the sums over
+    these of the other columns, which are doubles; rows without any are left out. Rows of ``known`` with the same key add up.
+
+    Keys of both sides are dealt to the same parts, sorted and packed, and looked up by one task each; what it finds
+    for a row goes, packed with that of the rows around it, to the task that adds up these rows.
+    """
+    names = [c for c in known.columns if c != "key"]
+    parts = max(shuffle_tasks(known.sparkSession), known.count() // _PART)
+    edges = _edges(parts)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            base = min((int(rows.min()) for _, rows in held if len(rows)), default=0)
+            yield from _packets(edges, [[keys, rows - base] for keys, rows in held], base)
+
+        for batch in batches:
+            lengths = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            rows = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), lengths)
+            held.append([pc.list_flatten(batch.column(1)).to_numpy(zero_copy_only=False), rows])
+            if sum(len(h[0]) for h in held) > _FLUSH_GRAMS:
+                yield from flushed()
+                held = []
+        if held:
+            yield from flushed()
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, tuple[list, list]] = {}
+        for batch in batches:
+            for part, base, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                tables, questions = found.setdefault(part, ([], []))
+                (tables if base is None else questions).append((base, packed))
+        for part in list(found):
+            tables, questions = found.pop(part)
+            keys, *columns = _sorted(part, [packed for _, packed in tables], edges, 1 + len(names))
+            if not len(keys):
+                continue
+            new = np.append(True, keys[1:] != keys[:-1])
+            columns = [np.add.reduceat(c.view(np.float64), np.flatnonzero(new)) for c in columns]
+            keys = keys[new]
+            for base, packed in questions:
+                wanted, rows = _taken(part, packed, edges)
+                place, hit = _places(keys, wanted)
+                if hit.any():
+                    answers = _packed(rows[hit], *(c[place[hit]] for c in columns))
+                    yield pa.RecordBatch.from_pydict({"base": pa.array([base], pa.int64()), "packed": [answers]})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list] = {}
+        for batch in batches:
+            for base, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found.setdefault(base, []).append(packed)
+        for base in list(found):
+            rows, *columns = (np.concatenate(c) for c in zip(*map(_unpacked, found.pop(base)), strict=True))
+            rows = rows.astype(np.int64)
+            if rows.max() > 4 * len(rows) + _FLUSH_WORDS:
+                own, rows = np.unique(rows, return_inverse=True)
+            else:
+                own = np.arange(rows.max() + 1)
+            hits = np.bincount(rows)
+            sums = [np.bincount(rows, c.view(np.float64))[hits > 0] for c in columns]
+            arrays = [own[hits > 0] + base, hits[hits > 0], *sums]
+            yield from pa.table([pa.array(x) for x in arrays], names=["row", "hits", *names]).to_batches(1 << 16)
+
+    both = asked.mapInArrow(ask, _PACKETS).union(_sent(known.select("key", *names), edges, None))
+    answers = both.repartitionById(parts, F.col("part")).mapInArrow(look, "base long, packed binary")
+    return answers.repartition(parts, "base").mapInArrow(add, ", ".join(["row long, hits long", *(f"{x} double" for x in names)]))
+
+
 def _weighed(walked: DataFrame, weights: DataFrame) -> DataFrame:
     """(row, weight): per row the sum of the weights of its keys that the tables hold.
 
-    Keys are joined in ``KEY_SLICES`` slices by their value, each summed by row and written before the next, so
+    Keys are looked up in ``KEY_SLICES`` slices by their value, each summed by row and written before the next, so
     the shuffle files of one slice only are on disk at a time; every key is in exactly one slice.
     """
     spark = walked.sparkSession
     sums = []
     for k in range(KEY_SLICES):
-        mine = F.pmod(F.col("key"), F.lit(KEY_SLICES)) == k
-        keys = walked.select("row", F.explode("keys").alias("key")).where(mine)
-        found = keys.join(weights.where(mine), "key").groupBy("row").agg(F.sum("weight").alias("weight"))
-        sums.append(written(found, "weighed"))
+
+        def mine(batches: Iterator[pa.RecordBatch], k: int = k) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                lists = batch.column(1)
+                lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                keys = pc.list_flatten(lists).to_numpy(zero_copy_only=False)
+                good = keys % KEY_SLICES == k
+                offsets = np.concatenate([[0], np.cumsum(good)])[np.concatenate([[0], np.cumsum(lengths)])].astype(np.int32)
+                own = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[good]))
+                yield pa.RecordBatch.from_arrays([batch.column(0), own], names=["row", "keys"])
+
+        keys = walked.select("row", "keys").mapInArrow(mine, "row long, keys array<long>")
+        found = _looked_up(keys, weights.where(F.pmod(F.col("key"), F.lit(KEY_SLICES)) == k))
+        sums.append(written(found.select("row", "weight"), "weighed"))
         let_go(spark)
     return reduce(DataFrame.union, sums)
 
 
+def _lists(flat: np.ndarray, owner: np.ndarray, n: int) -> pa.Array:
+    """For each of ``n`` texts the numbers of ``flat`` that it owns; owners are in order."""
+    offsets = np.searchsorted(owner, np.arange(n + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+
 def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every text of ``docs``."""
-    numbers, name, order, outcomes, repeated = model.numbers, model.name, model.order, model.outcomes, model.repeated
-    size = len(model.number)
+    name, order, repeated = model.name, model.order, model.repeated
+    size, unseen = len(model.number), -math.log10(model.outcomes)
 
-    def others(automaton: Automaton, sizes: np.ndarray, ids: np.ndarray, hashes: np.ndarray) -> pa.Array:
+    def others(automaton: Automaton, owner: np.ndarray, sizes: np.ndarray, ids: np.ndarray, hashes: np.ndarray) -> pa.Array:
         """For each text the keys of n-grams that the automaton lacks and the tables may have."""
         places, keys = [], []
         state, found = ids + 1, ids >= 0  # the states of histories, by arcs alone
@@ -413,86 +781,67 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
             at = _starts(sizes, k)
             place, hit = automaton.arc(state[at], ids[at + k - 1])
             hit &= found[at]
-            words = [hashes[at + i] for i in range(k)]
-            lacking = ~hit & _may_be(repeated[k].value, words)
+            key = _key([hashes[at + i] for i in range(k)])
+            lacking = ~hit & _may_be(repeated[k].value, key)
             places.append(at[lacking])
-            keys.append(_key([w[lacking] for w in words]))
+            keys.append(key[lacking])
             state, found = np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
             found[at] = hit
             if k < order and len(automaton.targets):
                 state[at] = np.where(hit, automaton.targets[place], 0)
         place, key = np.concatenate(places), np.concatenate(keys)
         by_place = np.argsort(place, kind="stable")
-        offsets = np.searchsorted(place[by_place], np.concatenate([[0], np.cumsum(sizes)])).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(key[by_place]))
+        return _lists(key[by_place], owner[place[by_place]], len(sizes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, automaton = numbers(), _opened(name)
-        alone = np.asarray(automaton.costs[:size])  # the root's arcs have the smallest keys
-        hashed = _Hashes()
+        automaton = _opened(name)
+        alone = np.append(automaton.costs[:size], 0.0)  # the root's arcs have the smallest keys
         row = TaskContext.get().partitionId() << 40
         for batch in (piece for batch in batches for piece in slices(batch, 1, _SLICE)):
-            tokens, hashes, known, base, rare, times = [], [], [], [], [], []
-            for text in batch.column(1):
-                words = words_of(text.as_py())
-                ids = np.array([number.get(w, -1) for w in words], dtype=np.int64)
-                unknown = np.flatnonzero(ids < 0)
-                digests = np.asarray(automaton.hashes[ids]) if size else np.zeros(len(ids), np.int64)
-                digests[unknown] = [hashed[words[i]] for i in unknown.tolist()]
-                missing = Counter([words[i] for i in unknown.tolist()])
-                tokens.append(ids)
-                hashes.append(digests)
-                known.append(int((ids >= 0).sum()))
-                base.append(float(alone[ids[ids >= 0]].sum()))
-                rare.append(list(missing))
-                times.append(list(missing.values()))
-            n = len(tokens)
-            sizes = np.array([len(t) for t in tokens], dtype=np.int64)
+            n = batch.num_rows
+            hashes, sizes = _tokens(batch.column(1))
+            owner = np.repeat(np.arange(n), sizes)
+            ids = automaton.words.find(hashes)
+            unknown = np.flatnonzero(ids < 0)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(row, row + n)),
                     batch.column(0),
                     pa.array(sizes),
-                    pa.array(known, pa.int64()),
-                    pa.array(base, pa.float64()),
-                    pa.array(automaton.read(tokens, order), pa.float64()),
-                    pa.array(rare, pa.list_(pa.binary())),
-                    pa.array(times, pa.list_(pa.int64())),
-                    others(automaton, sizes, np.concatenate(tokens), np.concatenate(hashes)),
+                    pa.array(np.bincount(owner[ids >= 0], minlength=n)),
+                    pa.array(np.bincount(owner, alone[ids], n)),
+                    pa.array(automaton.read(ids, sizes, order), pa.float64()),
+                    _lists(hashes[unknown], owner[unknown], n),
+                    others(automaton, owner, sizes, ids, hashes),
                 ],
-                names=["row", "doc_id", "n_tokens", "known", "base", "walk", "rare", "times", "keys"],
+                names=["row", "doc_id", "n_tokens", "known", "base", "walk", "rare", "keys"],
             )
             row += n
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     schema = (
         "row long, doc_id long, n_tokens long, known long, base double, walk double, "
-        "rare array<binary>, times array<long>, keys array<long>"
+        "rare array<long>, keys array<long>"
     )
     walked = written(rows.mapInArrow(run, schema), "walked")
     let_go(docs.sparkSession)
-    rare = walked.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(
-        "row", F.col("w.rare").alias("word"), F.col("w.times").alias("times")
-    )
-    counted = rare.join(model.counts.join(model.words, "word", "left"), "word", "left")
+    none = F.lit(0.0)
+    costs = model.counts.select(F.col("a").alias("key"), "cost", none.alias("back")).union(model.word_backs.select("a", none, "back"))
+    rare = _looked_up(walked.select("row", F.col("rare").alias("keys")), costs)
+    rare = written(rare, "rare")
+    let_go(docs.sparkSession)
     weighed = _weighed(walked, model.weights)
-    parts = counted.select(
-        "row",
-        F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("known_part"),
-        (F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(outcomes)))).alias("base_part"),
-        (F.col("times") * F.coalesce("word_back", F.lit(0.0))).alias("walk_part"),
-    ).union(weighed.select("row", F.lit(0).cast("long"), F.lit(0.0), "weight"))
-    more = parts.groupBy("row").agg(
-        F.sum("known_part").alias("more_known"), F.sum("base_part").alias("more"), F.sum("walk_part").alias("more_walk")
-    )
-    done = walked.drop("rare", "times", "keys").join(more, "row", "left")
-    rest = F.coalesce("more", F.lit(0.0))
+    parts = rare.union(weighed.select("row", F.lit(0).cast("long"), none, "weight"))
+    more = parts.groupBy("row").agg(F.sum("hits").alias("hits"), F.sum("cost").alias("more"), F.sum("back").alias("more_walk"))
+    done = walked.drop("rare", "keys").join(more, "row", "left")
+    known = F.col("known") + F.coalesce("hits", F.lit(0))
+    rest = F.coalesce("more", none) + (F.col("n_tokens") - known) * F.lit(unseen)
     return done.select(
         "doc_id",
         "n_tokens",
-        (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        known.alias("n_known"),
         (F.col("base") + rest).alias("base_score"),
-        (F.col("walk") + rest + F.coalesce("more_walk", F.lit(0.0))).alias("score"),
+        (F.col("walk") + rest + F.coalesce("more_walk", none)).alias("score"),
     )
 
 

@@ -30,7 +30,9 @@ scored each. Over an empty table the result is empty; with nothing to learn from
 
 from __future__ import annotations
 
+import gc
 import math
+import time
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -81,8 +83,18 @@ def words_of(text: str) -> list[bytes]:
     return [*text.encode("utf-8").lower().split(), END]
 
 
-_FOLDED = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
-_SPACE = np.array([bytes([i]).isspace() for i in range(256)])
+def _give_back(spark: SparkSession) -> None:
+    """Remove shuffle files of steps that are over: ``let_go``, once nothing in Python refers to their tables, and again
+    when the listeners have handled the steps' ends, which refer to them too."""
+    gc.collect()
+    for _ in range(2):
+        time.sleep(0.3)
+        let_go(spark)
+
+
+_SPACE = ord(" ")
+#: Bytes in lower case, all white space as one.
+_FOLDED = bytes(_SPACE if bytes([i]).isspace() else i for i in bytes(range(256)).lower())
 #: Keeps so many of eight bytes.
 _MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], dtype=np.uint64)
 #: Longer words are hashed one by one.
@@ -124,15 +136,15 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     offsets = np.frombuffer(offsets, kind, n + 1, kind.itemsize * texts.offset).astype(np.int64) if n else np.zeros(1, np.int64)
     data = np.frombuffer(data, np.uint8, offsets[-1] - offsets[0], offsets[0]) if offsets[-1] else np.zeros(0, np.uint8)
     offsets = offsets - offsets[0]
-    word = ~_SPACE[data]
+    data = np.frombuffer(data.tobytes().translate(_FOLDED) + bytes(8), np.uint8)
+    word = data[:-8] != _SPACE
     first, last = word.copy(), word.copy()
     first[1:] &= ~word[:-1]
     last[:-1] &= ~word[1:]
-    edges = offsets[(offsets > 0) & (offsets < len(data))]
+    edges = offsets[(offsets > 0) & (offsets < len(word))]
     first[edges], last[edges - 1] = word[edges], word[edges - 1]
     starts = np.flatnonzero(first)
     lengths = np.flatnonzero(last) + 1 - starts
-    data = np.concatenate([_FOLDED[data], np.zeros(8, np.uint8)])
     return data, starts, lengths, np.diff(np.searchsorted(starts, offsets))
 
 
@@ -165,7 +177,7 @@ def token_counts(texts: DataFrame) -> DataFrame:
             for piece in slices(batch, 0, _SLICE):
                 data, starts, lengths, counts = _words(piece.column(0))
                 offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-                text = data[:-8][~_SPACE[data[:-8]]]
+                text = data[:-8][data[:-8] != _SPACE]
                 parts.append(pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(text)]))
                 held, ends = held + len(starts), ends + len(counts)
                 if held > _FLUSH_WORDS:
@@ -221,27 +233,33 @@ class Automaton:
 
     def arc(self, states: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of the arc that reads each word in its state, and whether there is one."""
-        place = self.arcs.find(states << _WORD_BITS | np.maximum(words, 0))
-        found = (place >= 0) & (words >= 0)
-        return np.maximum(place, 0), found
+        place = np.where(states == 0, words, -1)  # the root's arcs come first, in order of words
+        others = np.flatnonzero((states != 0) & (words >= 0))
+        place[others] = self.arcs.find(states[others] << _WORD_BITS | words[others])
+        return np.maximum(place, 0), place >= 0
 
     def step(self, states: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The states after reading a word each, and the log probabilities met on the way."""
-        states, costs = states.copy(), np.zeros(len(states))
+        return self._step(states, words)[:2]
+
+    def _step(self, states: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``step``, and the order of the n-gram whose arc was taken, 0 if there was none."""
+        states, costs, orders = states.copy(), np.zeros(len(states)), np.zeros(len(states), np.int8)
         open_ = np.arange(len(states))
         while len(open_):
             place, found = self.arc(states[open_], words[open_])
             taken = open_[found]
             costs[taken] += self.costs[place[found]]
+            orders[taken] = 1 + (states[taken] > 0) + (states[taken] > len(self.hashes))
             states[taken] = self.targets[place[found]]
             open_ = open_[~found]
             open_ = open_[states[open_] != 0]  # words without an arc at the root end there
             costs[open_] += self.backoffs[states[open_]]
             states[open_] = self.fails[states[open_]]
-        return states, costs
+        return states, costs, orders
 
-    def read(self, flat: np.ndarray, sizes: np.ndarray, order: int) -> np.ndarray:
-        """The summed log probability of each of the texts of ``sizes`` tokens that stand in ``flat``."""
+    def read(self, flat: np.ndarray, sizes: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+        """The summed log probability of each of the texts of ``sizes`` tokens that stand in ``flat``, and the order of each arc."""
         bases = np.cumsum(sizes) - sizes
         pieces = -(-sizes // STRETCH)
         owner = np.repeat(np.arange(len(sizes)), pieces)
@@ -252,13 +270,18 @@ class Automaton:
         lanes = np.argsort(-length, kind="stable")
         begin, length, early, owner = begin[lanes], length[lanes], early[lanes], owner[lanes]
         states, totals = np.zeros(len(lanes), dtype=np.int64), np.zeros(len(lanes))
-        active = len(lanes)
+        active, orders = len(lanes), np.zeros(len(flat), np.int8)
         for at in range(int(length[0]) if active else 0):
             while length[active - 1] <= at:
                 active -= 1
-            states[:active], costs = self.step(states[:active], flat[begin[:active] + at])
-            totals[:active] += np.where(at >= early[:active], costs, 0.0)
-        return np.bincount(owner, totals, len(sizes)) if len(sizes) else np.zeros(0)
+            places = begin[:active] + at
+            states[:active], costs, taken = self._step(states[:active], flat[places])
+            if at < order:
+                own = at >= early[:active]
+                places, costs, taken = places[own], np.where(own, costs, 0.0), taken[own]
+            totals[:active] += costs
+            orders[places] = taken
+        return np.bincount(owner, totals, len(sizes)) if len(sizes) else np.zeros(0), orders
 
 
 _AUTOMATA: dict[str, Automaton] = {}
@@ -360,9 +383,21 @@ def _taken(part: int, packed: bytes, edges: np.ndarray) -> list[np.ndarray]:
     return [edges[part] + np.cumsum(steps, dtype=np.uint64), *columns]
 
 
+def _order(keys: np.ndarray) -> np.ndarray:
+    """As np.argsort of unsigned ``keys``, several times as fast on keys that are hashes: places stand in their low bits."""
+    bits = np.uint64(len(keys).bit_length())
+    order = keys >> bits << bits | np.arange(len(keys), dtype=np.uint64)
+    order.sort()
+    order = (order & (np.uint64(1) << bits) - np.uint64(1)).astype(np.int64)
+    found = keys[order]
+    if (found[1:] < found[:-1]).any():  # keys that differ in the low bits only
+        order = order[np.argsort(found, kind="stable")]
+    return order
+
+
 def _summed(keys: np.ndarray, left: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows (keys, left) in order of keys, once each, with the sum of ``n``, or how often they stand there."""
-    order = np.argsort(keys)
+    order = _order(keys)
     if ((keys[order[1:]] == keys[order[:-1]]) & (left[order[1:]] != left[order[:-1]])).any():
         order = np.lexsort((left, keys))
     keys, left = keys[order], left[order]
@@ -378,10 +413,10 @@ def _none(names: int) -> list[np.ndarray]:
 
 
 def gram_counts(texts: DataFrame, shorter: Broadcast, order: int, parts: int) -> DataFrame:
-    """(key, first, n, once, twice) of n-grams of ``order`` that occur at least twice.
+    """(part, grams, once, twice): for each part its n-grams of ``order`` that occur at least twice, packed (key, first, n).
 
     ``key`` is that of the n-gram and ``first`` that of all its words but the last.
-    Rows without a key have the numbers of n-grams that occur once and twice.
+    Rows without a part have the numbers of n-grams that occur once and twice.
 
     ``shorter`` has the bits of the next shorter n-grams that occur at least twice: an n-gram with another part
     occurs once, and is counted in its task without being dealt out. The others are dealt by key to ``parts`` parts,
@@ -427,36 +462,39 @@ def gram_counts(texts: DataFrame, shorter: Broadcast, order: int, parts: int) ->
             rows = [_taken(part, packed, edges) for packed in found.pop(part)]
             keys, first, n = _summed(*(np.concatenate(c) for c in zip(*rows, strict=True)))
             del rows
-            n = n.astype(np.int64)
             once, twice, kept = once + int((n == 1).sum()), twice + int((n == 2).sum()), n > 1
-            arrays = [pa.array(x) for x in (keys[kept].view(np.int64), first[kept].view(np.int64), n[kept])]
-            yield from pa.table([*arrays, *[pa.nulls(len(arrays[0]), pa.int64())] * 2], names=names).to_batches(1 << 16)
-        counts = [pa.array([x], pa.int64()) for x in (None, None, None, once, twice)]
-        yield pa.RecordBatch.from_arrays(counts, names=names)
+            for _, packed in _dealt(keys[kept], edges, first[kept], n[kept]):
+                yield made(part, packed, None, None)
+        yield made(None, None, once, twice)
 
-    names = ["key", "first", "n", "once", "twice"]
+    def made(part: int | None, packed: bytes | None, once: int | None, twice: int | None) -> pa.RecordBatch:
+        counts = [pa.array([x], pa.int64()) for x in (once, twice)]
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([packed], pa.binary()), *counts], names=names)
+
+    names = ["part", "grams", "once", "twice"]
     dealt = texts.mapInArrow(deal, "part int, once long, grams binary")
-    return dealt.repartitionById(parts, F.col("part")).mapInArrow(gather, ", ".join(f"{x} long" for x in names))
+    return dealt.repartitionById(parts, F.col("part")).mapInArrow(gather, "part int, grams binary, once long, twice long")
 
 
 def repeated_grams(texts: DataFrame, shorter: Broadcast, order: int, parts: int) -> tuple[DataFrame, float]:
-    """(key, first, n) of the n-grams of ``order`` that occur at least twice, written, and what is taken from each n.
+    """(part, grams) of the n-grams of ``order`` that occur at least twice, written, and what is taken from each n.
 
     Those that occur once or twice are counted as the others are written, in the write's last stage.
     """
     observed = Observation()
     counted = gram_counts(texts, shorter, order, parts)
     counted = counted.observe(observed, F.sum("once").alias("once"), F.sum("twice").alias("twice"))
-    kept = written(counted.where("key IS NOT NULL").select("key", "first", "n"), "gram-counts")
+    kept = written(counted.where("part IS NOT NULL").select("part", "grams"), "gram-counts")
     once, twice = int(observed.get["once"] or 0), int(observed.get["twice"] or 0)
-    let_go(texts.sparkSession)
+    del counted, observed
+    _give_back(texts.sparkSession)
     return kept, once / max(once + 2 * twice, 1) or 0.5
 
 
 def _packets(edges: np.ndarray, held: list[list[np.ndarray]], base: int | None) -> Iterator[pa.RecordBatch]:
     """Rows of a key and other 64-bit columns, packed for each part."""
     keys, *columns = (np.concatenate(c).view(np.uint64) for c in zip(*held, strict=True))
-    order = np.argsort(keys)
+    order = _order(keys)
     for part, packed in _dealt(keys[order], edges, *(c[order] for c in columns)):
         base_ = pa.array([base], pa.int64())
         yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "base": base_, "packed": [packed]})
@@ -465,13 +503,20 @@ def _packets(edges: np.ndarray, held: list[list[np.ndarray]], base: int | None)
 _PACKETS = "part int, base long, packed binary"
 
 
-def _sent(rows: DataFrame, edges: np.ndarray, base: int | None) -> DataFrame:
-    """``rows`` (key, ...) of 64-bit columns without NULL, as packets for the parts that hold their keys."""
+def _columns(batch: pa.RecordBatch) -> list[list[np.ndarray]]:
+    return [[c.to_numpy(zero_copy_only=False) for c in batch.columns]]
+
+
+def _sent(rows: DataFrame, edges: np.ndarray, base: int | None, columns: Callable = _columns) -> DataFrame:
+    """``rows`` (key, ...) of 64-bit columns without NULL, as packets for the parts that hold their keys.
+
+    ``columns`` gives the columns of a batch, in one or more pieces.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         for batch in batches:
-            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            held += columns(batch)
             if sum(len(h[0]) for h in held) > _FLUSH_GRAMS:
                 yield from _packets(edges, held, base)
                 held = []
@@ -485,7 +530,7 @@ def _sorted(part: int, packets: list[bytes], edges: np.ndarray, columns: int) ->
     """All rows of ``packets``, in order of their keys."""
     taken = [_none(columns), *(_taken(part, packed, edges) for packed in packets)]
     keys, *rest = (np.concatenate(c) for c in zip(*taken, strict=True))
-    order = np.argsort(keys)
+    order = _order(keys)
     return [keys[order], *(c[order] for c in rest)]
 
 
@@ -497,81 +542,65 @@ def _places(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return place, keys[place] == wanted
 
 
-def _met(rows: DataFrame, others: DataFrame, parts: int, join: Callable[[list, list], dict[str, np.ndarray]], schema: str) -> DataFrame:
-    """What ``join`` makes of the columns of ``rows`` (key, ...) and those of ``others`` (key, ...) with the same keys.
+def _gathered(batches: Iterator[pa.RecordBatch], edges: np.ndarray, *sizes: int) -> Iterator[list[list[np.ndarray]]]:
+    """For each part the rows of its packets, by the sides that these name as their base, which have ``sizes`` columns."""
+    found: dict[int, list[list[bytes]]] = {}
+    for batch in batches:
+        for part, side, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            found.setdefault(part, [[] for _ in sizes])[side].append(packed)
+    for part in list(found):
+        yield [_sorted(part, packets, edges, n) for packets, n in zip(found.pop(part), sizes, strict=True)]
 
-    All columns are 64-bit numbers without NULL, which ``join`` gets as unsigned ones, in order of keys. Both sides
-    are dealt by key, sorted and packed, so a shuffle holds few bytes more than the numbers need.
-    """
-    edges, names = _edges(parts), [x.split()[0] for x in schema.split(", ")]
-    sizes = len(rows.columns), len(others.columns)
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, tuple[list, list]] = {}
-        for batch in batches:
-            for part, side, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found.setdefault(part, ([], []))[side].append(packed)
-        for part in list(found):
-            sides = [_sorted(part, packets, edges, n) for packets, n in zip(found.pop(part), sizes, strict=True)]
-            made = join(*sides)
-            yield from pa.table([pa.array(made[x]) for x in names], names=names).to_batches(1 << 16)
 
-    both = _sent(rows, edges, 0).union(_sent(others, edges, 1))
-    return both.repartitionById(parts, F.col("part")).mapInArrow(gather, schema)
+def _weights(counted: DataFrame, histories: DataFrame, shorter: DataFrame, discount: float, parts: int) -> DataFrame:
+    """(key, after, n, more, cost) of the n-grams of ``counted``, and rows with n = 0, a history as key and its backoff weight as more.
 
+    ``histories`` are (history, n, word), word being its first one, and ``shorter`` (key, cost) those n-grams that
+    are left without the first word, ``after`` being their key. ``cost`` is the log probability, and ``more`` what it is over that of
+    the shorter n-gram with the history's backoff weight.
 
-def _shared_out(grams: DataFrame, histories: DataFrame, discount: float, parts: int) -> DataFrame:
-    """(key, after, n, share, rest) of ``grams`` (history, key, n), ``histories`` being (history, n, word), word its first.
-
-    ``after`` is the key of the n-gram's words but the first, ``rest`` what the kept followers of the history leave
-    to the shorter one, and ``share`` the part of the history's followers that the n-gram is, over ``rest``. A row without n has in
-    ``after`` a history and its rest.
+    N-grams meet their history first, which gives what its kept followers leave, and the shorter n-gram then. Each time
+    both sides are dealt by key, sorted and packed, so a shuffle holds few bytes more than the numbers need.
     """
+    edges = _edges(parts)
 
-    def join(rows: list[np.ndarray], others: list[np.ndarray]) -> dict[str, np.ndarray]:
-        place, hit = _places(others[0], rows[0])
-        history, key, n, place = *(c[hit] for c in rows), place[hit]
-        new = np.ones(len(history), dtype=bool)
-        new[1:] = history[1:] != history[:-1]
-        first = np.flatnonzero(new)
-        spent = np.add.reduceat(n - discount, first) if len(first) else np.zeros(0)
-        rest = np.maximum(1.0 - spent / others[1][place[first]], 1e-12)
-        own = np.repeat(rest, np.diff(first, append=len(history)))
-        after = _turned((key ^ others[2][place]).view(np.int64), 64 - _TURN)
-        none = np.zeros(len(first), np.int64)
-        return {
-            "key": np.concatenate([key.view(np.int64), none]),
-            "after": np.concatenate([after, history[first].view(np.int64)]),
-            "n": np.concatenate([n.view(np.int64), none]),
-            "share": np.concatenate([(n - discount) / others[1][place] / own, np.zeros(len(first))]),
-            "rest": np.concatenate([own, rest]),
-        }
-
-    schema = "key long, after long, n long, share double, rest double"
-    return _met(grams, histories, parts, join, schema)
-
-
-def _backed_off(shares: DataFrame, shorter: DataFrame, parts: int) -> DataFrame:
-    """(key, after, n, more, cost) of the rows of ``shares`` that have n, ``shorter`` being (key, cost) of what is behind the first word.
-
-    ``cost`` is the log probability, and ``more`` what it is over that of the shorter n-gram with the history's backoff weight.
-    """
+    def grams(batch: pa.RecordBatch) -> list[list[np.ndarray]]:
+        taken = (_taken(part, packed, edges) for part, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        return [[first, keys, n] for keys, first, n in taken]
 
-    def join(rows: list[np.ndarray], others: list[np.ndarray]) -> dict[str, np.ndarray]:
-        place, hit = _places(others[0], rows[0])
-        after, key, n, share, rest = (c[hit] for c in rows)
-        base = others[1].view(np.float64)[place[hit]]
-        more = np.log10(share.view(np.float64) / 10.0**base + 1.0)
-        return {
-            "key": key.view(np.int64),
-            "after": after.view(np.int64),
-            "n": n.view(np.int64),
-            "more": more,
-            "cost": more + np.log10(rest.view(np.float64)) + base,
-        }
-
-    rows = shares.where("n > 0").select("after", "key", "n", "share", "rest")
-    return _met(rows, shorter, parts, join, "key long, after long, n long, more double, cost double")
+    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, (known, times, words) in _gathered(batches, edges, 3, 3):
+            place, hit = _places(known, rows[0])
+            history, keys, n, place = *(c[hit] for c in rows), place[hit]
+            if not len(keys):
+                continue
+            first = np.flatnonzero(np.append(True, history[1:] != history[:-1]))
+            spent = np.add.reduceat(n - discount, first)
+            rest = np.maximum(1.0 - spent / times[place[first]], 1e-12)
+            own = np.repeat(rest, np.diff(first, append=len(history)))
+            after = _turned((keys ^ words[place]).view(np.int64), 64 - _TURN)
+            yield from _packets(edges, [[after, keys, n, (n - discount) / times[place] / own, own]], 0)
+            yield from _packets(edges, [[history[first], rest]], 2)
+
+    def back_off(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, (known, costs), (history, left) in _gathered(batches, edges, 5, 2, 2):
+            place, hit = _places(known, rows[0])
+            after, keys, n, shares, rest = (c[hit] for c in rows)
+            base = costs.view(np.float64)[place[hit]]
+            more, none = np.log10(shares.view(np.float64) / 10.0**base + 1.0), np.zeros(len(history), np.int64)
+            columns = {
+                "key": np.concatenate([keys, history]).view(np.int64),
+                "after": np.concatenate([after.view(np.int64), none]),
+                "n": np.concatenate([n.view(np.int64), none]),
+                "more": np.concatenate([more, np.log10(left.view(np.float64))]),
+                "cost": np.concatenate([more + np.log10(rest.view(np.float64)) + base, none]),
+            }
+            yield from pa.table(columns).to_batches(1 << 16)
+
+    both = _sent(counted, edges, 0, grams).union(_sent(histories, edges, 1))
+    shares = both.repartitionById(parts, F.col("part")).mapInArrow(share, _PACKETS)
+    both = shares.union(_sent(shorter, edges, 1))
+    return both.repartitionById(parts, F.col("part")).mapInArrow(back_off, "key long, after long, n long, more double, cost double")
 
 
 def _first(key: np.ndarray | Column, after: np.ndarray | Column) -> np.ndarray | Column:
@@ -599,31 +628,29 @@ class LanguageModel:
         words = self.counts.where("n > 1")
 
         counted, discount = repeated_grams(texts, _bits(words.select("a")), 2, parts)
-        grams = counted.select("first", "key", "n")
-        shares = written(_shared_out(grams, words.select("a", "n", F.col("a").alias("word")), discount, parts), "shares")
+        weighted_pairs = _weights(counted, words.select("a", "n", F.col("a").alias("word")), words.select("a", "cost"), discount, parts)
+        weighted_pairs = written(weighted_pairs, "pairs")
         forget(counted)
-        let_go(spark)
-        self.word_backs = written(shares.where("n = 0").select(F.col("after").alias("a"), F.log10("rest").alias("back")), "backoffs")
-        pairs = written(_backed_off(shares, words.select("a", "cost"), parts), "pairs")
-        forget(shares)
-        let_go(spark)
+        _give_back(spark)
+        self.word_backs = weighted_pairs.where("n = 0").select(F.col("key").alias("a"), F.col("more").alias("back"))
+        pairs = weighted_pairs.where("n > 0")
 
         counted, discount = repeated_grams(texts, _bits(pairs), 3, parts)
-        grams, word = counted.select("first", "key", "n"), _first(F.col("key"), F.col("after"))
-        shares = written(_shared_out(grams, pairs.select("key", "n", word.alias("word")), discount, parts), "shares")
+        word = _first(F.col("key"), F.col("after"))
+        weighted_triples = _weights(counted, pairs.select("key", "n", word.alias("word")), pairs.select("key", "cost"), discount, parts)
+        weighted_triples = written(weighted_triples.drop("cost"), "triples")
         forget(counted)
-        let_go(spark)
-        backs = written(shares.where("n = 0").select(F.col("after").alias("key"), F.log10("rest").alias("back")), "backoffs")
-        triples = written(_backed_off(shares, pairs.select("key", "cost"), parts).drop("cost"), "triples")
-        forget(shares)
-        let_go(spark)
+        _give_back(spark)
+        backs = weighted_triples.where("n = 0").select("key", F.col("more").alias("back"))
+        triples = weighted_triples.where("n > 0")
 
         self.repeated = {2: _bits(pairs), 3: _bits(triples)}
         arrays = self._frequent(words, pairs, backs, triples)
-        weights = pairs.select("key", F.col("more").alias("weight")).union(backs).union(triples.select("key", "more"))
+        weights = pairs.select("key", F.col("more").alias("weight")).union(weighted_triples.select("key", "more"))
         self.weights = written(weights, "weights")
-        forget(pairs, backs, triples)
-        let_go(spark)
+        self.word_backs = written(self.word_backs, "backoffs")
+        forget(weighted_pairs, weighted_triples)
+        _give_back(spark)
         self.name = shared_file(spark, to_file(arrays), "backoff")
 
     def _frequent(self, words: DataFrame, pairs: DataFrame, backs: DataFrame, triples: DataFrame) -> dict[str, np.ndarray]:
@@ -632,10 +659,10 @@ class LanguageModel:
         often = frequent(pairs, ARCS, ["key"])
         brought = often.select("a").union(often.select("b")).distinct()
         lexicon = words.join(brought, "a", "left_semi").union(frequent(words, LEXICON_WORDS, ["a"])).join(self.word_backs, "a", "left")
-        lexicon = sorted({bytes(r.word): (r.a, r.cost, r.back or 0.0) for r in lexicon.collect()}.items())
-        self.number = {word: i for i, (word, _) in enumerate(lexicon)}
-        hashes = np.array([x[0] for _, x in lexicon], dtype=np.int64)
-        size = len(lexicon)
+        lexicon = lexicon.select("word", "a", "cost", F.coalesce("back", F.lit(0.0)).alias("back")).distinct().toArrow()
+        self.number = {word: i for i, word in enumerate(lexicon.column("word").to_pylist())}
+        hashes, costs_of_words, backs_of_words = (lexicon.column(c).to_numpy() for c in ("a", "cost", "back"))
+        size = len(hashes)
         numbers = _Places(hashes).find
 
         two = _numpy(often.join(backs, "key", "left").select("key", "a", "b", "cost", F.coalesce("back", F.lit(0.0)).alias("back")))
@@ -657,13 +684,31 @@ class LanguageModel:
         return {
             "keys": np.concatenate([np.arange(size, dtype=np.int64), keys, triple_keys[by_triple]]),
             "targets": np.concatenate([np.arange(size, dtype=np.int64) + 1, size + 1 + np.arange(len(keys)), size + 1 + right[whole][by_triple]]),
-            "costs": np.concatenate([np.array([x[1] for _, x in lexicon], dtype=np.float64), two["cost"], costs[by_triple]]),
+            "costs": np.concatenate([costs_of_words, two["cost"], costs[by_triple]]),
             "fails": np.concatenate([np.zeros(size + 1, dtype=np.int64), ends]),
-            "backoffs": np.concatenate([[0.0], np.array([x[2] for _, x in lexicon], dtype=np.float64), two["back"]]),
+            "backoffs": np.concatenate([[0.0], backs_of_words, two["back"]]),
             "hashes": hashes,
         }
 
 
+def _bytes(flat: np.ndarray, owner: np.ndarray, n: int) -> pa.Array:
+    """For each of ``n`` owners the bytes of its numbers in ``flat``; ``owner`` is in order."""
+    ends = 8 * np.searchsorted(owner, np.arange(n + 1))
+    buffers = [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(flat))]
+    return pa.Array.from_buffers(pa.large_binary(), n, buffers).cast(pa.binary())
+
+
+def _keys_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of many rows, which have them in lists or as bytes, one row after the other, and how many each has."""
+    if pa.types.is_list(column.type):
+        lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+        return pc.list_flatten(column).to_numpy(zero_copy_only=False), lengths
+    _, offsets, data = column.cast(pa.large_binary()).buffers()
+    offsets = np.frombuffer(offsets, np.int64, len(column) + 1, 8 * column.offset) if len(column) else np.zeros(1, np.int64)
+    size = int(offsets[-1] - offsets[0]) // 8
+    return np.frombuffer(data, np.int64, size, int(offsets[0])) if size else np.zeros(0, np.int64), np.diff(offsets) // 8
+
+
 def _looked_up(asked: DataFrame, known: DataFrame) -> DataFrame:
     """(row, hits, ...): per row of ``asked`` (row, keys) how many of its keys ``known`` (key, ...) has, and the sums over
     these of the other columns, which are doubles; rows without any are left out. Rows of ``known`` with the same key add up.
@@ -683,9 +728,8 @@ def _looked_up(asked: DataFrame, known: DataFrame) -> DataFrame:
             yield from _packets(edges, [[keys, rows - base] for keys, rows in held], base)
 
         for batch in batches:
-            lengths = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
-            rows = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), lengths)
-            held.append([pc.list_flatten(batch.column(1)).to_numpy(zero_copy_only=False), rows])
+            keys, lengths = _keys_of(batch.column(1))
+            held.append([keys, np.repeat(batch.column(0).to_numpy(zero_copy_only=False), lengths)])
             if sum(len(h[0]) for h in held) > _FLUSH_GRAMS:
                 yield from flushed()
                 held = []
@@ -739,59 +783,52 @@ def _weighed(walked: DataFrame, weights: DataFrame) -> DataFrame:
     """(row, weight): per row the sum of the weights of its keys that the tables hold.
 
     Keys are looked up in ``KEY_SLICES`` slices by their value, each summed by row and written before the next, so
-    the shuffle files of one slice only are on disk at a time; every key is in exactly one slice.
+    the shuffle files of one slice only are on disk at a time; every key is in exactly one slice. ``keys`` are lists of
+    numbers, or have the bytes of the numbers of each slice.
     """
-    spark = walked.sparkSession
+    spark, by_slice = walked.sparkSession, dict(walked.dtypes)["keys"] == "array<binary>"
     sums = []
     for k in range(KEY_SLICES):
 
         def mine(batches: Iterator[pa.RecordBatch], k: int = k) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                lists = batch.column(1)
-                lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-                keys = pc.list_flatten(lists).to_numpy(zero_copy_only=False)
+                keys, lengths = _keys_of(batch.column(1))
                 good = keys % KEY_SLICES == k
-                offsets = np.concatenate([[0], np.cumsum(good)])[np.concatenate([[0], np.cumsum(lengths)])].astype(np.int32)
-                own = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[good]))
+                own = _bytes(keys[good], np.repeat(np.arange(len(lengths)), lengths)[good], len(lengths))
                 yield pa.RecordBatch.from_arrays([batch.column(0), own], names=["row", "keys"])
 
-        keys = walked.select("row", "keys").mapInArrow(mine, "row long, keys array<long>")
+        if by_slice:
+            keys = walked.select("row", F.col("keys")[k].alias("keys"))
+        else:
+            keys = walked.select("row", "keys").mapInArrow(mine, "row long, keys binary")
         found = _looked_up(keys, weights.where(F.pmod(F.col("key"), F.lit(KEY_SLICES)) == k))
         sums.append(written(found.select("row", "weight"), "weighed"))
-        let_go(spark)
+        del keys, found
+        _give_back(spark)
     return reduce(DataFrame.union, sums)
 
 
-def _lists(flat: np.ndarray, owner: np.ndarray, n: int) -> pa.Array:
-    """For each of ``n`` texts the numbers of ``flat`` that it owns; owners are in order."""
-    offsets = np.searchsorted(owner, np.arange(n + 1)).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-
-
 def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every text of ``docs``."""
     name, order, repeated = model.name, model.order, model.repeated
     size, unseen = len(model.number), -math.log10(model.outcomes)
 
-    def others(automaton: Automaton, owner: np.ndarray, sizes: np.ndarray, ids: np.ndarray, hashes: np.ndarray) -> pa.Array:
-        """For each text the keys of n-grams that the automaton lacks and the tables may have."""
-        places, keys = [], []
-        state, found = ids + 1, ids >= 0  # the states of histories, by arcs alone
+    def others(taken: np.ndarray, owner: np.ndarray, sizes: np.ndarray, hashes: np.ndarray) -> pa.Array:
+        """For each text the keys, by slices, of n-grams that the automaton lacks and the tables may have."""
+        owners, keys = [], []
         for k in range(2, order + 1):
             at = _starts(sizes, k)
-            place, hit = automaton.arc(state[at], ids[at + k - 1])
-            hit &= found[at]
+            at = at[taken[at + k - 1] < k]
             key = _key([hashes[at + i] for i in range(k)])
-            lacking = ~hit & _may_be(repeated[k].value, key)
-            places.append(at[lacking])
-            keys.append(key[lacking])
-            state, found = np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
-            found[at] = hit
-            if k < order and len(automaton.targets):
-                state[at] = np.where(hit, automaton.targets[place], 0)
-        place, key = np.concatenate(places), np.concatenate(keys)
+            may_be = _may_be(repeated[k].value, key)
+            owners.append(owner[at[may_be]])
+            keys.append(key[may_be])
+        key, places = np.concatenate(keys), len(sizes) * KEY_SLICES
+        place = np.concatenate(owners) * KEY_SLICES + key % KEY_SLICES
+        place = place.astype(np.uint16 if places <= 1 << 16 else np.int64)  # sorted by digits if they are short
         by_place = np.argsort(place, kind="stable")
-        return _lists(key[by_place], owner[place[by_place]], len(sizes))
+        starts = np.arange(0, places + 1, KEY_SLICES, dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(starts), _bytes(key[by_place], place[by_place].astype(np.int64), places))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _opened(name)
@@ -803,6 +840,7 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
             owner = np.repeat(np.arange(n), sizes)
             ids = automaton.words.find(hashes)
             unknown = np.flatnonzero(ids < 0)
+            totals, taken = automaton.read(ids, sizes, order)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(row, row + n)),
@@ -810,9 +848,9 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
                     pa.array(sizes),
                     pa.array(np.bincount(owner[ids >= 0], minlength=n)),
                     pa.array(np.bincount(owner, alone[ids], n)),
-                    pa.array(automaton.read(ids, sizes, order), pa.float64()),
-                    _lists(hashes[unknown], owner[unknown], n),
-                    others(automaton, owner, sizes, ids, hashes),
+                    pa.array(totals, pa.float64()),
+                    _bytes(hashes[unknown], owner[unknown], n),
+                    others(taken, owner, sizes, hashes),
                 ],
                 names=["row", "doc_id", "n_tokens", "known", "base", "walk", "rare", "keys"],
             )
@@ -821,15 +859,15 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     schema = (
         "row long, doc_id long, n_tokens long, known long, base double, walk double, "
-        "rare array<long>, keys array<long>"
+        "rare binary, keys array<binary>"
     )
     walked = written(rows.mapInArrow(run, schema), "walked")
-    let_go(docs.sparkSession)
+    _give_back(docs.sparkSession)
     none = F.lit(0.0)
     costs = model.counts.select(F.col("a").alias("key"), "cost", none.alias("back")).union(model.word_backs.select("a", none, "back"))
     rare = _looked_up(walked.select("row", F.col("rare").alias("keys")), costs)
     rare = written(rare, "rare")
-    let_go(docs.sparkSession)
+    _give_back(docs.sparkSession)
     weighed = _weighed(walked, model.weights)
     parts = rare.union(weighed.select("row", F.lit(0).cast("long"), none, "weight"))
     more = parts.groupBy("row").agg(F.sum("hits").alias("hits"), F.sum("cost").alias("more"), F.sum("back").alias("more_walk"))

@@ -40,7 +40,7 @@ def test_rows_come_back_from_their_parts():
 
 def test_ngrams_are_dealt_in_packed_rows(spark):
     """op8 deals n-grams as a row for each part of a task, not as a row for each n-gram, and counts all of them."""
-    texts = [" ".join(f"w{i * j % 97}" for j in range(60)) for i in range(40)]
+    texts = [" ".join(f"w{i * j % 11}" for j in range(60)) + f" once{i} more" for i in range(40)]
     words = [scoring.words_of(t) for t in texts]
     rows = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(2)
     bits = spark.sparkContext.broadcast(np.full(scoring.FILTER_BITS >> 6, -1, dtype=np.int64))

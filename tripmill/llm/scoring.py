@@ -20,9 +20,12 @@ of an n-gram less that of the same word after the shorter history, and less the
 history is followed by one token, its own backoff weight counts with it. What the automaton lacks is therefore a
 sum of weights that are joined from the tables, and scores do not depend on the automaton's bounds.
 
-Words in tables of n-grams are 64-bit hashes; two of 50 million words share one with a chance of 1 in 14,000. So are the
-n-grams that texts and weights are joined by: one that is not kept has the weight of one of a billion kept with a chance of
-1 in 18 billion.
+Words in tables of n-grams, and words of texts when they are looked up, are 64-bit hashes; two of 50 million words share one
+with a chance of 1 in 14,000. So are the n-grams that texts and weights are joined by: one that is not kept has the weight of
+one of a billion kept with a chance of 1 in 18 billion. N-grams are counted by their own key and that of their words but the last.
+
+Texts are cut into words and hashed in bulk. N-grams do not travel as rows: a task sorts its own, packs those of each part of
+all keys into one row, and a part is sorted and summed, or joined, by one task.
 
 A NULL or empty text is its end alone. Rows with NULL id are learned from. Repeated rows count and are
 scored each. Over an empty table the result is empty; with nothing to learn from, every token costs 0.
@@ -226,6 +229,7 @@ class Automaton:
     """States are numbers: 0 is the root, 1 + w the history of word w alone, then the longer ones."""
 
     def __init__(self, arrays: dict[str, np.ndarray]) -> None:
+        arrays = {name: np.asarray(column) for name, column in arrays.items()}  # mapped as before; np.memmap is slow on small steps
         self.keys, self.targets, self.costs = arrays["keys"], arrays["targets"], arrays["costs"]
         self.fails, self.backoffs = arrays["fails"], arrays["backoffs"]
         self.hashes = arrays["hashes"]
